@@ -94,4 +94,4 @@ def segment(r: ColumnLike, f: ColumnLike, total: ColumnLike, specific_first: boo
 
 
 def churn_label(recency: ColumnLike, days: int = 30) -> Column:
-    return (col(recency) > days).cast("int")
+    return F.when(col(recency) > days, 1).otherwise(0)
