@@ -139,28 +139,36 @@ def scd2_init(df: DataFrame, v: Versions) -> DataFrame:
     return df.withColumn(v.start, F.col(v.ts)).withColumn(v.end, end).withColumn(v.flag, F.lit(True))
 
 
-def scd2_apply(current: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = HOT_ROWS) -> Applied:
-    """Fold a batch into the current rows (one per key).
+SEED = "__seed"
+
+
+def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(versions, late rows) for the keys of a batch.
 
-    The current row of every key in the batch becomes the seed of that key's history;
-    rows of all other keys pass through. Batch rows not later than the seed go to
-    ``late``. Several changes of a key in one batch give several versions.
+    ``touched`` holds the current row of those keys that have one. It becomes the seed of
+    the key's history and is marked in the result. Batch rows not later than their seed
+    are late. Several changes of a key in one batch give several versions.
     """
-    touched = batch.select(v.key).distinct()
     payload = [c for c in batch.columns if c not in (v.start, v.end, v.flag)]
-    untouched = current.join(touched, v.key, "left_anti")
-    starts = current.select(v.key, F.col(v.start).alias("__since"))
+    starts = touched.select(v.key, F.col(v.start).alias("__since"))
     dated = batch.select(*payload).join(starts, v.key, "left")
     is_late = F.coalesce(F.col(v.ts) <= F.col("__since"), F.lit(False))
-    late = dated.filter(is_late).drop("__since")
-    fresh = dated.filter(~is_late).drop("__since")
+    fresh = dated.filter(~is_late).drop("__since").withColumn(SEED, F.lit(False))
     # A current row stands for its whole run, so it enters at the start of that run.
-    seeds = current.join(touched, v.key, "left_semi").withColumn(v.ts, F.col(v.start))
+    seeds = touched.withColumn(v.ts, F.col(v.start)).select(*payload).withColumn(SEED, F.lit(True))
     # Seeds add one row per key, so the batch alone tells which keys are hot.
     hot = hot_keys(batch, v.key, hot_rows)
-    versions = scd2_history(seeds.select(*payload).unionByName(fresh), v, hot_rows, hot)
+    versions = scd2_history(seeds.unionByName(fresh), v, hot_rows, hot)
+    return versions, dated.filter(is_late).drop("__since")
+
+
+def scd2_apply(current: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = HOT_ROWS) -> Applied:
+    """Fold a batch into the current rows (one per key); other keys pass through."""
+    keys = batch.select(v.key).distinct()
+    versions, late = advance(current.join(keys, v.key, "left_semi"), batch, v, hot_rows)
+    versions = versions.drop(SEED)
     return Applied(
-        current=untouched.unionByName(versions.filter(F.col(v.flag))),
+        current=current.join(keys, v.key, "left_anti").unionByName(versions.filter(F.col(v.flag))),
         closed=versions.filter(~F.col(v.flag)),
         late=late,
     )

@@ -51,3 +51,18 @@ def stable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
     return df.checkpoint()
+
+
+def has_rows_stored(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds more than job markers."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
