@@ -1,5 +1,7 @@
 """Fixed domain values: they must equal the published table contracts."""
 
+from pyspark.sql import types as T
+
 # Raw transaction schema.
 RAW_SCHEMA = (
     "id_transacao string, id_cliente string, valor double, dt_transacao timestamp, "
@@ -22,10 +24,13 @@ RFM_SCHEMA = (
 )
 
 # Shape of a structured model answer.
-ANSWER_SCHEMA = (
-    "segmento string, score_risco_churn double, acoes_recomendadas array<string>, "
-    "canal_preferencial string, urgencia string"
-)
+ANSWER_SCHEMA = T.StructType([
+    T.StructField("segmento", T.StringType()),
+    T.StructField("score_risco_churn", T.DoubleType()),
+    T.StructField("acoes_recomendadas", T.ArrayType(T.StringType())),
+    T.StructField("canal_preferencial", T.StringType()),
+    T.StructField("urgencia", T.StringType()),
+])
 
 # Amount bands: upper edges (exclusive) and labels.
 BAND_EDGES = [100, 1000, 10000]

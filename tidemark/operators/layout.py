@@ -66,15 +66,16 @@ def z_value(df: DataFrame, cols: Sequence[str], bits: int = 6) -> Column:
     return z
 
 
-def clustered(df: DataFrame, cols: Sequence[str], bits: int = 6) -> DataFrame:
+def clustered(df: DataFrame, cols: Sequence[str], bits: int = 6, parts: Sequence[str] = ()) -> DataFrame:
     """Rows placed along the Z curve of the columns, one range of it per file.
 
-    A hash behind the curve value lets a hot value span several files.
+    A hash behind the curve value lets a hot value span several files. ``parts`` are the
+    partition columns of the target: ranges follow them first, so few files straddle them.
     """
     placed = df.withColumn(_Z, z_value(df, cols, bits)).withColumn("__spread", F.xxhash64(*df.columns))
     return (
-        placed.repartitionByRange(_Z, "__spread")
-        .sortWithinPartitions(_Z)
+        placed.repartitionByRange(*parts, _Z, "__spread")
+        .sortWithinPartitions(*parts, _Z)
         .drop(_Z, "__spread")
     )
 
@@ -102,7 +103,7 @@ def compact(spark, path: str, where: Mapping[str, object] | None = None, cluster
     before = _files(chosen)
     staging = run_dir(spark, "compact")
     if cluster_by:
-        placed = clustered(chosen, cluster_by)
+        placed = clustered(chosen, cluster_by, parts=parts)
     else:
         placed = chosen.hint("rebalance", *parts) if parts else rebalanced(chosen)
     writer = placed.write.mode("overwrite")

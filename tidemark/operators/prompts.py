@@ -92,9 +92,8 @@ def step_by_step(rfm: DataFrame, template: str = RFM_REASONING, out: str = "prom
     }))
 
 
-def answer_layout(schema: T.StructType | str = V.ANSWER_SCHEMA, choices: Mapping[str, Sequence[str]] | None = None) -> str:
+def answer_layout(schema: T.StructType = V.ANSWER_SCHEMA, choices: Mapping[str, Sequence[str]] | None = None) -> str:
     """The JSON shape a structured prompt asks for."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     choices = ANSWER_CHOICES if choices is None else choices
     lines = []
     for f in schema:
@@ -128,7 +127,7 @@ def with_role(df: DataFrame, role: str, text: str = "prompt", out: str = "messag
 def answer_rules() -> list[Rule]:
     """Value tests of a parsed answer."""
     absent = [
-        Rule(f"{f.name} ausente", F.col(f"answer.{f.name}").isNull()) for f in T.StructType.fromDDL(V.ANSWER_SCHEMA)
+        Rule(f"{f.name} ausente", F.col(f"answer.{f.name}").isNull()) for f in V.ANSWER_SCHEMA
     ]
     unknown = [Rule(f"{c} desconhecido", ~F.col(f"answer.{c}").isin(*allowed)) for c, allowed in ANSWER_CHOICES.items()]
     score = F.col("answer.score_risco_churn")
@@ -136,7 +135,7 @@ def answer_rules() -> list[Rule]:
 
 
 def parse_answers(
-    df: DataFrame, text: str, schema: str = V.ANSWER_SCHEMA, rules: Sequence[Rule] | None = None
+    df: DataFrame, text: str, schema: T.StructType = V.ANSWER_SCHEMA, rules: Sequence[Rule] | None = None
 ) -> DataFrame:
     """Adds ``answer`` (struct or null) and ``problem`` (null for a valid answer).
 
@@ -144,14 +143,14 @@ def parse_answers(
     of an array that ends with a marker: anything behind the object breaks that array.
     """
     body = F.trim(F.regexp_replace(F.col(text), r"^\s+|\s+$", ""))
-    item = T.StructType.fromDDL(schema).add("__end", T.IntegerType())
+    item = T.StructType([*schema.fields, T.StructField("__end", T.IntegerType())])
     listed = F.from_json(F.concat(F.lit("["), body, F.lit(',{"__end":1}]')), T.ArrayType(item))
     whole = (
         body.startswith("{") & body.endswith("}")
         & (F.size("__items") == 2) & F.col("__items")[1]["__end"].eqNullSafe(1)
         & F.col("__items")[0]["__end"].isNull()
     )
-    names = [f.name for f in T.StructType.fromDDL(schema)]
+    names = schema.fieldNames()
     answer = F.struct(*[F.col("__items")[0][n].alias(n) for n in names])
     parsed = df.withColumn("__items", listed).withColumn("answer", F.when(F.coalesce(whole, F.lit(False)), answer))
     rules = answer_rules() if rules is None else rules
