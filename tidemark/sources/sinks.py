@@ -11,7 +11,13 @@ _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replaces the whole table, schema included."""
+    """Replaces the whole table, schema included.
+
+    Rows of a partition are brought together first, in evenly sized pieces, so the number
+    of files follows the data and not tasks times partitions.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
@@ -32,7 +38,7 @@ def read_merged(spark, path: str) -> DataFrame:
 def replace_slice(df: DataFrame, path: str, col: str, value: object) -> None:
     """Replaces the rows with ``col = value`` and leaves all other slices alone."""
     part = df.filter(F.col(col) == F.lit(value).cast(df.schema[col].dataType))
-    part.write.mode("overwrite").options(**_DYNAMIC).partitionBy(col).parquet(path)
+    part.hint("rebalance").write.mode("overwrite").options(**_DYNAMIC).partitionBy(col).parquet(path)
 
 
 def append_results(df: DataFrame, path: str) -> None:
