@@ -1,0 +1,84 @@
+import datetime as dt
+import json
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from tidemark.operators import quality as Q
+from tidemark.operators import rules as R
+
+ROWS = [("a", None, 1), (None, 5.0, 2), (None, None, 3), ("b", -1.0, 4), ("c", 0.0, 5), ("d", float("nan"), 6), ("e", 1.0, 7)]
+DDL = "id_transacao string, valor double, n int"
+
+
+def test_every_row_is_in_exactly_one_output(spark):
+    df = spark.createDataFrame(ROWS, DDL)
+    ok, bad = R.split_valid(df, R.ingest_rules())
+    assert rows(ok, "n") == [(5,), (7,)]
+    assert {r.n: r[R.REASON] for r in bad.collect()} == {
+        1: "valor nulo", 2: "id_transacao nulo", 3: "id_transacao nulo", 4: "valor negativo", 6: "valor nulo",
+    }
+    counts = R.mark(df, R.ingest_rules()).agg(*R.verdict_counts()).first()
+    assert (counts.validos, counts.quarentena) == (2, 5)
+    weaker, _ = R.split_valid(df, R.presence_rules())
+    assert rows(weaker, "n") == [(4,), (5,), (7,)]
+
+
+def results(df, checks):
+    return {(r.check, r.column): (r.failing, r.evaluated, r.ok) for r in Q.run_suite(df, checks).collect()}
+
+
+def test_nulls_are_only_counted_by_not_null(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, None), ("b", None, "y"), (None, 9, "zzzz"), (None, 3, "x")], "k string, v int, t string"
+    )
+    got = results(df, [
+        Q.not_null("k"), Q.unique("k"), Q.between("v", 1, 3), Q.between("v", 2), Q.in_set("t", ["x", "y"]),
+        Q.length_between("t", 1, 3),
+    ])
+    assert got[("not_null", "k")] == (2, 5, False)
+    assert got[("unique", "k")] == (2, 3, False)
+    assert got[("between", "v")] in [(1, 4, False)]
+    assert got[("in_set", "t")] == (1, 4, False)
+    assert got[("length_between", "t")] == (1, 4, False)
+
+
+def test_day_bounds_include_the_last_day(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 6, 30, 23, 59),), (dt.datetime(2024, 7, 1),)], "ts timestamp_ntz")
+    got = results(df, [Q.between("ts", "2020-01-01", "2024-06-30", as_date=True)])
+    assert got[("between", "ts")] == (1, 2, False)
+
+
+def test_one_pass_for_row_checks(spark):
+    df = spark.createDataFrame(ROWS, DDL)
+    suite = [Q.not_null("id_transacao"), Q.between("valor", 0), Q.in_set("n", [1, 2])]
+    assert plan_of(Q.run_suite(df, suite)).count("Scan") == 1
+
+
+def silver(spark, status="APROVADO"):
+    rec = ("t1", "C00001", 5.0, dt.datetime(2024, 1, 1), True, status, "APP", "baixo")
+    return spark.createDataFrame(
+        [rec], "id_transacao string, id_cliente string, valor double, dt_transacao timestamp_ntz, is_current boolean, "
+        "status string, canal string, faixa_valor string",
+    )
+
+
+def test_one_failure_trips_the_gate(spark):
+    at = dt.datetime(2024, 6, 30)
+    good = Q.summarise(Q.run_suite(silver(spark), Q.silver_suite("2024-06-30")), "good", 95, at)
+    bad = Q.summarise(Q.run_suite(silver(spark, "ERRADO"), Q.silver_suite("2024-06-30")), "bad", 95, at)
+    row = good.first()
+    assert (row.total_checks, row.checks_ok, row.pct_qualidade, row.passou_threshold, row.falhas_json) == (13, 13, 100.0, True, "[]")
+    row = bad.first()
+    assert (row.checks_falha, row.pct_qualidade, row.passou_threshold) == (1, 92.31, False)
+    assert json.loads(row.falhas_json) == [{"expectation": "in_set", "coluna": "status", "sucesso": False}]
+    Q.gate(good)
+    with pytest.raises(Q.GateError, match="bad"):
+        Q.gate(good.unionByName(bad))
+
+
+def test_summary_without_checks(spark):
+    none = Q.run_suite(silver(spark), [Q.not_null("valor")]).filter(F.lit(False))
+    row = Q.summarise(none, "t", 95, dt.datetime(2024, 1, 1)).first()
+    assert (row.total_checks, row.pct_qualidade, row.passou_threshold) == (0, 0.0, False)

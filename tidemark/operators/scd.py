@@ -147,7 +147,8 @@ def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = H
 
     ``touched`` holds the current row of those keys that have one. It becomes the seed of
     the key's history and is marked in the result. Batch rows not later than their seed
-    are late. Several changes of a key in one batch give several versions.
+    are late. Several changes of a key in one batch give several versions. Columns only
+    one side has are null in the rows of the other.
     """
     payload = [c for c in batch.columns if c not in (v.start, v.end, v.flag)]
     starts = touched.select(v.key, F.col(v.start).alias("__since"))
@@ -155,10 +156,10 @@ def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = H
     is_late = F.coalesce(F.col(v.ts) <= F.col("__since"), F.lit(False))
     fresh = dated.filter(~is_late).drop("__since").withColumn(SEED, F.lit(False))
     # A current row stands for its whole run, so it enters at the start of that run.
-    seeds = touched.withColumn(v.ts, F.col(v.start)).select(*payload).withColumn(SEED, F.lit(True))
+    seeds = touched.withColumn(v.ts, F.col(v.start)).drop(v.start, v.end, v.flag).withColumn(SEED, F.lit(True))
     # Seeds add one row per key, so the batch alone tells which keys are hot.
     hot = hot_keys(batch, v.key, hot_rows)
-    versions = scd2_history(seeds.unionByName(fresh), v, hot_rows, hot)
+    versions = scd2_history(seeds.unionByName(fresh, allowMissingColumns=True), v, hot_rows, hot)
     return versions, dated.filter(is_late).drop("__since")
 
 
@@ -168,7 +169,9 @@ def scd2_apply(current: DataFrame, batch: DataFrame, v: Versions, hot_rows: int
     versions, late = advance(current.join(keys, v.key, "left_semi"), batch, v, hot_rows)
     versions = versions.drop(SEED)
     return Applied(
-        current=current.join(keys, v.key, "left_anti").unionByName(versions.filter(F.col(v.flag))),
+        current=current.join(keys, v.key, "left_anti").unionByName(
+            versions.filter(F.col(v.flag)), allowMissingColumns=True
+        ),
         closed=versions.filter(~F.col(v.flag)),
         late=late,
     )

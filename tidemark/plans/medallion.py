@@ -82,13 +82,19 @@ class Lakehouse:
 
     # --- silver ---
 
-    def refine(self, feeds: Sequence[str], high: dt.datetime) -> int | None:
-        """Bronze rows since the last run, up to ``high``, into the history."""
+    def refine(self, feeds: Sequence[str], high: dt.datetime | None = None) -> int | None:
+        """Bronze rows since the last run, before ``high``, into the history.
+
+        Without ``high`` everything ingested so far is taken.
+        """
         low = self.silver.state()[2]
         bronze = [self.table("bronze", f).drop("batch_id") for f in feeds]
         merged = bronze[0]
         for other in bronze[1:]:
             merged = merged.unionByName(other, allowMissingColumns=True)
+        if high is None:
+            last = merged.agg(F.max("_ingestion_time")).first()[0]
+            high = last + dt.timedelta(microseconds=1) if last else low
         fresh = read_since(merged, "_ingestion_time", low, high)
         if fresh.isEmpty():
             return None
@@ -147,12 +153,15 @@ class Lakehouse:
         registry.write(row if known is None else known.unionByName(row), at, "REGISTER")
         return registry.read()
 
-    def run(self, feeds: Sequence[Feed], ref: str, high: dt.datetime, threshold: float = 95.0, full: bool = False) -> Report:
+    def run(
+        self, feeds: Sequence[Feed], ref: str, at: dt.datetime, threshold: float = 95.0, full: bool = False,
+        high: dt.datetime | None = None,
+    ) -> Report:
         """All stages in order. Raises at the gate; training is a separate step behind it."""
         report = Report()
         for feed in feeds:
             report.batches += self.ingest(feed)
         report.silver_batch = self.refine([f.name for f in feeds], high)
         self.build_gold(ref, full)
-        report.quality = self.check(ref, high, threshold)
+        report.quality = self.check(ref, at, threshold)
         return report

@@ -48,6 +48,8 @@ class VersionStore:
 
     def _open(self, keys: DataFrame | None = None, state: tuple | None = None) -> DataFrame:
         v, state = self.v, state or self.state()
+        if state[0] < 0:
+            raise LookupError(f"{self.path}: no batch yet")
         rows = self._committed("versions", state).filter(F.col(v.end).isNull())
         if keys is not None:
             rows = rows.join(keys, v.key, "left_semi")
