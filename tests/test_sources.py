@@ -183,3 +183,24 @@ def test_clustering_splits_a_hot_value(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(r["count"] for r in sizes) < 1000
+
+
+def test_only_new_files_are_looked_at_for_their_schema(spark):
+    source = local(run_dir(spark, "infer"))
+    drop_file(source, "a.json", [{"a": 1}])
+    os.utime(source + "/a.json", (1_700_000_000, 1_700_000_000))
+    first = files.newest_file(spark, source)
+    assert first.timestamp() == 1_700_000_000
+    drop_file(source, "b.json", [{"b": 1}])
+    assert files.infer_json(spark, source).names == ["a", "b"]
+    assert files.infer_json(spark, source, first).names == ["b"]
+
+
+def test_time_bounds_reach_the_scan(spark, small):
+    from conftest import plan_of
+
+    from tidemark.operators.relational import read_since
+    from tidemark.sources import views as W
+
+    plan = plan_of(read_since(W.table(spark, small, "events"), "ts", T(10), T(15)))
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan

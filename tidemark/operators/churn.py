@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -165,7 +166,7 @@ def random_search(
     rng = random.Random(seed)
     drawn = [space.draw(rng) for _ in range(trials)]
     with ThreadPool(min(parallel, trials)) as pool:
-        models = pool.map(lambda p: train_gbt(train, p), drawn)
+        models = pool.map(inheritable_thread_target(spark)(lambda p: train_gbt(train, p)), drawn)
     scored = reduce(DataFrame.unionByName, [
         score(m, val).select(F.lit(i).alias("trial"), F.col(LABEL), "score") for i, m in enumerate(models)
     ])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions import values as V
-from tidemark.operators.ranking import Key, tile_ends, tile_of
+from tidemark.operators.ranking import Key, tile_ends_many, tile_of
 from tidemark.operators.relational import last_days
 from tidemark.session import stable
 
@@ -66,7 +66,8 @@ def rfm(df: DataFrame, ref: str, days: int = 365, specific_first: bool = False)
     labels are then a projection, so the result itself is not shuffled again.
     """
     base = stable(rfm_base(df, ref, days))
-    scores = {out: tile_of(tile_ends(base, 5, order), order) for out, order in RFM_ORDERS.items()}
+    ends = tile_ends_many(base, 5, list(RFM_ORDERS.values()))
+    scores = {out: tile_of(e, order) for (out, order), e in zip(RFM_ORDERS.items(), ends)}
     return (
         base.withColumns(scores)
         .withColumn("rfm_score", C.rfm_total("r_score", "f_score", "m_score"))

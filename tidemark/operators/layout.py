@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import run_dir
+from tidemark.session import remove_folder, run_dir
 
 _Z = "__z"
 
@@ -53,19 +52,28 @@ def z_value(df: DataFrame, cols: Sequence[str], bits: int = 6) -> Column:
     """
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     numbers = _numeric(df, cols)
-    marks = df.agg(*[F.percentile_approx(n, steps).alias(c) for c, n in numbers.items()]).first()
+    marks = df.agg(*[F.percentile_approx(n, steps, 2000).alias(c) for c, n in numbers.items()]).first()
     z = F.lit(0).cast("long")
     for place, c in enumerate(cols):
         edges = sorted(set(marks[c] or []))
-        passed = reduce(
-            lambda a, e: a + F.coalesce((numbers[c] >= F.lit(e)).cast("long"), F.lit(0)), edges, F.lit(0).cast("long")
-        )
-        for bit in range(bits):
-            only = F.shiftright(passed, bit).bitwiseAND(1)
-            z = z.bitwiseOR(F.shiftleft(only, bit * len(cols) + place))
+        z = z.bitwiseOR(_spread_bucket(numbers[c], edges, 0, len(edges), place, len(cols)))
     return z
 
 
+def _spread_bucket(value: Column, edges: Sequence, low: int, high: int, place: int, width: int) -> Column:
+    """Bucket ``low``..``high`` of a value by bisection, its bits spread over the curve value.
+
+    Bit ``i`` of the bucket lands at ``i * width + place``. A null falls into the first bucket.
+    """
+    if low == high:
+        spread = sum(((low >> i) & 1) << (i * width + place) for i in range(low.bit_length()))
+        return F.lit(spread).cast("long")
+    middle = (low + high) // 2
+    return F.when(
+        value >= F.lit(edges[middle]), _spread_bucket(value, edges, middle + 1, high, place, width)
+    ).otherwise(_spread_bucket(value, edges, low, middle, place, width))
+
+
 def clustered(df: DataFrame, cols: Sequence[str], bits: int = 6, parts: Sequence[str] = ()) -> DataFrame:
     """Rows placed along the Z curve of the columns, one range of it per file.
 
@@ -113,6 +121,7 @@ def compact(spark, path: str, where: Mapping[str, object] | None = None, cluster
     # From here on the old files are no input any more; the staged ones outlive a failure.
     out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if parts else "static")
     (out.partitionBy(*parts) if parts else out).parquet(path)
+    remove_folder(spark, staging)
     return {"files_before": before, "files_after": after}
 
 

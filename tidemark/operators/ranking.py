@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,6 +120,13 @@ def tile_of(ends: Sequence[tuple], order: Sequence[Key | str]) -> Column:
     return tile
 
 
+def tile_ends_many(df: DataFrame, n: int, orders: Sequence[Sequence[Key | str]]) -> list[list[tuple]]:
+    """:func:`tile_ends` for several orders; the sorts are independent and run side by side."""
+    one = inheritable_thread_target(df.sparkSession)(lambda order: tile_ends(df, n, order))
+    with ThreadPool(len(orders)) as pool:
+        return pool.map(one, orders)
+
+
 def ntile_global(df: DataFrame, n: int, order: Sequence[Key | str], out: str) -> DataFrame:
     """``ntile(n)`` over the whole table. The last key must make the order total.
 

@@ -51,10 +51,12 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 def read_since(df: DataFrame, ts: str, low: object = None, high: object = None) -> DataFrame:
     """Rows with ``low <= ts < high``; a missing bound is open."""
+    # Bounds take the type of the column: a cast on the column would keep them from the scan.
+    kind = df.schema[ts].dataType
     if low is not None:
-        df = df.filter(F.col(ts) >= F.lit(low))
+        df = df.filter(F.col(ts) >= F.lit(low).cast(kind))
     if high is not None:
-        df = df.filter(F.col(ts) < F.lit(high))
+        df = df.filter(F.col(ts) < F.lit(high).cast(kind))
     return df
 
 

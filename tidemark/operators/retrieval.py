@@ -27,8 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Largest query side sent to every executor.
 BROADCAST_BYTES = 64 << 20
 # Rows of either side that one search task holds.
-CELL_QUERIES = 4_096
-CELL_CORPUS = 100_000
+CELL_QUERIES = 2_048
+CELL_CORPUS = 20_000
 # Scores held at once.
 _STRIP = 4_000_000
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import values as V
 from tidemark.operators import churn, gold, quality, rules
@@ -59,8 +60,7 @@ class Lakehouse:
         """New files of a feed into its bronze table and its quarantine."""
         grown = schema
         if feed.fmt == "json":
-            store = files.SchemaStore(self.spark, self.path("bronze", f"_schemas/{feed.name}"))
-            grown = store.evolve(schema, files.infer_json(self.spark, feed.path))
+            grown = self._grown_schema(feed, schema)
         stream = files.with_lineage(files.stream_files(self.spark, feed.path, feed.fmt, grown), feed.tag)
         return run_ingest(
             stream,
@@ -70,6 +70,20 @@ class Lakehouse:
             self.path("checkpoints", feed.name),
         )
 
+    def _grown_schema(self, feed: Feed, schema: str) -> T.StructType:
+        """The schema with the fields of new files; files looked at before are not read again."""
+        store = files.SchemaStore(self.spark, self.path("control", f"schemas/{feed.name}"))
+        marks = files.HighWater(self.spark, self.path("control", "marks"))
+        job = f"schema:{feed.name}"
+        seen, newest = marks.get(job), files.newest_file(self.spark, feed.path)
+        if newest is None or (seen is not None and newest <= seen):
+            return store.get(schema)
+        # File times are coarse: the last second is looked at twice.
+        since = seen - dt.timedelta(seconds=1) if seen else None
+        grown = store.evolve(schema, files.infer_json(self.spark, feed.path, since))
+        marks.advance(job, newest)
+        return grown
+
     def backfill(self, feed: Feed, history: DataFrame, system: str) -> bool:
         """Loads history once into its own batch, under the number no stream batch has."""
         marks = files.HighWater(self.spark, self.path("control", "marks"))

@@ -20,6 +20,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: obje
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **{k: str(v) for k, v in conf.items()},
     }

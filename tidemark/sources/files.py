@@ -75,9 +75,20 @@ class SchemaStore:
         return self.spark.read.parquet(self.path).agg(F.max("version")).first()[0] or 0
 
 
-def infer_json(spark: SparkSession, path: str) -> T.StructType:
-    """Schema of JSON files as Spark infers it, on the executors."""
-    return spark.read.json(path).schema
+def newest_file(spark: SparkSession, path: str) -> dt.datetime | None:
+    """Latest modification time in a folder; file contents are not read."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.agg(F.max("modificationTime").alias("t")).first()["t"]
+
+
+def infer_json(spark: SparkSession, path: str, since: dt.datetime | None = None) -> T.StructType:
+    """Schema of the JSON files changed after ``since``, as Spark infers it on the executors."""
+    reader = spark.read
+    if since is not None:
+        zone = dt.timezone.utc if spark.conf.get("spark.sql.session.timeZone") == "UTC" else None
+        stamp = since.astimezone(zone).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("modifiedAfter", stamp)
+    return reader.json(path).schema
 
 
 def with_rescue(lines: DataFrame, schema: T.StructType | str, text: str = "value") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.scd import HOT_ROWS, SEED, Versions, advance, scd2_init
-from tidemark.session import has_rows_stored
+from tidemark.session import has_rows_stored, remove_folder
 from tidemark.sources.sinks import append_batch
 
 _COMMITS = "batch_id long, generation long, mark timestamp"
@@ -78,9 +78,18 @@ class VersionStore:
         return self._committed("late")
 
     def apply(self, batch: DataFrame, mark: dt.datetime | None = None, hot_rows: int = HOT_ROWS) -> int:
-        """Adds a batch and returns its number; ``mark`` is stored with the commit."""
-        v = self.v
-        state = self.state()
+        """Adds a batch and returns its number; ``mark`` is stored with the commit.
+
+        The batch is read several times (hot keys, history, late rows), so it is kept.
+        """
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._apply(batch, mark, hot_rows)
+        finally:
+            batch.unpersist()
+
+    def _apply(self, batch: DataFrame, mark: dt.datetime | None, hot_rows: int) -> int:
+        v, state = self.v, self.state()
         last, generation, _ = state
         number = last + 1
         folder = lambda kind: self._folder(kind, generation)
@@ -110,3 +119,10 @@ class VersionStore:
         if late is not None:
             append_batch(late, self._folder("late", generation + 1), batch + 1)
         self._commit(batch + 1, generation + 1, mark)
+
+    def prune(self) -> None:
+        """Removes the generations before the present one; call it when no reader is left on them."""
+        _, generation, _ = self.state()
+        for old in range(generation):
+            for kind in ("versions", "closures", "late"):
+                remove_folder(self.spark, self._folder(kind, old))
