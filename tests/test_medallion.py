@@ -78,7 +78,25 @@ def test_backfill_runs_once(spark):
     feed = Feed("gcp", "unused", tag="gcp", strict=False)
     recent = backfill(history, "dt_transacao", "2024-02-01", 90)
     assert lake.backfill(feed, recent, "warehouse") and not lake.backfill(feed, recent, "warehouse")
-    assert rows(lake.table("bronze", "gcp"), "id_transacao", "_source_file") == [("h1", "warehouse")]
+    assert rows(lake.bronze("gcp"), "id_transacao", "_source_file") == [("h1", "warehouse")]
+
+
+def test_batches_are_refined_once_even_when_backfilled_later(spark):
+    root = run_dir(spark, "order")
+    lake, raw = Lakehouse(spark, root), root + "/raw"
+    feed = Feed("gcp", raw, tag="gcp", strict=False)
+    write(raw, "1.json", [tx(1, 1, 10.0, "2024-01-01")])
+    lake.ingest(feed)
+    assert lake.refine(["gcp"]) == 0 and lake.refine(["gcp"]) is None
+    old = lake.bronze("gcp").drop("batch_id", "_source_file", "_ingestion_time", "_cloud_origem")
+    lake.backfill(feed, old.withColumn("id_transacao", F.lit("h1")), "warehouse")
+    assert lake.refine(["gcp"]) == 1
+    write(raw, "2.json", [tx(2, 1, 10.0, "2024-01-02")])
+    lake.ingest(feed)
+    assert lake.refine(["gcp"]) == 2 and lake.refine(["gcp"]) is None
+    assert rows(lake.silver.current(), "id_transacao", "_source_file")[0] == ("h1", "warehouse")
+    assert rows(lake.silver.current(), "id_transacao") == [("h1",), ("t1",), ("t2",)]
+    assert json.loads(lake.silver.state().progress) == {"gcp": [-1, 1]}
 
 
 def test_training_step(spark):

@@ -122,7 +122,7 @@ def test_any_cut_gives_the_full_history(spark, limit):
             store.fold()
     same(store.history(), brute(data))
     same(store.current(), [r for r in brute(data) if r[-1]])
-    assert store.state()[2] == at(200) and store.late() is None
+    assert store.state().mark == at(200) and store.late() is None
 
 
 def test_uncommitted_batches_are_invisible_and_replaced(spark):

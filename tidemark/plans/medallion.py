@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -12,13 +13,16 @@ from pyspark.sql import types as T
 
 from tidemark.functions import values as V
 from tidemark.operators import churn, gold, quality, rules
-from tidemark.operators.relational import dedup_by_ingestion, read_since
+from tidemark.operators.relational import dedup_by_ingestion, union_sources
 from tidemark.operators.silver import SILVER_VERSIONS, cleanse
 from tidemark.sources import files, sinks
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.versions import VersionStore
 from tidemark.streaming.ingest import run_ingest
 
+# Batch number of a first load; stream batches count from 0.
+_BACKFILL = -1
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -48,7 +52,15 @@ class Lakehouse:
         return f"{self.root}/{layer}/{name}"
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return sinks.read_merged(self.spark, self.path(layer, name))
+        return self.spark.read.parquet(self.path(layer, name))
+
+    def bronze(self, feed: str) -> DataFrame:
+        """A bronze table under its stored schema: no file is opened to find the columns."""
+        schema = self._schemas(f"{feed}_table").get("_source_file string")
+        return self.spark.read.schema(schema).parquet(self.path("bronze", feed))
+
+    def _schemas(self, name: str) -> files.SchemaStore:
+        return files.SchemaStore(self.spark, self.path("control", f"schemas/{name}"))
 
     @property
     def silver(self) -> VersionStore:
@@ -62,6 +74,7 @@ class Lakehouse:
         if feed.fmt == "json":
             grown = self._grown_schema(feed, schema)
         stream = files.with_lineage(files.stream_files(self.spark, feed.path, feed.fmt, grown), feed.tag)
+        self._schemas(f"{feed.name}_table").evolve("", stream.schema)
         return run_ingest(
             stream,
             rules.ingest_rules() if feed.strict else rules.presence_rules(),
@@ -72,7 +85,7 @@ class Lakehouse:
 
     def _grown_schema(self, feed: Feed, schema: str) -> T.StructType:
         """The schema with the fields of new files; files looked at before are not read again."""
-        store = files.SchemaStore(self.spark, self.path("control", f"schemas/{feed.name}"))
+        store = self._schemas(feed.name)
         marks = files.HighWater(self.spark, self.path("control", "marks"))
         job = f"schema:{feed.name}"
         seen, newest = marks.get(job), files.newest_file(self.spark, feed.path)
@@ -90,29 +103,40 @@ class Lakehouse:
         job = f"backfill:{feed.name}"
         if marks.get(job) is not None:
             return False
-        sinks.append_batch(files.with_lineage(history, feed.tag, system), self.path("bronze", feed.name), -1)
+        loaded = files.with_lineage(history, feed.tag, system)
+        self._schemas(f"{feed.name}_table").evolve("", loaded.schema)
+        sinks.append_batch(loaded, self.path("bronze", feed.name), _BACKFILL)
         marks.advance(job, dt.datetime(1970, 1, 1))
         return True
 
     # --- silver ---
 
-    def refine(self, feeds: Sequence[str], high: dt.datetime | None = None) -> int | None:
-        """Bronze rows since the last run, before ``high``, into the history.
+    def refine(self, feeds: Sequence[str], at: dt.datetime | None = None) -> int | None:
+        """The bronze batches not refined yet, into the history.
 
-        Without ``high`` everything ingested so far is taken.
+        Which batches went in is part of the same commit, so a run that dies is repeated
+        and one that ended is not. Older batches are pruned by their partition.
         """
-        low = self.silver.state()[2]
-        bronze = [self.table("bronze", f).drop("batch_id") for f in feeds]
-        merged = bronze[0]
-        for other in bronze[1:]:
-            merged = merged.unionByName(other, allowMissingColumns=True)
-        if high is None:
-            last = merged.agg(F.max("_ingestion_time")).first()[0]
-            high = last + dt.timedelta(microseconds=1) if last else low
-        fresh = read_since(merged, "_ingestion_time", low, high)
-        if fresh.isEmpty():
+        store = self.silver
+        done = {f: set(ids) for f, ids in json.loads(store.state().progress or "{}").items()}
+        fresh = []
+        for feed in feeds:
+            last = max(done.get(feed, ()), default=_BACKFILL)
+            stored = sinks.batch_ids(self.spark, self.path("bronze", feed))
+            new = [b for b in stored if b > last or (b == _BACKFILL and b not in done.get(feed, ()))]
+            if not new:
+                continue
+            chosen = F.col("batch_id") > last
+            if _BACKFILL in new:
+                chosen = chosen | (F.col("batch_id") == _BACKFILL)
+            fresh.append(self.bronze(feed).filter(chosen & (F.col("batch_id") <= max(new))).drop("batch_id"))
+            # Batches go in whole and in order: the largest stands for all before it.
+            kept = {max(new)} | ({_BACKFILL} & (done.get(feed, set()) | set(new)))
+            done[feed] = kept
+        if not fresh:
             return None
-        return self.silver.apply(cleanse(dedup_by_ingestion(fresh)), high)
+        batch = cleanse(dedup_by_ingestion(union_sources(*fresh)))
+        return store.apply(batch, at, progress=json.dumps({f: sorted(ids) for f, ids in done.items()}))
 
     # --- gold ---
 
@@ -167,15 +191,12 @@ class Lakehouse:
         registry.write(row if known is None else known.unionByName(row), at, "REGISTER")
         return registry.read()
 
-    def run(
-        self, feeds: Sequence[Feed], ref: str, at: dt.datetime, threshold: float = 95.0, full: bool = False,
-        high: dt.datetime | None = None,
-    ) -> Report:
+    def run(self, feeds: Sequence[Feed], ref: str, at: dt.datetime, threshold: float = 95.0, full: bool = False) -> Report:
         """All stages in order. Raises at the gate; training is a separate step behind it."""
         report = Report()
         for feed in feeds:
             report.batches += self.ingest(feed)
-        report.silver_batch = self.refine([f.name for f in feeds], high)
+        report.silver_batch = self.refine([f.name for f in feeds], at)
         self.build_gold(ref, full)
         report.quality = self.check(ref, at, threshold)
         return report

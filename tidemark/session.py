@@ -64,6 +64,15 @@ def has_rows_stored(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder))
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist. One listing, no files read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -16,7 +16,9 @@ RESCUE = "_rescue"
 
 
 def as_struct(schema: T.StructType | str) -> T.StructType:
-    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if isinstance(schema, str):
+        return T.StructType.fromDDL(schema) if schema else T.StructType()
+    return schema
 
 
 def stream_files(

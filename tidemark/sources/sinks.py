@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import subfolders
+
 _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
@@ -25,13 +27,20 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def append_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "batch_id") -> None:
     """Adds a batch as its own partition: writing the same batch again changes nothing.
 
-    New columns are allowed; readers merge the schemas (:func:`read_merged`).
+    New columns are allowed: readers give the grown schema, or merge (:func:`read_merged`).
     """
     tagged = df.withColumn(batch_col, F.lit(batch_id).cast("long"))
     tagged.write.mode("overwrite").options(**_DYNAMIC).partitionBy(batch_col).parquet(path)
 
 
-def read_merged(spark, path: str) -> DataFrame:
+def batch_ids(spark: SparkSession, path: str, batch_col: str = "batch_id") -> list[int]:
+    """Numbers of the stored batches, from the folder names."""
+    prefix = f"{batch_col}="
+    return sorted(int(n.removeprefix(prefix)) for n in subfolders(spark, path) if n.startswith(prefix))
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """All columns any file has. This opens every file; give large tables a stored schema."""
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 

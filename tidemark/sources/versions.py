@@ -8,47 +8,72 @@ time. A batch is visible once its commit row exists; running it again replaces i
 from __future__ import annotations
 
 import datetime as dt
+import json
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.scd import HOT_ROWS, SEED, Versions, advance, scd2_init
 from tidemark.session import has_rows_stored, remove_folder
+from tidemark.sources.files import evolve_schema
 from tidemark.sources.sinks import append_batch
 
-_COMMITS = "batch_id long, generation long, mark timestamp"
+_COMMITS = "batch_id long, generation long, mark timestamp, schema string, progress string"
+
+
+class State(NamedTuple):
+    """The last commit: its numbers, the schema of all versions, and what the caller noted."""
+
+    batch_id: int = -1
+    generation: int = 0
+    mark: dt.datetime | None = None
+    schema: str | None = None
+    progress: str | None = None
+
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
 
 
 class VersionStore:
     def __init__(self, spark: SparkSession, path: str, v: Versions):
         self.spark, self.path, self.v = spark, path.rstrip("/"), v
 
-    def state(self) -> tuple[int, int, dt.datetime | None]:
-        """(last batch, generation, high-water mark); batch -1 for an empty store."""
+    def state(self) -> State:
+        """The last commit; batch -1 for an empty store."""
         if not has_rows_stored(self.spark, f"{self.path}/commits"):
-            return -1, 0, None
+            return State()
         commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
-        last = commits.agg(F.max(F.struct("batch_id", "generation", "mark")).alias("c")).first()["c"]
-        return last["batch_id"], last["generation"], last["mark"]
+        return State(*commits.agg(F.max_by(F.struct("*"), "batch_id").alias("c")).first()["c"])
 
-    def _commit(self, batch_id: int, generation: int, mark: dt.datetime | None) -> None:
-        row = self.spark.createDataFrame([(batch_id, generation, mark)], _COMMITS)
+    def _commit(self, state: State) -> None:
+        row = self.spark.createDataFrame([tuple(state)], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def _folder(self, kind: str, generation: int) -> str:
         return f"{self.path}/{kind}/{generation}"
 
-    def _committed(self, kind: str, state: tuple | None = None) -> DataFrame | None:
-        batch, generation, _ = state or self.state()
-        if not has_rows_stored(self.spark, self._folder(kind, generation)):
+    def _committed(self, kind: str, state: State | None = None) -> DataFrame | None:
+        """Rows of the committed batches. The schema comes from the commit, so no file is opened for it."""
+        v, state = self.v, state or self.state()
+        if not has_rows_stored(self.spark, self._folder(kind, state.generation)):
             return None
-        stored = self.spark.read.option("mergeSchema", "true").parquet(self._folder(kind, generation))
-        return stored.filter(F.col("batch_id") <= batch).drop("batch_id")
-
-    def _open(self, keys: DataFrame | None = None, state: tuple | None = None) -> DataFrame:
+        edges = [v.start, v.end, v.flag]
+        chosen = {
+            "versions": lambda c: True,
+            "closures": lambda c: c in (v.key, v.start, v.end),
+            "late": lambda c: c not in edges,
+        }[kind]
+        schema = T.StructType([f for f in state.struct if chosen(f.name)])
+        stored = self.spark.read.schema(schema).parquet(self._folder(kind, state.generation))
+        return stored.filter(F.col("batch_id") <= state.batch_id).drop("batch_id")
+
+    def _open(self, keys: DataFrame | None = None, state: State | None = None) -> DataFrame:
         v, state = self.v, state or self.state()
-        if state[0] < 0:
+        if state.batch_id < 0:
             raise LookupError(f"{self.path}: no batch yet")
         rows = self._committed("versions", state).filter(F.col(v.end).isNull())
         if keys is not None:
@@ -77,23 +102,24 @@ class VersionStore:
         """Rows older than the version they would follow; None while there are none."""
         return self._committed("late")
 
-    def apply(self, batch: DataFrame, mark: dt.datetime | None = None, hot_rows: int = HOT_ROWS) -> int:
-        """Adds a batch and returns its number; ``mark`` is stored with the commit.
+    def apply(
+        self, batch: DataFrame, mark: dt.datetime | None = None, hot_rows: int = HOT_ROWS, progress: str | None = None
+    ) -> int:
+        """Adds a batch and returns its number; ``mark`` and ``progress`` are stored with the commit.
 
         The batch is read several times (hot keys, history, late rows), so it is kept.
         """
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._apply(batch, mark, hot_rows)
+            return self._apply(batch, mark, hot_rows, progress)
         finally:
             batch.unpersist()
 
-    def _apply(self, batch: DataFrame, mark: dt.datetime | None, hot_rows: int) -> int:
+    def _apply(self, batch: DataFrame, mark: dt.datetime | None, hot_rows: int, progress: str | None) -> int:
         v, state = self.v, self.state()
-        last, generation, _ = state
-        number = last + 1
-        folder = lambda kind: self._folder(kind, generation)
-        if last < 0:
+        number = state.batch_id + 1
+        folder = lambda kind: self._folder(kind, state.generation)
+        if state.batch_id < 0:
             # No current rows yet: the history of the batch is the table.
             versions, late = advance(scd2_init(batch, v).limit(0), batch, v, hot_rows)
         else:
@@ -108,21 +134,25 @@ class VersionStore:
             append_batch(late, folder("late"), number)
         finally:
             versions.unpersist()
-        self._commit(number, generation, mark)
+        schema = versions.drop(SEED).schema
+        if state.schema:
+            schema = evolve_schema(state.struct, schema)
+        self._commit(State(number, state.generation, mark, schema.json(), progress))
         return number
 
     def fold(self) -> None:
         """Rewrites the history with its closures merged in, as a new generation."""
-        batch, generation, mark = self.state()
-        append_batch(self.history().hint("rebalance"), self._folder("versions", generation + 1), batch + 1)
+        state = self.state()
+        folded = state._replace(batch_id=state.batch_id + 1, generation=state.generation + 1)
+        target = lambda kind: self._folder(kind, folded.generation)
+        append_batch(self.history().hint("rebalance"), target("versions"), folded.batch_id)
         late = self.late()
         if late is not None:
-            append_batch(late, self._folder("late", generation + 1), batch + 1)
-        self._commit(batch + 1, generation + 1, mark)
+            append_batch(late, target("late"), folded.batch_id)
+        self._commit(folded)
 
     def prune(self) -> None:
         """Removes the generations before the present one; call it when no reader is left on them."""
-        _, generation, _ = self.state()
-        for old in range(generation):
+        for old in range(self.state().generation):
             for kind in ("versions", "closures", "late"):
                 remove_folder(self.spark, self._folder(kind, old))
