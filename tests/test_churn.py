@@ -102,6 +102,7 @@ def test_training_end_to_end(spark):
     row = K.register(spark, model, path, "churn_predictor", 1, measured.first().auc, dt.datetime(2024, 1, 1), test).first()
     loaded = K.PipelineModel.load(row.path)
     assert rows(K.score(loaded, test), "id_cliente", "score") == rows(K.score(model, test), "id_cliente", "score")
+    assert row.input_example.count("id_cliente") == 5
     assert '"score"' in row.output_schema and '"score"' not in row.input_schema
 
 

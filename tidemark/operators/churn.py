@@ -217,15 +217,16 @@ def permutation_importance(
 
 REGISTRY_SCHEMA = (
     "name string, version int, auc double, stage string, trained_at timestamp, path string, "
-    "input_schema string, output_schema string"
+    "input_schema string, output_schema string, input_example string"
 )
 
 
 def register(spark: SparkSession, model: PipelineModel, path: str, name: str, version: int, auc: float, at: object, sample: DataFrame) -> DataFrame:
-    """Saves the model and returns its registry row, with the schemas of input and output."""
+    """Saves the model and returns its registry row: schemas of input and output, five input rows."""
     model.write().overwrite().save(path)
     out = score(model, sample)
-    row = (name, version, auc, "None", at, path, sample.schema.json(), out.schema.json())
+    rows = sample.limit(5).agg(F.to_json(F.collect_list(F.struct("*"))).alias("rows")).first()["rows"]
+    row = (name, version, auc, "None", at, path, sample.schema.json(), out.schema.json(), rows)
     return spark.createDataFrame([row], REGISTRY_SCHEMA)
 
 

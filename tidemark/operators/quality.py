@@ -162,8 +162,13 @@ def summarise(results: DataFrame, table: str, threshold: float, at: dt.datetime)
     )
 
 
+def failures(summaries: DataFrame) -> DataFrame:
+    """Summaries below their threshold."""
+    return summaries.filter(~F.col("passou_threshold"))
+
+
 def gate(summaries: DataFrame) -> None:
     """Raise when any table of the summaries is below its threshold."""
-    failed = [r["tabela"] for r in summaries.filter(~F.col("passou_threshold")).select("tabela").collect()]
+    failed = [r["tabela"] for r in failures(summaries).select("tabela").collect()]
     if failed:
         raise GateError(f"{len(failed)} table(s) below the quality threshold: {sorted(failed)}")

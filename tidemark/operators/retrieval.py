@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import values as V
 from tidemark.operators.relational import top_per_group
+from tidemark.session import stable
 
 # The search helpers travel with their functions: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,6 +30,9 @@ BROADCAST_BYTES = 64 << 20
 # Rows of either side that one search task holds.
 CELL_QUERIES = 2_048
 CELL_CORPUS = 20_000
+# Clusters of an approximate search, and rows each is learned from.
+_MAX_CELLS = 4_096
+_ROWS_PER_CELL = 256
 # Scores held at once.
 _STRIP = 4_000_000
 
@@ -217,7 +221,7 @@ def ann_join(
     qvec: str = "embedding",
     cid: str = "id",
     cvec: str = "embedding",
-    cells: int = 64,
+    cells: int | None = None,
     probes: int = 8,
     seed: int = 42,
     cell_queries: int = CELL_QUERIES,
@@ -226,23 +230,33 @@ def ann_join(
     """Approximate neighbours: each query looks into the ``probes`` nearest of ``cells`` clusters.
 
     Scores within the visited cells are exact. All cells probed gives the exact result.
+    Without ``cells`` their number follows the root of the corpus size. The cells are
+    learned from some hundred rows per cell; every row of the corpus is then placed.
     """
     q, c = _sides(queries, corpus, qid, qvec, cid, cvec)
+    n = c.count()
+    if n == 0:
+        return _ranked(q.sparkSession.createDataFrame([], _HITS), k)
+    if cells is None:
+        cells = max(1, min(_MAX_CELLS, round(n ** 0.5)))
     norm = Normalizer(inputCol="v", outputCol="unit")
     placed = norm.transform(c.withColumn("v", array_to_vector("cv")))
-    model = KMeans(k=cells, seed=seed, featuresCol="unit", predictionCol="cell").fit(placed)
-    centers = _unit(model.clusterCenters())  # ``cells`` rows
-    numbers = np.arange(len(centers))
+    share = _ROWS_PER_CELL * cells / n
+    learned = placed if share >= 1 else placed.sample(share, seed)
+    model = KMeans(k=cells, seed=seed, featuresCol="unit", predictionCol="cell").fit(learned)
+    shared = q.sparkSession.sparkContext.broadcast(_unit(model.clusterCenters()))  # ``cells`` rows
 
     @F.pandas_udf("array<int>")
     def nearest(vectors: pd.Series) -> pd.Series:
         if vectors.empty:
             return pd.Series([], dtype=object)
-        _, found, _ = _search(_unit(vectors), centers, numbers, probes)
+        centers = shared.value
+        _, found, _ = _search(_unit(vectors), centers, np.arange(len(centers)), probes)
         return pd.Series(list(found.reshape(len(vectors), -1).astype(np.int32)))
 
     probed = q.withColumn("cell", F.explode(nearest("qv")))
-    assigned = model.transform(placed).select("id", "cv", "cell")
+    # Placing a row costs as much as a search step, and the search reads the cells twice.
+    assigned = stable(model.transform(placed).select("id", "cv", "cell"))
     return _ranked(_cell_search(probed, assigned, k, cell_queries, cell_corpus), k)
 
 

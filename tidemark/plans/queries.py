@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
 from tidemark.functions import values as V
-from tidemark.operators import churn, gold, layout, metrics, prompts, quality, relational, retrieval, rules, scd
+from tidemark.operators import churn, gold, layout, metrics, prompts, quality, ranking, relational, retrieval, rules, scd
+from tidemark.operators.ranking import Key
 from tidemark.operators.silver import SILVER_VERSIONS, cleanse
 from tidemark.plans import oracles as O
+from tidemark.plans.maintenance import GOLD_CLUSTERING, maintain
+from tidemark.plans.medallion import Feed, Lakehouse
 from tidemark.session import run_dir
 from tidemark.sources import files, sinks
 from tidemark.sources import views as W
@@ -175,6 +178,27 @@ def ingest_rescue(spark, d):
     return files.with_rescue(events(spark, d).select("event_id", text.alias("value")), "k bigint")
 
 
+@query(f"""SELECT * EXCLUDE (props), CASE WHEN ts >= TIMESTAMP '{SPLIT}' THEN props END AS props,
+CASE WHEN ts >= TIMESTAMP '{SPLIT}' THEN 1 ELSE 0 END::BIGINT AS batch_id FROM events""")
+def ingest_schema_growth(spark, d):
+    """Two batches, the second with one more column and written twice."""
+    path = run_dir(spark, "growth")
+    old, new = _split(spark, d)
+    sinks.append_batch(old.drop("props"), path, 0)
+    for _ in range(2):
+        sinks.append_batch(new, path, 1)
+    return sinks.read_merged(spark, path).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@query("SELECT event_type AS job, max(ts) AS mark FROM events GROUP BY event_type")
+def ingest_high_water(spark, d):
+    marks = files.HighWater(spark, run_dir(spark, "marks"))
+    newest = events(spark, d).groupBy(F.col("event_type").alias("job")).agg(F.max("ts").alias("mark"))
+    marks.advance_all(newest.withColumn("mark", F.col("mark").cast("timestamp") - F.expr("INTERVAL 1 DAY")))
+    marks.advance_all(newest)
+    return marks.marks().withColumn("mark", F.col("mark").cast("timestamp_ntz"))
+
+
 # --- silver ---------------------------------------------------------------------------
 
 
@@ -271,6 +295,52 @@ def scd2_summary(spark, d):
     return scd.scd2_summary(history, W.EVENT_VERSIONS, "event_type")
 
 
+@query(f"{O.SILVER_TX} SELECT faixa_valor, true AS is_current, count(*) AS n FROM silver GROUP BY faixa_valor")
+def scd2_summary_by_band(spark, d):
+    return scd.scd2_summary(scd.scd2_init(silver_frame(spark, d), SILVER_VERSIONS), SILVER_VERSIONS, "faixa_valor")
+
+
+@query(f"""WITH {O.history('events')} SELECT count(*) AS total, count(*) FILTER (WHERE is_current) AS correntes,
+count(*) FILTER (WHERE NOT is_current) AS historico FROM versions""")
+def scd2_totals(spark, d):
+    history = scd.scd2_history(events(spark, d), W.EVENT_VERSIONS)
+    return history.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("is_current").alias("correntes"),
+        F.count_if(~F.col("is_current")).alias("historico"),
+    )
+
+
+# --- global order ---------------------------------------------------------------------
+
+_PRICE = [Key("l_extendedprice", descending=True), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+
+
+@query("""WITH t AS (SELECT l_extendedprice, ntile(5) OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
+  l_partkey, l_suppkey, l_shipdate) AS tile FROM lineitem)
+SELECT CAST(tile AS INTEGER) AS tile, count(*) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high
+FROM t GROUP BY tile""")
+def rank_price_quintiles(spark, d):
+    return ranking.ntile_global(W.table(spark, d, "lineitem"), 5, _PRICE, "tile").groupBy("tile").agg(
+        F.count(F.lit(1)).alias("n"), F.min("l_extendedprice").alias("low"), F.max("l_extendedprice").alias("high")
+    )
+
+
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS posicao FROM orders""")
+def rank_row_numbers(spark, d):
+    rows = W.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return ranking.number_rows(rows, ["o_totalprice", "o_orderkey"], "posicao").select("o_orderkey", "posicao")
+
+
+@query("""SELECT o_orderkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey)
+AS BIGINT) AS acumulado FROM orders""")
+def rank_running_sums(spark, d):
+    rows = W.table(spark, d, "orders").select("o_orderkey", "o_orderdate", C.cents("o_totalprice").alias("centavos"))
+    return ranking.running_sums(rows, ["o_orderdate", "o_orderkey"], {"acumulado": "centavos"}).select(
+        "o_orderkey", "acumulado"
+    )
+
+
 # --- gold -----------------------------------------------------------------------------
 
 
@@ -325,6 +395,26 @@ def gold_kpis_latest(spark, d):
     return gold.latest_months(gold.monthly_kpis(order_frame(spark, d), REF))
 
 
+@query(f"{O.SILVER_ORDERS}, {O.rfm('ok', REF)} SELECT * FROM rfm")
+def gold_maintained(spark, d):
+    """The RFM table after its upkeep: evenly sized, clustered files with the same rows."""
+    folder = run_dir(spark, "gold")
+    sinks.overwrite(rfm_frame(spark, d), f"{folder}/rfm_clientes", ["dt_calculo"])
+    maintain(spark, folder, {"rfm_clientes": GOLD_CLUSTERING["rfm_clientes"]})
+    return spark.read.parquet(f"{folder}/rfm_clientes")
+
+
+@query(f"{O.SILVER_ORDERS}, {O.KPIS} SELECT * FROM kpis")
+def gold_kpis_from_raw_files(spark, d):
+    """Orders written as raw JSON files, ingested, refined into the history, and summed up."""
+    root = run_dir(spark, "lake")
+    W.orders_tx(spark, d).withColumn("dt_transacao", F.col("dt_transacao").cast("timestamp")).write.json(f"{root}/raw")
+    lake = Lakehouse(spark, root)
+    lake.ingest(Feed("pedidos", f"{root}/raw", tag="azure"))
+    lake.refine(["pedidos"])
+    return gold.monthly_kpis(gold.approved(lake.silver.current()), REF)
+
+
 # --- data quality ---------------------------------------------------------------------
 
 _SILVER_CURRENT = f"{O.SILVER_TX}, cur AS (SELECT *, true AS is_current FROM silver)"
@@ -378,6 +468,15 @@ def dq_summary(spark, d):
     return both.withColumn("dt_execucao", F.col("dt_execucao").cast("timestamp_ntz"))
 
 
+@query(f"""{_SILVER_CURRENT}, s AS ({O.checks(O.SILVER_CHECKS, 'cur')}),
+g AS ({O.summary('silver.transacoes', '2024-06-30 12:00:00', 95)} FROM s)
+SELECT tabela, checks_falha, pct_qualidade FROM g WHERE NOT passou_threshold""")
+def dq_gate_failures(spark, d):
+    """What the gate would stop on."""
+    summary = quality.summarise(_silver_results(spark, d), "silver.transacoes", 95, AT)
+    return quality.failures(summary).select("tabela", "checks_falha", "pct_qualidade")
+
+
 # --- churn ----------------------------------------------------------------------------
 
 _FEATURES = """SELECT id_cliente, recency_dias, frequency, monetary, r_score, f_score, m_score, rfm_score, segmento,
@@ -581,7 +680,7 @@ def knn_metadata(spark, d):
 @query()
 def ann_all_rows(spark, d):
     rows = _vectors(spark, d)
-    return _shown(retrieval.ann_join(rows, rows, 5, qid="vec_id", cid="vec_id", cells=16, probes=6))
+    return _shown(retrieval.ann_join(rows, rows, 5, qid="vec_id", cid="vec_id"))
 
 
 def _contexts(spark: SparkSession, d: str) -> DataFrame:
@@ -832,7 +931,7 @@ def snapshot_after_expire(spark, d):
 
 
 @query(f"""SELECT event_id, CASE WHEN ts < TIMESTAMP '{SPLIT}' THEN 'changed' ELSE 'added' END AS change
-FROM events""")
+FROM events WHERE ts >= TIMESTAMP '{SPLIT}' OR value <> value * 2""")
 def snapshot_diff(spark, d):
     table = _versioned(spark, d)
     return relational.diff_versions(table.read(0), table.read(2), ["event_id"])

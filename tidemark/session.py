@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for applications without a shared one.
+_TEMPORARY: dict[str, str] = {}
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: object) -> SparkSession:
     """Session with the settings the library expects; ``conf`` overrides any of them.
 
@@ -36,8 +40,9 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _TEMPORARY.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _TEMPORARY[app] = root
     return root.rstrip("/")
 
 

@@ -139,5 +139,9 @@ class HighWater:
         return row["mark"] if row else None
 
     def advance(self, job: str, mark: dt.datetime) -> None:
-        row = self.spark.createDataFrame([(job, mark)], self.SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        self.advance_all(self.spark.createDataFrame([(job, mark)], self.SCHEMA))
+
+    def advance_all(self, marks: DataFrame) -> None:
+        """Marks of several jobs, a row (job, mark) each; a lower mark than known has no effect."""
+        rows = marks.select("job", F.col("mark").cast("timestamp").alias("mark"))
+        rows.coalesce(1).write.mode("append").parquet(self.path)
