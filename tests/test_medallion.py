@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import churn
 from tidemark.operators.quality import GateError
 from tidemark.operators.relational import backfill
-from tidemark.plans.maintenance import maintain
 from tidemark.plans.medallion import Feed, Lakehouse
 from tidemark.session import run_dir
 
@@ -64,7 +63,11 @@ def test_whole_run(spark):
     assert lake.table("data_quality", "dq_resultados").count() == 6
 
     before = rows(lake.table("gold", "receita_diaria"), "id_cliente", "dt_ref", "receita_total")
-    report = maintain(spark, root + "/gold")
+    silver = rows(lake.silver.history(), "id_transacao", "dt_inicio", "dt_fim")
+    report = lake.maintain()
+    assert rows(lake.silver.history(), "id_transacao", "dt_inicio", "dt_fim") == silver
+    lake.silver.prune()
+    assert rows(lake.silver.history(), "id_transacao", "dt_inicio", "dt_fim") == silver
     assert set(report) == {"receita_diaria", "rfm_clientes", "kpis_executivos"}
     assert rows(lake.table("gold", "receita_diaria"), "id_cliente", "dt_ref", "receita_total") == before
 

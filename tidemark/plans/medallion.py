@@ -15,6 +15,7 @@ from tidemark.functions import values as V
 from tidemark.operators import churn, gold, quality, rules
 from tidemark.operators.relational import dedup_by_ingestion, union_sources
 from tidemark.operators.silver import SILVER_VERSIONS, cleanse
+from tidemark.plans.maintenance import maintain
 from tidemark.sources import files, sinks
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.versions import VersionStore
@@ -155,6 +156,14 @@ class Lakehouse:
     def rfm(self, ref: str) -> DataFrame:
         return self.table("gold", "rfm_clientes").filter(F.col("dt_calculo") == F.lit(ref).cast("date"))
 
+    def maintain(self) -> dict[str, dict[str, int]]:
+        """Merges the ends into the history and evens out the gold files.
+
+        Every gold table and check reads the current rows; after this they need no join.
+        """
+        self.silver.fold()
+        return maintain(self.spark, f"{self.root}/gold")
+
     # --- quality ---
 
     def check(self, ref: str, at: dt.datetime, threshold: float = 95.0) -> DataFrame:
