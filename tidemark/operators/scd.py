@@ -17,8 +17,8 @@ from tidemark.session import stable
 
 # A key is hot when it has more rows than this; a window task sorts up to as many.
 HOT_ROWS = 5_000_000
-# freqItems keeps 1/support counters: every key above this share is found.
-_SUPPORT = 1 / 256
+# Hash buckets in which keys are counted to find the hot ones.
+_BUCKETS = 65_536
 
 _SLICE = "__slice"
 
@@ -43,16 +43,21 @@ class Versions:
 
 
 def hot_keys(df: DataFrame, key: str, limit: int) -> dict[object, int]:
-    """Rows per key above ``limit``.
+    """Keys with more rows than ``limit``, and how many.
 
-    Candidates come from one pass with bounded state and no shuffle; they are at most
-    1/support keys, and only those are counted exactly.
+    Rows are first counted per hash bucket of the key, which shrinks to the buckets before
+    the shuffle. Only keys of buckets above the limit are then counted, as a rule none.
+    On very large tables the limit rises to a few average buckets, which bounds the result.
+    Null keys are left out.
     """
-    found = df.select(key).na.drop().freqItems([key], _SUPPORT).first()
-    candidates = list(found[0] or []) if found else []
-    if not candidates:
+    bucket = F.pmod(F.xxhash64(key), F.lit(_BUCKETS))
+    keyed = df.select(key).filter(F.col(key).isNotNull())
+    sizes = keyed.groupBy(bucket.alias("b")).count().collect()  # at most _BUCKETS rows
+    limit = max(limit, 4 * sum(r["count"] for r in sizes) // _BUCKETS)
+    full = [r["b"] for r in sizes if r["count"] > limit]
+    if not full:
         return {}
-    counts = df.filter(F.col(key).isin(candidates)).groupBy(key).count()
+    counts = keyed.filter(bucket.isin(full)).groupBy(key).count()
     return {r[key]: r["count"] for r in counts.filter(F.col("count") > limit).collect()}
 
 
