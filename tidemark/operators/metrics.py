@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import Key, running_sums
+from tidemark.operators.sizes import small
+from tidemark.session import stable
 
 _ONE = "__one"
 
@@ -26,7 +28,8 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataF
 def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Score levels from high to low with running positives and negatives over all models."""
     order = [*by, Key("__score", descending=True)]
-    return running_sums(_by_score(df, label, score, by), order, {"cum_pos": "pos", "cum_neg": "neg"})
+    sums = running_sums(_by_score(df, label, score, by), order, {"cum_pos": "pos", "cum_neg": "neg"})
+    return stable(sums)  # read by every metric
 
 
 def _auc(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -48,7 +51,7 @@ def _average_precision(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
     seen = found + F.col("cum_neg") - F.col("neg0")
     gain = F.sum(F.col("pos") * F.try_divide(found, seen))
     return (
-        ranked.join(start, list(by))
+        ranked.join(small(start), list(by))
         .groupBy(*by)
         .agg(F.try_divide(gain, F.max("total").cast("double")).alias("average_precision"))
     )

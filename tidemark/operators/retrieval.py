@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import values as V
 from tidemark.operators.relational import top_per_group
+from tidemark.operators.sizes import BROADCAST_BYTES, small
 from tidemark.session import stable
 
 # The search helpers travel with their functions: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Largest query side sent to every executor.
-BROADCAST_BYTES = 64 << 20
 # Rows of either side that one search task holds.
 CELL_QUERIES = 2_048
 CELL_CORPUS = 20_000
@@ -64,9 +63,12 @@ def refresh_index(docs: DataFrame, index: DataFrame, model: PipelineModel, key:
     ``index`` carries ``key``, ``__hash`` (of the text) and ``embedding``.
     """
     hashed = docs.select(key, text, F.xxhash64(text).alias("__hash"))
-    kept = index.join(hashed.select(key, "__hash"), [key, "__hash"], "left_semi")
-    missing = hashed.join(index.select(key, "__hash"), [key, "__hash"], "left_anti")
-    fresh = embed(missing, model).drop(text)
+    # Ids and hashes are compared alone; texts and vectors are only filtered by the outcome.
+    wanted, held, same = hashed.select(key, "__hash"), index.select(key, "__hash"), [key, "__hash"]
+    missing = stable(wanted.join(held, same, "left_anti"))
+    stale = stable(held.join(wanted, same, "left_anti"))
+    kept = index.join(small(stale), same, "left_anti")
+    fresh = embed(hashed.join(small(missing), same, "left_semi"), model).drop(text)
     return kept.select(key, "__hash", "embedding").unionByName(fresh.select(key, "__hash", "embedding"))
 
 
@@ -163,6 +165,7 @@ def _cell_search(q: DataFrame, c: DataFrame, k: int, cell_queries: int, cell_cor
         )
     )
     block = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
+    grid = F.broadcast(grid)  # one row per cell, and cells are few by construction
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = q.join(grid, "cell").select(
         "cell", block("query_id", "q_blocks").alias("qb"), every("c_blocks").alias("cb"), "query_id", "qv"
@@ -264,8 +267,8 @@ def ann_join(
 
 
 def with_documents(hits: DataFrame, docs: DataFrame, key: str, keep: Sequence[str]) -> DataFrame:
-    """Hits with columns of their documents. The hits are few, so the texts are not shuffled."""
-    return hits.join(docs.select(F.col(key).alias("id"), *keep), "id")
+    """Hits with columns of their documents. While the hits are few, the texts are not shuffled."""
+    return small(stable(hits)).join(docs.select(F.col(key).alias("id"), *keep), "id")
 
 
 def build_context(

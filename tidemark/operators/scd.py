@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import small
 from tidemark.session import stable
 
 # A key is hot when it has more rows than this; a window task sorts up to as many.
@@ -170,7 +171,7 @@ def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = H
 
 def scd2_apply(current: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = HOT_ROWS) -> Applied:
     """Fold a batch into the current rows (one per key); other keys pass through."""
-    keys = batch.select(v.key).distinct()
+    keys = small(batch.select(v.key).distinct())
     versions, late = advance(current.join(keys, v.key, "left_semi"), batch, v, hot_rows)
     versions = versions.drop(SEED)
     return Applied(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd import HOT_ROWS, SEED, Versions, advance, scd2_init
+from tidemark.operators.sizes import small
 from tidemark.session import has_rows_stored, remove_folder
 from tidemark.sources.files import evolve_schema
 from tidemark.sources.sinks import append_batch
@@ -76,10 +77,16 @@ class VersionStore:
         if state.batch_id < 0:
             raise LookupError(f"{self.path}: no batch yet")
         rows = self._committed("versions", state).filter(F.col(v.end).isNull())
+        ended = self._committed("closures", state)
         if keys is not None:
+            # A batch touches few keys: the table is then filtered where it is read.
+            keys = small(keys)
             rows = rows.join(keys, v.key, "left_semi")
-        ended = self._committed("closures", state)
-        return rows if ended is None else rows.join(ended, [v.key, v.start], "left_anti")
+            ended = None if ended is None else ended.join(keys, v.key, "left_semi")
+        if ended is None:
+            return rows
+        ended = ended.select(v.key, v.start)
+        return rows.join(ended if keys is not None else small(ended), [v.key, v.start], "left_anti")
 
     def current(self) -> DataFrame:
         return self._open()
