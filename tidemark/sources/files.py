@@ -87,9 +87,8 @@ def infer_json(spark: SparkSession, path: str, since: dt.datetime | None = None)
     """Schema of the JSON files changed after ``since``, as Spark infers it on the executors."""
     reader = spark.read
     if since is not None:
-        zone = dt.timezone.utc if spark.conf.get("spark.sql.session.timeZone") == "UTC" else None
-        stamp = since.astimezone(zone).strftime("%Y-%m-%dT%H:%M:%S")
-        reader = reader.option("modifiedAfter", stamp)
+        stamp = since.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("timeZone", "UTC").option("modifiedAfter", stamp)
     return reader.json(path).schema
 
 
