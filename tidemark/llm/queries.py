@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, sketches
+from tidemark.llm import idfiles, lines, packing, quality, simhash, sketches
 from tidemark.llm.common import Query, store, table
+from tidemark.session import run_dir
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +56,28 @@ FROM judged
 """
 
 
+LINES_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT r, doc_id, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM docs),
+keyed AS (
+  SELECT *, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+),
+losers AS (SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT a.*, b.k IS NOT NULL AND a.doc_id <> b.holder AS gone FROM keyed a LEFT JOIN losers b USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+
+@query(LINES_SQL)
+def op1_line_dedup(spark, d):
+    kept = lines.dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query(QUALITY_SQL)
 def op3_quality_rules(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
@@ -63,6 +86,18 @@ def op3_quality_rules(spark, d):
     return judged.select("doc_id", *quality.METRICS, "kept")
 
 
+@query()
+def op4_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"))
+
+
+@query()
+def op6_id_files(spark, d):
+    folder = run_dir(spark, "id-files")
+    idfiles.write(table(spark, d, "documents"), folder)
+    return idfiles.read(spark, folder, with_ids=False).drop("ids")
+
+
 @query()
 def op10_fingerprints(spark, d):
     found = sketches.fingerprints(table(spark, d, "documents").select("doc_id", "text"))
@@ -70,3 +105,9 @@ def op10_fingerprints(spark, d):
     return found.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", *counts
     )
+
+
+@query()
+def op2_simhash(spark, d):
+    near = simhash.near_duplicates(table(spark, d, "documents").select("doc_id", "text"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
