@@ -86,6 +86,10 @@ def _segments(fp: Column) -> list[Column]:
     return [F.shiftrightunsigned(fp, SEGMENT_BITS), fp.bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1))]
 
 
+def _keyed(segment: int, keys: Column) -> Column:
+    return F.transform(keys, lambda k: F.struct(F.lit(segment).alias("s"), k.alias("key")))
+
+
 def _near(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_DISTANCE
 
@@ -97,8 +101,7 @@ def links(prints: DataFrame) -> DataFrame:
         F.struct(F.lit(s).alias("s"), p.alias("key")) for s, p in enumerate(parts)
     ])).alias("x")).select("x.s", "x.key", "fp")
     asks = prints.select("fp", F.explode(F.concat(*[
-        F.transform(_ball(p, SEGMENT_BITS * radius), lambda k, s=s: F.struct(F.lit(s).alias("s"), k.alias("key")))
-        for s, (p, radius) in enumerate(zip(parts, RADII, strict=True))
+        _keyed(s, _ball(p, SEGMENT_BITS * radius)) for s, (p, radius) in enumerate(zip(parts, RADII, strict=True))
     ])).alias("x")).select("x.s", "x.key", F.col("fp").alias("other"))
 
     sizes = entries.groupBy("s", "key").agg(F.count(F.lit(1)).alias("n"))
