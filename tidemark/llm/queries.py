@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import idfiles, lines, packing, quality, simhash, sketches
+from tidemark.llm import idfiles, lines, packing, quality, simhash, sketches, substrings
 from tidemark.llm.common import Query, store, table
 from tidemark.session import run_dir
 
@@ -111,3 +111,9 @@ def op10_fingerprints(spark, d):
 def op2_simhash(spark, d):
     near = simhash.near_duplicates(table(spark, d, "documents").select("doc_id", "text"))
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_run_index_dedup(spark, d):
+    kept = substrings.dedup_substrings(table(spark, d, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
