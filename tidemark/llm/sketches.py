@@ -26,7 +26,7 @@ PARAGRAPH_CHARS = 256
 TABLES = 3
 #: Cells of the fingerprint itself.
 CELLS = 12
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def paragraphs(text: Column) -> Column:
@@ -161,16 +161,18 @@ def range_bucket(value: Column, edges: list[int]) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """(bucket, place, doc_id, text, next_text): each text with the next in order of id, after the last the first.
 
-    Ids are cut into ranges of about 16 MB of text. Each range also gets a copy of the first row of the following
+    Ids are cut into ranges of about 8 MB of text, one per shuffle partition at least. Each range also gets a copy of the first row of the following
     one, so the order needs one shuffle and no task sees more than a range.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"),
                     F.count("doc_id").alias("ids")).first()
-    wanted = max(1, -(-((size["b"] or 0) + 64 * size["n"]) // BUCKET_BYTES))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(parts, -(-((size["b"] or 0) + 64 * size["n"]) // BUCKET_BYTES))
     ids = rows.select("doc_id").where(F.col("doc_id").isNotNull()).repartitionByRange(wanted, "doc_id")
-    edges = sorted(r[0] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("doc_id")).collect())
-    edges = sorted(set(edges)) or [0]
+    # Each range is a file of its own.
+    least = store(ids, "id-ranges").groupBy(F.input_file_name()).agg(F.min("doc_id").alias("low"))
+    edges = sorted(r["low"] for r in least.collect()) or [0]
     bucket = F.coalesce(range_bucket(F.col("doc_id"), edges), F.lit(0))
     placed = rows.select(bucket.alias("g"), F.lit(False).alias("guest"), "doc_id", "text")
     has_null = size["ids"] < size["n"]
