@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import idfiles, lines, packing, quality, simhash, sketches, substrings
+from tidemark.llm import idfiles, lines, packing, pieces, quality, simhash, sketches, substrings
 from tidemark.llm.common import Query, store, table
 from tidemark.session import run_dir
 
@@ -117,3 +117,15 @@ def op2_simhash(spark, d):
 def op9_run_index_dedup(spark, d):
     kept = substrings.dedup_substrings(table(spark, d, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op5_sampled_pieces(spark, d):
+    """Per document: ids of a sampled segmentation seeded by its id, and whether decoding gives the text back."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs))
+    ids = F.col("piece_ids")
+    return coded.select(
+        "doc_id", F.size(ids).cast("long").alias("n_pieces"), F.sha2(F.array_join(ids, " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
