@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import idfiles, lines, packing, pieces, quality, simhash, sketches, substrings
+from tidemark.llm import idfiles, licenses, lines, packing, pages, pieces, quality, simhash, sketches, substrings
 from tidemark.llm.common import Query, store, table
 from tidemark.session import run_dir
 
@@ -129,3 +129,18 @@ def op5_sampled_pieces(spark, d):
         "doc_id", F.size(ids).cast("long").alias("n_pieces"), F.sha2(F.array_join(ids, " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
     )
+
+
+@query()
+def op7_html_text(spark, d):
+    text = pages.extract_text(table(spark, d, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op8_license_scan(spark, d):
+    """Per document and license: number of matches, the best containment and the first place."""
+    found = licenses.scan(table(spark, d, "documents"))
+    return found.groupBy("doc_id", "license").agg(
+        F.count(F.lit(1)).alias("n_matches"), F.max("containment").alias("containment"), F.min("first_word").alias("first_word")
+    )
