@@ -87,11 +87,12 @@ def nnls(rows: np.ndarray, goal: np.ndarray, tolerance: float = 1e-6) -> np.ndar
             old = x[which]
             share = np.min(old[low] / np.maximum(old[low] - solved[low], 1e-300))
             old = old + share * (solved - old)
-            old[old < 1e-12] = 0
-            old[low & (old <= 1e-9)] = 0
+            # Those that the fit pushes below zero leave; at least one of them is at zero now.
+            gone = low & (old <= 1e-9)
+            old[gone] = 0
             x[:] = 0
             x[which] = old
-            active[which[old <= 0]] = False
+            active[which[gone]] = False
             if not active.any():
                 break
     return x * scale
