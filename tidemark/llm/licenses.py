@@ -183,7 +183,8 @@ class Scanner:
         for k, at in sorted(found):
             t = self.templates[k]
             low, high = max(0, at - len(t.shingles)), at + 2 * t.window + len(t.shingles)
-            docs = range(int(np.searchsorted(edge, low, "right")) - 1, int(np.searchsorted(edge, high, "left")))
+            last = min(int(np.searchsorted(edge, high, "left")), len(edge) - 1)
+            docs = range(max(int(np.searchsorted(edge, low, "right")) - 1, 0), last)
             for doc in docs:
                 a, z = max(low, int(edge[doc])), min(high + SHINGLE - 1, int(edge[doc + 1]))
                 for b, e, share in self._matches(t, words[a:z]):

@@ -21,8 +21,8 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Ends every document.
 END_ID = 2
-CACHE_ENTRIES = 120_000
-SLICE_CHARS = 4 << 20
+CACHE_ENTRIES = 240_000
+SLICE_CHARS = 8 << 20
 
 _LATIN = "À-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n!-~ {_LATIN}]*")
@@ -101,12 +101,15 @@ class Encoder:
         parts = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
         return self._part(parts[0]) if len(parts) == 1 else b"".join([self._part(p) for p in parts])
 
-    def _cached(self, piece: str) -> bytes:
-        value = self.pieces.get(piece)
-        if value is None:
-            value = self._piece(piece)
-            self.pieces.put(piece, value)
-        return value
+    def _cached(self, pieces: list[str]) -> list[bytes]:
+        out, cache = [], self.pieces
+        for piece in pieces:
+            value = cache.young.get(piece) or cache.get(piece)
+            if value is None:
+                value = self._piece(piece)
+                cache.put(piece, value)
+            out.append(value)
+        return out
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole: dict[int, bytes] = {}
@@ -119,13 +122,13 @@ class Encoder:
         coded = words.values.dictionary_encode()
         index = coded.indices.to_numpy().astype(np.int64)
         if self.byte_level:
-            pieces = [self._cached(" " + w) for w in coded.dictionary.to_pylist()]
+            pieces = self._cached([" " + w for w in coded.dictionary.to_pylist()])
             first = index[starts[:-1]]
             names = coded.dictionary.take(pa.array(first)).to_pylist()
             pieces += [whole[i] if i in whole else self._piece(w) for i, w in enumerate(names)]
             index[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
         else:
-            pieces = [self._cached(w) for w in coded.dictionary.to_pylist()]
+            pieces = self._cached(coded.dictionary.to_pylist())
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
         flat = np.frombuffer(b"".join(pieces), self.kind)
         begins = np.cumsum(sizes) - sizes
