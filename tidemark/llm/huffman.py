@@ -58,14 +58,16 @@ def encode(symbols: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple
     ends = np.cumsum(sizes)
     at = ends - sizes
     total = int(ends[-1]) if len(ends) else 0
-    shift = (32 - sizes - (at & 7)).astype(np.uint64)
-    value = codes[symbols].astype(np.uint64) << shift
-    first = at >> 3
-    out = np.zeros((total + 7) // 8 + 4, np.int64)
-    for k in range(4):
-        part = (value >> np.uint64(24 - 8 * k)) & np.uint64(255)
-        out += np.bincount(first + k, part, len(out)).astype(np.int64)
-    return out.astype(np.uint8).tobytes(), at[::CHECKPOINT].copy()
+    # A code lies in one or two cells of 32 bits.
+    value = codes[symbols].astype(np.uint64) << (64 - sizes - (at & 31)).astype(np.uint64)
+    cell = at >> 5
+    out = np.zeros((total + 31) // 32 + 2, np.uint32)
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]][: len(cell)])
+    if len(first):
+        union = np.bitwise_or.reduceat(value, first)
+        out[cell[first]] = union >> np.uint64(32)
+        out[cell[first] + 1] |= (union & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return out.astype(">u4").tobytes()[:(total + 7) // 8 + 4], at[::CHECKPOINT].copy()
 
 
 class Decoder:
@@ -90,15 +92,14 @@ class Decoder:
         place = np.cumsum(counts) - counts
         order = np.argsort(-counts, kind="stable")
         bits, place, counts = starts[order].astype(np.int64), place[order], counts[order]
-        shift = 32 - self.limit
+        shift = np.uint32(32 - self.limit)
+        # The 32 bits that begin at each byte.
+        wide = stream.astype(np.uint32)
+        ahead = (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:] if len(wide) > 3 else wide
         for step in range(int(counts[0]) if len(counts) else 0):
             live = int(np.searchsorted(-counts, -step, side="left"))
-            at = bits[:live] >> 3
-            word = (
-                (stream[at].astype(np.uint64) << np.uint64(24)) | (stream[at + 1].astype(np.uint64) << np.uint64(16))
-                | (stream[at + 2].astype(np.uint64) << np.uint64(8)) | stream[at + 3].astype(np.uint64)
-            )
-            peek = ((word << (bits[:live] & 7).astype(np.uint64)) & np.uint64(0xFFFFFFFF)) >> np.uint64(shift)
+            now = bits[:live]
+            peek = (ahead[now >> 3] << (now & 7).astype(np.uint32)) >> shift
             out[place[:live] + step] = self.symbol[peek]
-            bits[:live] += self.size[peek]
+            now += self.size[peek]
         return out

@@ -30,6 +30,9 @@ _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_PARTS = re.compile(
     rf"{_CONTRACTIONS}| ?[a-zA-Z{_LATIN}]+| ?[0-9]+| ?[^\sa-zA-Z0-9{_LATIN}]+|\s+(?!\S)|\s+"
 )
+#: Nearly all pieces: letters with at most a full stop or comma behind them.
+_BYTE_SIMPLE = re.compile(rf"( ?[a-zA-Z{_LATIN}]+)([.,]?)")
+_WORD_SIMPLE = re.compile(rf"([a-z{_LATIN}]+)([.,]?)")
 _WORD_PARTS = re.compile(rf"{_CONTRACTIONS}|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+")
 _RUNS = re.compile(r" \s|\s ")
 
@@ -81,6 +84,8 @@ class Encoder:
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.letters = byte_letters()
+        self.space = self.letters[32]
+        self.simple = _BYTE_SIMPLE if self.byte_level else _WORD_SIMPLE
         self.pieces, self.parts = _Cache(entries), _Cache(entries)
         self.model = self.library.model
 
@@ -88,14 +93,19 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _part(self, part: str) -> bytes:
-        value = self.parts.get(part)
+        value = self.parts.young.get(part) or self.parts.get(part)
         if value is None:
-            mapped = part.encode().decode("latin-1").translate(self.letters)
+            mapped = part.replace(" ", self.space) if part.isascii() and part.isprintable() else (
+                part.encode().decode("latin-1").translate(self.letters))
             value = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
             self.parts.put(part, value)
         return value
 
     def _piece(self, piece: str) -> bytes:
+        simple = self.simple.fullmatch(piece if self.byte_level else piece.lower())
+        if simple:
+            word, sign = simple.groups()
+            return self._part(word) + self._part(sign) if sign else self._part(word)
         if not _PLAIN.fullmatch(piece):
             return self._whole(piece)
         parts = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
