@@ -80,3 +80,7 @@ READ_ACTIONS = ["selectFromTable", "readFromTable"]
 
 # Default title of a document without one.
 NO_TITLE = "sem título"
+
+# Bounds of the least gain of a split. Spark averages the gain over the rows of a node, so useful bounds are far
+# below those for summed losses.
+MIN_GAIN = (0.0, 0.05)

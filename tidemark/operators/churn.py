@@ -112,7 +112,7 @@ class Space:
     column_share: tuple[float, float] = (0.6, 1.0)
     rate: tuple[float, float] = (0.005, 0.3)
     trees: tuple[int, int, int] = (100, 800, 50)
-    min_gain: tuple[float, float] = (0.0, 5.0)
+    min_gain: tuple[float, float] = V.MIN_GAIN
 
     def draw(self, rng: random.Random) -> dict[str, float]:
         low, high = self.rate

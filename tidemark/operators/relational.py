@@ -41,6 +41,13 @@ def union_sources(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join by columns of equal names where null equals null; ``on`` stays as in ``left``."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"__r_{c}"]) for c in on])
+    return left.join(renamed, same, how).drop(*[f"__r_{c}" for c in on])
+
+
 def count_by(df: DataFrame, *cols: str, out: str = "n") -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
 

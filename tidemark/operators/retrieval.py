@@ -29,8 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows of either side that one search task holds.
 CELL_QUERIES = 2_048
 CELL_CORPUS = 20_000
-# Clusters of an approximate search, and rows each is learned from.
-_MAX_CELLS = 4_096
+# Rows each cluster of an approximate search is learned from.
 _ROWS_PER_CELL = 256
 # Scores held at once.
 _STRIP = 4_000_000
@@ -241,7 +240,7 @@ def ann_join(
     if n == 0:
         return _ranked(q.sparkSession.createDataFrame([], _HITS), k)
     if cells is None:
-        cells = max(1, min(_MAX_CELLS, round(n ** 0.5)))
+        cells = max(1, round(n ** 0.5))
     norm = Normalizer(inputCol="v", outputCol="unit")
     placed = norm.transform(c.withColumn("v", array_to_vector("cv")))
     share = _ROWS_PER_CELL * cells / n

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.relational import join_null_safe
 from tidemark.operators.sizes import small
 from tidemark.session import stable
 
@@ -47,14 +48,13 @@ def hot_keys(df: DataFrame, key: str, limit: int) -> dict[object, int]:
     """Keys with more rows than ``limit``, and how many.
 
     Rows are first counted per hash bucket of the key, which shrinks to the buckets before
-    the shuffle. Only keys of buckets above the limit are then counted, as a rule none.
-    On very large tables the limit rises to a few average buckets, which bounds the result.
-    Null keys are left out.
+    the shuffle. Only keys of buckets above the limit are then counted, in any number of
+    tasks. The limit is the same for every table; at most rows / limit keys are above it.
+    Null is a key like any other.
     """
     bucket = F.pmod(F.xxhash64(key), F.lit(_BUCKETS))
-    keyed = df.select(key).filter(F.col(key).isNotNull())
+    keyed = df.select(key)
     sizes = keyed.groupBy(bucket.alias("b")).count().collect()  # at most _BUCKETS rows
-    limit = max(limit, 4 * sum(r["count"] for r in sizes) // _BUCKETS)
     full = [r["b"] for r in sizes if r["count"] > limit]
     if not full:
         return {}
@@ -93,7 +93,7 @@ def _sliced(df: DataFrame, v: Versions, slices: int) -> DataFrame:
     )
     prev = F.coalesce(F.lag(v.state()).over(by_slice), F.col("__carry"))
     changed = (
-        cut.join(carried, [v.key, _SLICE])
+        join_null_safe(cut, carried, [v.key, _SLICE], "inner")
         .withColumn("__prev", prev)
         .filter(~v.state().eqNullSafe(F.col("__prev")))
         .drop("__prev", "__carry")
@@ -105,7 +105,7 @@ def _sliced(df: DataFrame, v: Versions, slices: int) -> DataFrame:
         .drop("__first")
     )
     end = F.coalesce(F.lead(v.ts).over(by_slice), F.col("__next"))
-    closed = changed.join(following, [v.key, _SLICE]).withColumn(v.end, end)
+    closed = join_null_safe(changed, following, [v.key, _SLICE], "inner").withColumn(v.end, end)
     return _close(closed.drop("__next", _SLICE), v)
 
 
@@ -124,10 +124,9 @@ def scd2_history(
         hot = hot_keys(df, v.key, hot_rows)
     if not hot:
         return _plain(df, v)
-    is_hot = F.col(v.key).isin(list(hot))
+    is_hot = F.coalesce(F.col(v.key).isin([k for k in hot if k is not None]), F.lit(None in hot))
     slices = max(2, -(-sum(hot.values()) // hot_rows))
-    rest = df.filter(~F.coalesce(is_hot, F.lit(False)))
-    return _plain(rest, v).unionByName(_sliced(df.filter(is_hot), v, slices))
+    return _plain(df.filter(~is_hot), v).unionByName(_sliced(df.filter(is_hot), v, slices))
 
 
 @dataclass(frozen=True)
@@ -152,14 +151,14 @@ def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = H
     """(versions, late rows) for the keys of a batch.
 
     ``touched`` holds the current row of those keys that have one. It becomes the seed of
-    the key's history and is marked in the result. Batch rows not later than their seed
-    are late. Several changes of a key in one batch give several versions. Columns only
+    the key's history and is marked in the result. Batch rows not later than their seed,
+    and those without a time, are late: they start no version. Several changes of a key in one batch give several versions. Columns only
     one side has are null in the rows of the other.
     """
     payload = [c for c in batch.columns if c not in (v.start, v.end, v.flag)]
     starts = touched.select(v.key, F.col(v.start).alias("__since"))
-    dated = batch.select(*payload).join(starts, v.key, "left")
-    is_late = F.coalesce(F.col(v.ts) <= F.col("__since"), F.lit(False))
+    dated = join_null_safe(batch.select(*payload), starts, [v.key], "left")
+    is_late = F.col(v.ts).isNull() | F.coalesce(F.col(v.ts) <= F.col("__since"), F.lit(False))
     fresh = dated.filter(~is_late).drop("__since").withColumn(SEED, F.lit(False))
     # A current row stands for its whole run, so it enters at the start of that run.
     seeds = touched.withColumn(v.ts, F.col(v.start)).drop(v.start, v.end, v.flag).withColumn(SEED, F.lit(True))
@@ -172,10 +171,10 @@ def advance(touched: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = H
 def scd2_apply(current: DataFrame, batch: DataFrame, v: Versions, hot_rows: int = HOT_ROWS) -> Applied:
     """Fold a batch into the current rows (one per key); other keys pass through."""
     keys = small(batch.select(v.key).distinct())
-    versions, late = advance(current.join(keys, v.key, "left_semi"), batch, v, hot_rows)
+    versions, late = advance(join_null_safe(current, keys, [v.key], "left_semi"), batch, v, hot_rows)
     versions = versions.drop(SEED)
     return Applied(
-        current=current.join(keys, v.key, "left_anti").unionByName(
+        current=join_null_safe(current, keys, [v.key], "left_anti").unionByName(
             versions.filter(F.col(v.flag)), allowMissingColumns=True
         ),
         closed=versions.filter(~F.col(v.flag)),

@@ -17,7 +17,13 @@ _ROW_BYTES = 32
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a frame of plain columns: text lengths plus a fixed share per row and column."""
+    """Size of a frame of plain columns: text lengths plus a fixed share per row and column.
+
+    Nested and binary columns have no such bound and are refused.
+    """
+    nested = [c for c, kind in df.dtypes if kind.startswith(("array", "map", "struct", "binary", "variant"))]
+    if nested:
+        raise ValueError(f"not plain columns: {nested}")
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
     row = reduce(lambda a, b: a + b, texts, F.lit(_ROW_BYTES + 8 * len(df.columns)))
     return df.agg(F.sum(row.cast("long")).alias("b")).first()["b"] or 0

@@ -16,6 +16,7 @@ from tidemark.operators import churn, gold, quality, rules
 from tidemark.operators.relational import dedup_by_ingestion, union_sources
 from tidemark.operators.silver import SILVER_VERSIONS, cleanse
 from tidemark.plans.maintenance import maintain
+from tidemark.session import has_rows_stored
 from tidemark.sources import files, sinks
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.versions import VersionStore
@@ -34,6 +35,8 @@ class Feed:
     fmt: str = "json"
     tag: str | None = None
     strict: bool = True
+    #: Raw files a micro-batch takes, which bounds what is kept for its two writes.
+    files_per_batch: int = 1_000
 
 
 @dataclass
@@ -70,11 +73,19 @@ class Lakehouse:
     # --- bronze ---
 
     def ingest(self, feed: Feed, schema: str = V.RAW_SCHEMA) -> list[dict]:
-        """New files of a feed into its bronze table and its quarantine."""
-        grown = schema
+        """New files of a feed into its bronze table and its quarantine.
+
+        JSON is read as text: values of a wrong type and fields the schema does not have yet are rescued, lines
+        that are no object are kept as they are, in both tables.
+        """
+        grown = self._grown_schema(feed, schema)
         if feed.fmt == "json":
-            grown = self._grown_schema(feed, schema)
-        stream = files.with_lineage(files.stream_files(self.spark, feed.path, feed.fmt, grown), feed.tag)
+            lines = files.stream_files(self.spark, feed.path, "text", "value string", feed.files_per_batch)
+            lines = files.with_lineage(lines.filter(F.trim("value") != ""), feed.tag)
+            stream = files.with_rescue(lines, grown)
+        else:
+            raw = files.stream_files(self.spark, feed.path, feed.fmt, grown, feed.files_per_batch)
+            stream = files.with_lineage(raw, feed.tag)
         self._schemas(f"{feed.name}_table").evolve("", stream.schema)
         return run_ingest(
             stream,
@@ -85,8 +96,17 @@ class Lakehouse:
         )
 
     def _grown_schema(self, feed: Feed, schema: str) -> T.StructType:
-        """The schema with the fields of new files; files looked at before are not read again."""
+        """The schema with the fields of new files.
+
+        Of JSON files only those changed since the last look are read; a field missed so is rescued. Of parquet
+        files the footers are read, of all of them, as nothing rescues their columns.
+        """
         store = self._schemas(feed.name)
+        if feed.fmt != "json":
+            if not has_rows_stored(self.spark, feed.path):
+                return store.get(schema)
+            merged = self.spark.read.format(feed.fmt).option("mergeSchema", "true").load(feed.path).schema
+            return store.evolve(schema, merged)
         marks = files.HighWater(self.spark, self.path("control", "marks"))
         job = f"schema:{feed.name}"
         seen, newest = marks.get(job), files.newest_file(self.spark, feed.path)
@@ -130,7 +150,7 @@ class Lakehouse:
             chosen = F.col("batch_id") > last
             if _BACKFILL in new:
                 chosen = chosen | (F.col("batch_id") == _BACKFILL)
-            fresh.append(self.bronze(feed).filter(chosen & (F.col("batch_id") <= max(new))).drop("batch_id"))
+            fresh.append(self.bronze(feed).filter(chosen & (F.col("batch_id") <= max(new))).drop("batch_id", files.RESCUE, files.CORRUPT))
             # Batches go in whole and in order: the largest stands for all before it.
             kept = {max(new)} | ({_BACKFILL} & (done.get(feed, set()) | set(new)))
             done[feed] = kept

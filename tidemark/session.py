@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,15 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: obje
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """Shared folder from ``spark.checkpoint.dir``.
+
+    A local session shares its disk with its executors and gets a temporary folder where none is set; on a
+    cluster an unset folder is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _TEMPORARY.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
         _TEMPORARY[app] = root

@@ -24,8 +24,11 @@ def as_struct(schema: T.StructType | str) -> T.StructType:
 def stream_files(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType | str, files_per_batch: int | None = None, **options: str
 ) -> DataFrame:
-    """Stream over the files of a folder; the checkpoint of its sink remembers those seen."""
-    reader = spark.readStream.format(fmt).schema(as_struct(schema)).options(**options)
+    """Stream over the files of a folder; the checkpoint of its sink remembers those seen.
+
+    Files that arrive late with an old date are taken too; by default they would be passed over.
+    """
+    reader = spark.readStream.format(fmt).schema(as_struct(schema)).options(**{"maxFileAge": "36500d", **options})
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
@@ -96,12 +99,20 @@ def with_rescue(lines: DataFrame, schema: T.StructType | str, text: str = "value
     """JSON lines as typed columns plus two for what does not fit.
 
     ``_rescue`` holds, as JSON, unknown fields and values that do not fit their type;
-    ``_corrupt`` holds a line that is no JSON object.
+    ``_corrupt`` holds a line that is not one JSON object and nothing else.
     """
     schema = as_struct(schema)
-    raw: Column = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    typed = F.from_json(text, schema)
-    parsed = lines.withColumns({"__typed": typed, "__raw": raw})
+    # Text behind the object would be dropped: the line is read as the first of two array items.
+    items = F.from_json(
+        F.concat(F.lit("["), F.col(text), F.lit(', {"__end": "1"}]')), T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    )
+    alone = (
+        (F.size("__items") == 2) & F.get("__items", F.lit(1))["__end"].eqNullSafe("1")
+        & F.get("__items", F.lit(0))["__end"].isNull()
+    )
+    raw: Column = F.when(F.coalesce(alone, F.lit(False)), F.get("__items", F.lit(0)))
+    parsed = lines.withColumn("__items", items).withColumn("__raw", raw)
+    parsed = parsed.withColumn("__typed", F.when(F.col("__raw").isNotNull(), F.from_json(text, schema)))
     names = [f.name for f in schema]
     misfits = [
         F.when(F.col(f"__typed.{n}").isNull() & F.col("__raw")[n].isNotNull(), F.lit(n)) for n in names

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import subfolders
+from tidemark.session import remove_folder, subfolders
 
 _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
@@ -45,8 +46,19 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_slice(df: DataFrame, path: str, col: str, value: object) -> None:
-    """Replaces the rows with ``col = value`` and leaves all other slices alone."""
-    part = df.filter(F.col(col) == F.lit(value).cast(df.schema[col].dataType))
+    """Replaces the rows with ``col = value`` and leaves all other slices alone.
+
+    Without new rows the slice is emptied: its folder goes, as a write would leave it alone.
+    """
+    typed = F.lit(value).cast(df.schema[col].dataType)
+    part = df.filter(F.col(col) == typed)
+    if part.isEmpty():
+        spark = df.sparkSession
+        name = spark.range(1).select(typed.cast("string")).first()[0]
+        for folder in subfolders(spark, path):
+            if unquote(folder) == f"{col}={name}":
+                remove_folder(spark, f"{path.rstrip('/')}/{folder}")
+        return
     part.hint("rebalance").write.mode("overwrite").options(**_DYNAMIC).partitionBy(col).parquet(path)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.relational import join_null_safe
 from tidemark.operators.scd import HOT_ROWS, SEED, Versions, advance, scd2_init
 from tidemark.operators.sizes import small
 from tidemark.session import has_rows_stored, remove_folder
@@ -81,12 +82,12 @@ class VersionStore:
         if keys is not None:
             # A batch touches few keys: the table is then filtered where it is read.
             keys = small(keys)
-            rows = rows.join(keys, v.key, "left_semi")
-            ended = None if ended is None else ended.join(keys, v.key, "left_semi")
+            rows = join_null_safe(rows, keys, [v.key], "left_semi")
+            ended = None if ended is None else join_null_safe(ended, keys, [v.key], "left_semi")
         if ended is None:
             return rows
         ended = ended.select(v.key, v.start)
-        return rows.join(ended if keys is not None else small(ended), [v.key, v.start], "left_anti")
+        return join_null_safe(rows, ended if keys is not None else small(ended), [v.key, v.start], "left_anti")
 
     def current(self) -> DataFrame:
         return self._open()
@@ -99,7 +100,7 @@ class VersionStore:
             return rows
         closing = ended.select(v.key, v.start, F.col(v.end).alias("__end"))
         return (
-            rows.join(closing, [v.key, v.start], "left")
+            join_null_safe(rows, closing, [v.key, v.start], "left")
             .withColumn(v.end, F.coalesce(v.end, "__end"))
             .withColumn(v.flag, F.col(v.end).isNull())
             .select(*rows.columns)
