@@ -11,24 +11,32 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Symbols that fit one sort key at first.
+PACKED = 7
+
+
 def suffix_order(text: np.ndarray, longest: int) -> np.ndarray:
-    """Suffix array of 0-separated strings of at most ``longest`` bytes (values 1 to 256); separators rank by position."""
+    """Suffix array of a text of values 0 to 256 in which no two suffixes share ``longest`` values or more.
+
+    Sorted by seven symbols at first, then by twice as many, until every suffix has a rank of its own. The end of
+    the text is less than any symbol.
+    """
     n = len(text)
-    rank = text.astype(np.int64)
-    ends = np.flatnonzero(text == 0)
-    rank[ends] = np.arange(len(ends))
-    rank[text > 0] += len(ends)
-    span = 1
+    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(PACKED, np.int64)])
+    key = np.zeros(n, np.int64)
+    for k in range(PACKED):
+        key = key * 258 + padded[k:k + n]
+    span = PACKED
     while True:
-        after = np.full(n, -1, np.int64)
-        after[:n - span] = rank[span:]
-        key = rank * (int(rank.max(initial=0)) + 2) + after + 1
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.r_[0, key[order][1:] != key[order][:-1]]) if n else 0
-        rank, span = new, span * 2
-        if span > longest or (n and rank.max() == n - 1):
-            return np.argsort(rank, kind="stable")
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]]) if n else 0
+        if not n or span >= longest or rank[order[-1]] == n - 1:
+            return order
+        after = np.zeros(n, np.int64)
+        after[:n - span] = rank[span:] + 1
+        key, span = rank * (n + 1) + after, span * 2
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -46,7 +54,7 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) ->
 
 
 class RunIndex:
-    """Index over strings joined by separators. ``limit``: lengths are counted no further."""
+    """Index over distinct strings joined by separators. ``limit``: lengths are counted no further."""
 
     def __init__(self, strings: list[bytes], limit: int) -> None:
         joined = np.frombuffer(b"\x00".join(strings) + b"\x00", np.uint8).astype(np.int16)
@@ -54,9 +62,10 @@ class RunIndex:
         self.begins = np.cumsum(sizes + 1) - sizes - 1
         text = joined + 1
         text[self.begins + sizes] = 0
-        order = suffix_order(text, int(sizes.max(initial=0)) + 1)
+        # The strings differ, so a suffix shares less than the rest of its string and a whole other one.
+        order = suffix_order(text, 2 * int(sizes.max(initial=0)) + 3)
         bwt = text[order - 1]
-        # Separators differ from each other, so each ends a run.
+        # Each separator ends a run: the rows of string beginnings are always sampled.
         first = np.flatnonzero(np.r_[True, (bwt[1:] != bwt[:-1]) | (bwt[1:] == 0)])
         at = order[first]
         before = np.where(first > 0, order[first - 1], -1)

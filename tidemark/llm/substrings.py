@@ -1,6 +1,6 @@
 """Suffix-array dedup on a run-length index: bytes of 100-byte strings that also start earlier are removed.
 
-Every 100-byte window has a least 16-byte hash, at the same place in windows of equal bytes. Neighbouring windows
+Every 100-byte window has a least 32-byte hash, at the same place in windows of equal bytes. Neighbouring windows
 with their least hash at one place of the text form a segment, so a window can only equal windows of other
 segments under the same hash. Two Bloom filters find the hashes that may repeat; only their segments are shuffled, as digests:
 
@@ -31,7 +31,7 @@ from tidemark.llm.common import fresh, join_weighted, store, text_of
 from tidemark.llm.runindex import RunIndex
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 #: Windows taken at once from a text, and a power of two beyond the places in them.
 CHUNK = 1 << 19
 PLACES = 1 << 20
@@ -77,7 +77,7 @@ def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
 def suspect_segments(rows: DataFrame, length: int) -> DataFrame:
     """(ord, tid, a, n, cid): segments whose least hash may repeat. ``cid``: the hash and a digest of the bytes."""
     total = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    bits = repeats.bits_for(total // 40)
+    bits = repeats.bits_for(total // 34)
 
     def hashes_of(batch: pa.RecordBatch) -> np.ndarray:
         found = [h for t in batch.column("text").to_pylist() for _, _, h in segments(_raw(t), length)]
