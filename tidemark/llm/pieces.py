@@ -1,9 +1,9 @@
 """SentencePiece encoding by forward filtering and backward sampling over the piece lattice, and decoding.
 
 No piece of such a vocabulary has a space behind another character, so the lattice of a text falls apart into
-those of its words (with the spaces before them). Each distinct word of a batch is filtered forward once: the sum
-of the weights of all segmentations of every prefix. Segmentations are then drawn backward, all words of the batch
-together: at each place one arc is chosen by its share of the prefix sum. The random numbers are a hash of the
+those of its words (with the spaces before them). The distinct words of a batch are filtered forward together,
+place by place: the sum of the weights of all segmentations of every prefix. Segmentations are then drawn
+backward, again all together: at each place one arc is chosen by its share of the prefix sum. The random numbers are a hash of the
 row's key, the word's number in the row and the step, so a row's segmentation depends on nothing else.
 
 A piece that ranks r-th weighs ``(r + 2) ** (-1 / temperature)``; towards temperature 0 the most likely
@@ -19,9 +19,11 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -31,14 +33,48 @@ VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 SEED = 42
 #: Characters of text sampled together.
-SLICE_CHARS = 2 << 20
-#: Lattices of frequent words kept between batches.
-CACHE_WORDS = 20_000
+SLICE_CHARS = 1 << 21
+#: First bits of a hash by which most strings that are no piece are passed over.
+FILTER_BITS = 18
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Stands for a space sign of the text itself while words are split.
 _LITERAL = chr(0xDC81)
 
-Lattice = tuple[list[int], list[int], list[float], list[int], list[int]]
+
+class Lattices(NamedTuple):
+    """Arcs of joined words. A node is a place behind a character; nodes are numbered in the order of their arcs.
+
+    By word: ``first`` character, ``lengths``. By character: ``rank`` of the node behind it, ``spelled``, ``width``
+    in bytes. By node: ``new`` (first arc), ``counts``. By arc: ``begin`` (character), ``inner`` (the same within the
+    word), ``piece`` (-1: the bytes of its character), ``reach`` (the shares of its node's arcs up to it).
+    """
+
+    first: np.ndarray
+    lengths: np.ndarray
+    rank: np.ndarray
+    new: np.ndarray
+    counts: np.ndarray
+    begin: np.ndarray
+    inner: np.ndarray
+    piece: np.ndarray
+    reach: np.ndarray
+    spelled: np.ndarray
+    width: np.ndarray
+
+
+def _draw(x: Lattices, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The first arc of each node whose reach is over ``u``, its last one at the end; by halving its arcs."""
+    low, span = x.new[node], x.counts[node]
+    while (half := span >> 1).any():
+        upper = (half > 0) & (x.reach[low + np.maximum(half, 1) - 1] <= u)
+        low = np.where(upper, low + half, low)
+        span = np.where(upper, span - half, half + (half == 0))
+    return low
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,52 +108,99 @@ class Sampler:
         self.byte_weight = math.exp(-math.log(rank + 2) / temperature)
         self.longest = max(map(len, self.pieces), default=1)
         self.seed = np.uint64(seed)
-        self.cache: dict[str, Lattice] = {}
-
-    def lattice(self, word: str) -> Lattice:
-        """Forward filtering: per place the arcs that end there (begins, shares summed up, pieces)."""
-        known = self.cache.get(word)
-        if known is not None:
-            return known
-        n = len(word)
-        total = [1.0] + [0.0] * n
-        counts, begins, shares, sizes, ids = [0], [], [], [], []
-        get, longest = self.pieces.get, self.longest
-        for j in range(1, n + 1):
-            arcs, sums = 0, 0.0
-            weights = []
-            for i in range(max(0, j - longest), j):
-                found = get(word[i:j])
-                if found is not None:
-                    w = total[i] * found[1]
-                    sums += w
-                    weights.append(sums)
-                    begins.append(i)
-                    sizes.append(1)
-                    ids.append(found[0])
-                    arcs += 1
-            if not arcs or word[j - 1:j] not in self.pieces:
-                raw = word[j - 1].encode("utf-8", "surrogatepass")
-                raw = SPACE.encode() if word[j - 1] == _LITERAL else raw
-                sums += total[j - 1] * self.byte_weight ** len(raw)
-                weights.append(sums)
-                begins.append(j - 1)
-                sizes.append(len(raw))
-                ids += [self.bytes[b] for b in raw]
-                arcs += 1
-            counts.append(arcs)
-            shares += [w / sums for w in weights]
-            # Kept near one, so that long words do not run out of range.
-            total[j] = sums
-            if sums < 1e-200:
-                low = max(0, j - longest)
-                total[low:j + 1] = [t * 1e200 for t in total[low:j + 1]]
-        made = (counts, begins, shares, sizes, ids)
-        if n <= 24:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = made
-        return made
+        self.weights = np.zeros(len(self.texts))
+        self.tables: dict[int, tuple[np.ndarray, ...]] = {}
+        by_length: dict[int, list[str]] = {}
+        for piece, (i, weight) in self.pieces.items():
+            self.weights[i] = weight
+            by_length.setdefault(len(piece), []).append(piece)
+        for n, same in by_length.items():
+            points = _points("".join(same)).reshape(-1, n)
+            hashes = np.zeros(len(same), np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(n):
+                    hashes = hashes * _ODD + points[:, k] + np.uint64(1)
+            order = np.argsort(hashes)
+            ids = np.array([self.pieces[p][0] for p in same], np.int64)
+            there = np.zeros(1 << FILTER_BITS, bool)
+            there[hashes >> np.uint64(64 - FILTER_BITS)] = True
+            self.tables[n] = hashes[order], ids[order], points[order], there
+        self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)], np.int64)
+
+    def _arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """(begin, length, piece) of all arcs over the words joined; piece -1: the bytes of one character."""
+        points = _points("".join(words))
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
+        hashes = np.zeros(len(points), np.uint64)
+        begins, sizes, ids = [], [], []
+        for n in range(1, self.longest + 1):
+            if n > len(points):
+                break
+            with np.errstate(over="ignore"):
+                hashes = hashes[:len(points) - n + 1] * _ODD + points[n - 1:] + np.uint64(1)
+            if n not in self.tables:
+                continue
+            keys, pieces, spelled, there = self.tables[n]
+            open_ = np.flatnonzero((left[:len(hashes)] >= n) & there[hashes >> np.uint64(64 - FILTER_BITS)])
+            k = np.minimum(np.searchsorted(keys, hashes[open_]), len(keys) - 1)
+            hit = keys[k] == hashes[open_]
+            at, k = open_[hit], k[hit]
+            same = np.ones(len(at), bool)
+            for c in range(n):
+                same &= points[at + c] == spelled[k, c]
+            at, k = at[same], k[same]
+            if n == 1:
+                bare = np.ones(len(points), bool)
+                bare[at] = False
+                none = np.flatnonzero(bare)
+                begins.append(none)
+                sizes.append(np.ones(len(none), np.int64))
+                ids.append(np.full(len(none), -1, np.int64))
+            begins.append(at)
+            sizes.append(np.full(len(at), n, np.int64))
+            ids.append(pieces[k])
+        return points, lengths, np.concatenate(begins), np.concatenate(sizes), np.concatenate(ids)
+
+    def lattices(self, words: list[str]) -> Lattices:
+        """Forward filtering of all words: arcs in order of the place and word where they end."""
+        points, lengths, begin, size, piece = self._arcs(words)
+        first = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(words)), lengths)
+        inner = np.arange(len(points)) - first[owner]
+        spelled = np.where(points == ord(_LITERAL), ord(SPACE), points)
+        width = 1 + (spelled > 0x7F).astype(np.int64) + (spelled > 0x7FF) + (spelled > 0xFFFF)
+        end = begin + size - 1
+        weight = np.where(piece >= 0, self.weights[piece], self.byte_weight ** width[end])
+        order = np.lexsort((begin, end, inner[end]))
+        begin, piece, end, weight = begin[order], piece[order], end[order], weight[order]
+        new = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])
+        counts = np.diff(np.r_[new, len(end)])
+        last = end[new]
+        steps = np.flatnonzero(np.r_[True, inner[last[1:]] != inner[last[:-1]], True])
+        total, before = np.zeros(len(points)), np.ones(len(words))
+        share = np.empty(len(end))
+        for a, z in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
+            low, high = int(new[a]), int(new[a]) + int(counts[a:z].sum())
+            at = begin[low:high]
+            part = weight[low:high] * np.where(inner[at] > 0, total[at - 1], before[owner[at]])
+            sums = np.add.reduceat(part, new[a:z] - low)
+            share[low:high] = part / np.repeat(sums, counts[a:z])
+            total[last[a:z]] = sums
+            faint = last[a:z][sums < 1e-200]
+            if len(faint):
+                # Kept in range: only shares within a place matter.
+                for k in range(self.longest):
+                    near = faint[inner[faint] >= k] - k
+                    total[near] *= 1e200
+                early = faint[inner[faint] < self.longest]
+                before[owner[early]] *= 1e200
+        node = np.repeat(np.arange(len(new)), counts)
+        summed = np.cumsum(share)
+        reach = summed - (summed - share)[new][node]
+        rank = np.empty(len(points), np.int64)
+        rank[last] = np.arange(len(new))
+        return Lattices(first, lengths, rank, new, counts, begin, inner[begin], piece, reach, spelled, width)
 
     def _words(self, text: str) -> list[str]:
         if not text:
@@ -153,35 +236,25 @@ class Sampler:
         per_doc = np.fromiter(map(len, docs), np.int64, len(docs))
         index: dict[str, int] = {}
         word = np.fromiter((index.setdefault(w, len(index)) for d in docs for w in d), np.int64, int(per_doc.sum()))
-        counts, begins, shares, sizes, ids = [], [], [], [], []
-        for w in index:
-            for whole, part in zip((counts, begins, shares, sizes, ids), self.lattice(w), strict=True):
-                whole += part
-        lengths = np.fromiter(map(len, index), np.int64, len(index))
-        base = np.cumsum(lengths + 1) - lengths - 1
-        counts_ = np.array(counts, np.int64)
-        node = np.repeat(np.arange(len(counts_)), counts_)
-        reach = node + np.array(shares, np.float64)
-        last = np.cumsum(counts_)
-        begins_, sizes_, ids_ = np.array(begins, np.int64), np.array(sizes, np.int64), np.array(ids, np.int64)
-        id_at = np.cumsum(sizes_) - sizes_
+        if not index:
+            return [np.zeros(0, np.int64)] * len(docs)
+        x = self.lattices(list(index))
 
         doc = np.repeat(np.arange(len(docs)), per_doc)
         number = np.arange(len(word)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
         with np.errstate(over="ignore"):
             start = mix(np.array(keys, np.uint64) + self.seed * np.uint64(0x9E3779B97F4A7C15))
             lane_seed = mix(start[doc] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        place = lengths[word]
+        place = x.lengths[word]
         lane = np.arange(len(word))
         steps = []
         while len(lane):
             with np.errstate(over="ignore"):
                 u = mix(lane_seed[lane] + np.uint64(len(steps) + 1) * np.uint64(0xD1B54A32D192ED03))
-            at = base[word[lane]] + place
-            arc = np.searchsorted(reach, at + (u >> np.uint64(11)).astype(np.float64) / (1 << 53), side="right")
-            arc = np.clip(arc, last[at] - counts_[at], last[at] - 1)
+            node = x.rank[x.first[word[lane]] + place - 1]
+            arc = _draw(x, node, (u >> np.uint64(11)).astype(np.float64) / (1 << 53))
             steps.append((lane, arc))
-            place = begins_[arc]
+            place = x.inner[arc]
             lane, place = lane[place > 0], place[place > 0]
         n = np.zeros(len(word), np.int64)
         for lane, arc in steps:
@@ -190,9 +263,14 @@ class Sampler:
         arcs = np.zeros(int(n.sum()), np.int64)
         for step, (lane, arc) in enumerate(steps):
             arcs[first[lane] + n[lane] - 1 - step] = arc
-        widths = sizes_[arcs]
+        piece = x.piece[arcs]
+        bare = piece < 0
+        widths = np.where(bare, x.width[x.begin[arcs]], 1)
         ends = np.cumsum(widths)
-        flat = ids_[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - widths - id_at[arcs], widths)]
+        flat = np.repeat(piece, widths)
+        if bare.any():
+            raw = "".join(map(chr, x.spelled[x.begin[arcs[bare]]].tolist())).encode("utf-8", "surrogatepass")
+            flat[np.repeat(bare, widths)] = self.byte_ids[np.frombuffer(raw, np.uint8)]
         bounds = np.r_[0, ends][np.r_[0, np.cumsum(n)]][np.r_[0, np.cumsum(per_doc)]]
         return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
@@ -212,6 +290,15 @@ def sampler(vocabulary: str, temperature: float, seed: int) -> Sampler:
     return _SAMPLERS[at]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``SLICE_CHARS``."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    part = ends // SLICE_CHARS
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True][: len(part) + 1]) if len(part) else []
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True) if len(part) else ():
+        yield batch.slice(int(a), int(z - a))
+
+
 def encode(
     docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, temperature: float = 1.0, seed: int = SEED,
 ) -> DataFrame:
@@ -221,11 +308,12 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample = sampler(vocabulary, temperature, seed)
         for batch in batches:
-            ids = sample.encode(batch.column("text").to_pylist(), batch.column(key).to_pylist())
-            offsets = np.cumsum(np.r_[0, [len(x) for x in ids]]).astype(np.int32)
-            flat = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], lists], names=[*names, "piece_ids"])
+            for part in _parts(batch):
+                ids = sample.encode(part.column("text").to_pylist(), part.column(key).to_pylist())
+                offsets = np.cumsum(np.r_[0, [len(x) for x in ids]]).astype(np.int32)
+                flat = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], lists], names=[*names, "piece_ids"])
 
     fields = [f for f in docs.schema.fields if f.name != "piece_ids"]
     return docs.select(*names).mapInArrow(run, T.StructType([*fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
