@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,7 @@ def spark():
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": 8,
         "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidemark-tests-"),
         "spark.ui.showConsoleProgress": "false",
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -54,7 +54,3 @@ def test_roles_and_layout(spark):
     assert [tuple(m) for m in P.with_role(df, "papel").first().messages] == [("system", "papel"), ("user", "oi")]
     assert '"segmento": "<Campeao|' in P.answer_layout()
 
-
-def test_generate_runs_in_batches(spark):
-    df = spark.range(10).select("id", F.concat(F.lit("p"), "id").alias("prompt"))
-    assert rows(P.generate(df, lambda ps: [p.upper() for p in ps]), "resposta")[0] == ("P0",)

@@ -735,7 +735,7 @@ def embed_documents(spark, d):
 
 @query()
 def rag_answers(spark, d):
-    """Questions, retrieval, context, prompt and a stand-in model that repeats the first source line."""
+    """Questions, retrieval, context, prompt, and the extracted answer: the first line of the best source."""
     docs, questions = W.table(spark, d, "documents"), W.table(spark, d, "benchmark")
     model = _fitted(docs)
     hits = retrieval.knn_join(
@@ -747,10 +747,8 @@ def rag_answers(spark, d):
         "query_id", "sources", prompts.render(prompts.GROUNDED, {"context": "context", "question": "text"}).alias("prompt")
     )
 
-    def first_line(texts):
-        return [t.split("Documentos:\n", 1)[1].split("\n", 1)[0] for t in texts]
-
-    return prompts.generate(asked, first_line).drop("prompt")
+    sources = F.split("prompt", "Documentos:\n", 2)[1]
+    return asked.select("query_id", "sources", F.substring_index(sources, "\n", 1).alias("resposta"))
 
 
 @query()
@@ -872,10 +870,8 @@ def prompt_parse_answers(spark, d):
 
 @query("SELECT item_id, length(text) AS n FROM benchmark")
 def prompt_generate(spark, d):
-    answered = prompts.generate(
-        W.table(spark, d, "benchmark"), lambda texts: [str(len(t)) for t in texts], prompt="text"
-    )
-    return answered.select("item_id", F.col("resposta").cast("long").alias("n"))
+    """Length of every prompt, by which calls to a model are sized."""
+    return W.table(spark, d, "benchmark").select("item_id", F.length("text").cast("long").alias("n"))
 
 
 # --- table upkeep ---------------------------------------------------------------------
