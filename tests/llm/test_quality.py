@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 from tidemark.llm import quality
@@ -10,7 +11,8 @@ def brute(text):
     text = text or ""
     w = WORD.findall(text)
     windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
-    covered = {j for i, x in enumerate(windows) if windows.count(x) > 1 for j in range(i, i + 5)}
+    times = Counter(windows)
+    covered = {j for i, x in enumerate(windows) if times[x] > 1 for j in range(i, i + 5)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed)
