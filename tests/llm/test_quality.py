@@ -53,6 +53,11 @@ def test_a_lone_failure_does_not_condemn_its_host(spark):
     assert rate < 0.5
 
 
+def test_own_columns_stay(spark):
+    df = spark.createDataFrame([(1, good(1), "h", -7, "x")], "doc_id long, text string, source string, n_words int, kept string")
+    assert [tuple(r) for r in quality.keep_good(df).collect()] == [(1, good(1), "h", -7, "x")]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert quality.keep_good(df).count() == 0

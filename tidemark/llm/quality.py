@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HEAVY_SHARE, SPACES, small, text_of
+from tidemark.llm.common import SPACES, fresh, join_weighted, text_of
+from tidemark.operators.sizes import BROADCAST_BYTES, measured_bytes
 
 WINDOW = 5
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -113,22 +114,28 @@ def host_rates(metrics: DataFrame) -> DataFrame:
 def with_verdicts(metrics: DataFrame, hosts: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``metrics`` with ``kept``: base rules passed, and the host not rejected.
 
-    Rejected hosts that hold over 1/1000 of the documents are at most 1000 and are broadcast; the others are
-    broadcast if they measure small, else joined by a shuffle of their small groups.
+    Rejected hosts are broadcast if they measure small. Else those that hold over 1/1000 of the documents, at most
+    1000, are broadcast, and the others joined by a shuffle of their small groups.
     """
     rejected = hosts.where(F.col("rate") > rules.max_host_rate).select("source", "n", F.lit(True).alias("_rejected"))
-    total = hosts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    heavy = F.broadcast(rejected.where(F.col("n") * HEAVY_SHARE > total).select("source", F.lit(True).alias("_heavy")))
-    light = small(rejected.where(F.col("n") * HEAVY_SHARE <= total).drop("n"))
     kept = [c for c in metrics.columns if c != "kept"]
-    base = metrics.select(*kept).join(heavy, "source", "left")
-    open_ = base.where(F.col("_heavy").isNull() & F.col("source").isNotNull()).join(light, "source", "left")
-    closed = base.where(F.col("_heavy").isNotNull() | F.col("source").isNull()).withColumn("_rejected", F.col("_heavy"))
-    both = open_.unionByName(closed)
+    base = metrics.select(*kept)
+    if measured_bytes(rejected.select("source", "n")) <= BROADCAST_BYTES:
+        both = base.join(F.broadcast(rejected.drop("n")), "source", "left")
+    else:
+        total = hosts.agg(F.sum("n").alias("n")).first()["n"] or 0
+        both = join_weighted(base.where("source IS NOT NULL"), rejected, "source", "n", total, "left").select(*kept, "_rejected")
+        both = both.unionByName(base.where("source IS NULL").withColumn("_rejected", F.lit(None).cast("boolean")))
     return both.select(*kept, (~F.col("base_failed") & F.col("_rejected").isNull()).alias("kept"))
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the base rules and their host's verdict keep, with the columns of ``docs``."""
-    metrics = with_metrics(docs, rules)
-    return with_verdicts(metrics, host_rates(metrics), rules).where("kept").select(*docs.columns)
+    # A filter would be moved below the metrics and repeat them inside each other; it is not moved below a row number.
+    row = fresh("_row", docs.columns)
+    aside = {c: fresh(f"_own_{c}", docs.columns) for c in docs.columns if c in (*METRICS, "kept")}
+    metrics = with_metrics(docs.withColumnsRenamed(aside), rules).withColumn(row, F.monotonically_increasing_id())
+    judged = with_verdicts(metrics, host_rates(metrics), rules)
+    return judged.where(F.col("kept") & (F.col(row) >= 0)).select(
+        *[F.col(aside.get(c, c)).alias(c) for c in docs.columns]
+    )
