@@ -171,8 +171,11 @@ def test_clustering_narrows_the_files(spark):
     spans = placed.groupBy("f").agg(F.min("c"), F.max("c"), F.min("d").cast("string"), F.max("d").cast("string")).collect()
     assert len(spans) >= 6
     touched = lambda low, high, v: sum(s[low] <= v <= s[high] for s in spans)
-    assert touched(1, 2, "Customer#000250") <= len(spans) * 0.75
-    assert touched(3, 4, "2024-05-20") <= len(spans) * 0.75
+    # Range edges are sampled, so values beside a cell's edge may touch files on both sides: take the mean of several.
+    ids = [f"Customer#{k:06d}" for k in range(30, 500, 60)]
+    days = [str(dt.date(2024, 1, 1) + dt.timedelta(days=k)) for k in range(20, 300, 40)]
+    assert sum(touched(1, 2, v) for v in ids) / len(ids) <= len(spans) * 0.75
+    assert sum(touched(3, 4, v) for v in days) / len(days) <= len(spans) * 0.75
 
 
 def test_clustering_splits_a_hot_value(spark):
