@@ -98,6 +98,15 @@ def test_operator_on_odd_rows(spark):
     assert simhash.keep_one(docs.where("false")).count() == 0
 
 
+def test_every_component_keeps_a_row(spark):
+    """Rows without id, and components whose smallest id is the same."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (5, c), (9, c), (5, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()), key=lambda r: r[1])
+    assert kept == [(None, a), (None, b), (5, c), (5, d)]
+
+
 def test_whole_table(spark, small):
     from tidemark.llm.queries import QUERIES
 

@@ -19,7 +19,7 @@ unless no row of it has one; rows with equal ids keep their own fingerprints.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,13 +120,20 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.unionByName(met.where(_near("u", "v")))
 
 
-def classes(prints: DataFrame) -> DataFrame:
-    """(fp, n, component_id) of every distinct fingerprint. ``prints``: doc_id, fp."""
+def grouped(prints: DataFrame, linked: Callable[[DataFrame], DataFrame] = links) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, n, component) of every distinct fingerprint: its smallest id, its rows, a fingerprint that names
+    its component; and (node, component) of those with links. ``prints``: doc_id, fp. ``linked``: finds the links."""
     nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "prints")
-    members = components(links(nodes.select("fp")))
+    members = components(linked(nodes.select("fp")))
     named = nodes.join(members.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
+    return named, members
+
+
+def classes(prints: DataFrame) -> DataFrame:
+    """(fp, n, component_id) of every distinct fingerprint. ``prints``: doc_id, fp."""
+    named, members = grouped(prints)
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     # A class of one fingerprint names itself; only the others meet under their component.
     several = members.select("component").distinct()
@@ -153,13 +160,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return with_class(prints, classes(prints), "fp")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of every component: the one that names it. Of rows with the same id, one."""
-    fp, rank = fresh("_fp", docs.columns), fresh("_rank", docs.columns)
-    near = near_duplicates(docs)
-    stays = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", F.col("fp").alias("_stay")).distinct()
-    stays = stays.groupBy("doc_id").agg(F.min("_stay").alias("_stay")).withColumnRenamed("doc_id", "_id")
-    marked = with_fingerprint(docs, fp)
+def staying(docs: DataFrame, marked: DataFrame, named: DataFrame, fp: str) -> DataFrame:
+    """One row of every component: of its rows that with the smallest id (none last), fingerprint and text.
+
+    ``marked``: ``docs`` with the fingerprint in ``fp``. ``named``: the first of what ``grouped`` returns.
+    """
+    rank = fresh("_rank", marked.columns)
+    first = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "fp")).alias("x")
+    stays = named.groupBy("component").agg(first).select(F.col("x.first").alias("_id"), F.col("x.fp").alias("_stay"))
     met = marked.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col(fp) == F.col("_stay")), "inner")
-    order = Window.partitionBy("_id").orderBy("text")
+    order = Window.partitionBy("_stay").orderBy("text")
     return met.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of every component, whatever ids the rows of other components have."""
+    fp = fresh("_fp", docs.columns)
+    prints = with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "fp", keep_text=False)
+    return staying(docs, with_fingerprint(docs, fp), grouped(store(prints, "simhash"))[0], fp)
