@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import idfiles, licenses, lines, packing, pages, pieces, quality, simhash, sketches, substrings
+from tidemark.llm import (
+    crosstokens, idfiles, licenses, lines, packing, pages, pieces, quality, simhash, sketches, substrings,
+)
 from tidemark.llm.common import Query, store, table
 from tidemark.session import run_dir
 
@@ -144,3 +146,9 @@ def op8_license_scan(spark, d):
     return found.groupBy("doc_id", "license").agg(
         F.count(F.lit(1)).alias("n_matches"), F.max("containment").alias("containment"), F.min("first_word").alias("first_word")
     )
+
+
+@query()
+def op11_cross_tokens(spark, d):
+    found = crosstokens.align_tokenizers(table(spark, d, "documents"), with_groups=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
