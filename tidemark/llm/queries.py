@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    crosstokens, idfiles, licenses, lines, packing, pages, pieces, quality, simhash, sketches, substrings,
+    conversations, crosstokens, idfiles, licenses, lines, packing, pages, pieces, quality, simhash, sketches, substrings, urls,
 )
 from tidemark.llm.common import Query, store, table
 from tidemark.session import run_dir
@@ -152,3 +152,77 @@ def op8_license_scan(spark, d):
 def op11_cross_tokens(spark, d):
     found = crosstokens.align_tokenizers(table(spark, d, "documents"), with_groups=False)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+#: Prefix nodes as lists of (role, text); h is the crc32 of the decimal id, byte by byte and bit by bit.
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS head, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))
+  ), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+),
+rows AS (
+  SELECT c.conv_id, 1 AS kind, t.pos, t.t FROM convs c JOIN turns t ON t.conv_id = c.head AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 2, t.pos, t.t FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+),
+seqs AS (
+  SELECT c.conv_id, coalesce(s.s, []) AS s FROM convs c
+  LEFT JOIN (SELECT conv_id, list(t ORDER BY kind, pos) AS s FROM rows GROUP BY conv_id) s USING (conv_id)
+),
+members AS (
+  SELECT conv_id, d, CASE WHEN d = 0 THEN [] ELSE s[1:d] END AS k
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)
+),
+nodes AS (
+  SELECT min(conv_id) AS conv_id, d, k, count(*) AS n,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(k[d].text) END AS own
+  FROM members GROUP BY d, k
+),
+families AS (SELECT d - 1 AS d, CASE WHEN d = 1 THEN [] ELSE k[1:d - 1] END AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+marked AS (SELECT n.*, coalesce(f.n, 0) AS n_children FROM nodes n LEFT JOIN families f USING (d, k)),
+above AS (
+  SELECT a AS d, CASE WHEN a = 0 THEN [] ELSE k[1:a] END AS k, own, n_children = 0 AS leaf
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM marked)
+),
+trees AS (SELECT d, k, sum(own) AS saved, count(*) FILTER (WHERE leaf) AS n_leaves FROM above GROUP BY d, k),
+ends AS (SELECT s AS k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS h FROM seqs GROUP BY s)
+SELECT m.conv_id, m.d::BIGINT AS depth, p.conv_id AS parent_conv_id, m.n::BIGINT AS n_convs,
+  m.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens,
+  coalesce(e.h, sha256('')) AS ends_sha256
+FROM marked m JOIN trees t USING (d, k) LEFT JOIN ends e ON e.k = m.k
+LEFT JOIN nodes p ON p.d = m.d - 1 AND p.k = CASE WHEN m.d = 1 THEN [] ELSE m.k[1:m.d - 1] END
+"""
+
+
+@query(TRIE_SQL)
+def op12_conversation_trie(spark, d):
+    trie = conversations.conversation_trie(table(spark, d, "conversations"))
+    found = trie.nodes.join(conversations.end_digests(trie.ends), "node", "left")
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(conversations.NO_ENDS)).alias("ends_sha256"),
+    )
+
+
+#: The rules of the url filter.
+URL_RULES = [
+    urls.rule("allow", "org/"), urls.rule("block", "example.org/es/"), urls.rule("block", "example.org/en/1"),
+    urls.rule("allow", "com/fr/"), urls.rule("block", "com/de/"),
+]
+
+
+@query()
+def op13_url_filter(spark, d):
+    """The tables label no pages, so a page takes the labels that ``labels`` has under its id."""
+    clean = ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("clean")
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("page_id"), clean).where("clean IS NOT NULL")
+    judged = urls.judge(table(spark, d, "pages"), labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
