@@ -15,14 +15,18 @@ def rows(n=80, seed=2):
     return list(enumerate([*ODD, *texts, " ".join(rng.choices(words, k=4000)), texts[0], texts[0]]))
 
 
+@pytest.mark.parametrize("as_text", [False, True])
 @pytest.mark.parametrize("vocabulary", [tokens.BYTE_VOCABULARY, tokens.WORD_VOCABULARY])
-def test_encoder_equals_the_library(vocabulary):
+def test_encoder_equals_the_library(vocabulary, as_text):
+    """Also with caches that hold a few words only, and with the strings of special tokens in the texts."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.vocabulary_path(vocabulary))
-    library.encode_special_tokens = True
+    library.encode_special_tokens = as_text
     texts = [t for _, t in rows()]
-    small = tokens.Encoder(vocabulary, entries=50)
+    for s in ("<|endoftext|>", "<|startoftext|>"):
+        texts += [s, f"a {s} b", f"a{s}b", f"  {s}  {s}x", s.upper(), s[:-1], f"don't {s}\n\n stop"]
+    small = tokens.Encoder(vocabulary, as_text, cache=40_000)
     for _ in range(2):
         got = [x.tolist() for x in small.encode(texts)]
         assert got == [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]

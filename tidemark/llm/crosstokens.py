@@ -68,10 +68,10 @@ class Vocabularies:
     def __init__(self, a: str, b: str) -> None:
         import sentencepiece
 
-        self.encode_a = encoder(a).encode
+        self.encode_a = encoder(a, special_as_text=True).encode
         self.b_model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(b))
         back = {c: i for i, c in byte_letters().items()}
-        names = encoder(a).library.get_vocab()
+        names = encoder(a, special_as_text=True).library.get_vocab()
         spelled = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             spelled[i] = bytes(back[c] for c in name) if all(c in back for c in name) else name.encode()

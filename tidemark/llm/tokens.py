@@ -3,7 +3,8 @@
 Texts are cut at spaces, where both vocabularies always cut, and each distinct piece of a batch is looked up in
 a bounded cache. Pieces of plain Latin letters, digits and ASCII signs are split here by the vocabulary's own
 pattern and go to the library's model; all others, and texts with runs of white space where the byte vocabulary
-joins spaces, go through the library whole. The strings of special tokens count as ordinary text.
+joins spaces, go through the library whole. The strings of special tokens are special ids, as the library's plain
+call gives them (such texts go through the library whole too), or ordinary text if asked for.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Ends every document.
 END_ID = 2
-CACHE_ENTRIES = 240_000
+#: Bytes of a worker's caches, split over two caches of two generations each.
+CACHE_BYTES = 40 << 20
+#: What an entry takes besides its key and value.
+_ENTRY_BYTES = 180
 SLICE_CHARS = 8 << 20
 
 _LATIN = "À-ÖØ-öø-ÿ"
@@ -54,10 +58,10 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Cache:
-    """Two generations of entries; an entry used again moves to the young one."""
+    """Two generations of at most ``limit`` bytes; an entry used again moves to the young one."""
 
-    def __init__(self, entries: int) -> None:
-        self.entries, self.young, self.old = entries, {}, {}
+    def __init__(self, limit: int) -> None:
+        self.limit, self.size, self.young, self.old = limit, 0, {}, {}
 
     def get(self, key: str) -> bytes | None:
         value = self.young.get(key)
@@ -66,27 +70,35 @@ class _Cache:
         return value
 
     def put(self, key: str, value: bytes) -> None:
-        if len(self.young) >= self.entries:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+        size = len(key) + len(value) + _ENTRY_BYTES
+        if self.size + size > self.limit:
+            self.old, self.young, self.size = self.young, {}, 0
+        if size <= self.limit:
+            self.young[key] = value
+            self.size += size
 
 
 class Encoder:
-    """Encodes texts with one vocabulary. ``byte_level``: spaces belong to tokens, as opposed to being dropped."""
+    """Encodes texts with one vocabulary. ``byte_level``: spaces belong to tokens, as opposed to being dropped.
 
-    def __init__(self, vocabulary: str, entries: int = CACHE_ENTRIES) -> None:
+    ``special_as_text``: whether the strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, vocabulary: str, special_as_text: bool = False, cache: int = CACHE_BYTES) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = special_as_text
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = None if special_as_text or not special else re.compile("|".join(map(re.escape, special)), re.IGNORECASE)
         self.byte_level = "Ġb" in self.library.encode("a b", add_special_tokens=False).tokens
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.letters = byte_letters()
         self.space = self.letters[32]
         self.simple = _BYTE_SIMPLE if self.byte_level else _WORD_SIMPLE
-        self.pieces, self.parts = _Cache(entries), _Cache(entries)
+        self.pieces, self.parts = _Cache(cache // 4), _Cache(cache // 4)
         self.model = self.library.model
 
     def _whole(self, text: str) -> bytes:
@@ -123,10 +135,9 @@ class Encoder:
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole: dict[int, bytes] = {}
-        if self.byte_level:
-            for i, t in enumerate(texts):
-                if _RUNS.search(t):
-                    whole[i], texts[i] = self._whole(t), ""
+        for i, t in enumerate(texts):
+            if (self.byte_level and _RUNS.search(t)) or (self.special and self.special.search(t)):
+                whole[i], texts[i] = self._whole(t), ""
         words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         starts = words.offsets.to_numpy().astype(np.int64)
         coded = words.values.dictionary_encode()
@@ -139,6 +150,9 @@ class Encoder:
             index[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
         else:
             pieces = self._cached(coded.dictionary.to_pylist())
+            at = np.fromiter(whole, np.int64, len(whole))
+            index[starts[at]] = len(pieces) + np.arange(len(at))  # the one piece of an emptied text
+            pieces += whole.values()
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
         flat = np.frombuffer(b"".join(pieces), self.kind)
         begins = np.cumsum(sizes) - sizes
@@ -170,11 +184,11 @@ class Encoder:
             end += n
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, special_as_text: bool = False) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    if (vocabulary, special_as_text) not in _ENCODERS:
+        _ENCODERS[vocabulary, special_as_text] = Encoder(vocabulary, special_as_text)
+    return _ENCODERS[vocabulary, special_as_text]
