@@ -19,7 +19,7 @@ unless no row of it has one; rows with equal ids keep their own fingerprints.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,11 +120,11 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.unionByName(met.where(_near("u", "v")))
 
 
-def grouped(prints: DataFrame, linked: Callable[[DataFrame], DataFrame] = links) -> tuple[DataFrame, DataFrame]:
+def grouped(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fp, first, n, component) of every distinct fingerprint: its smallest id, its rows, a fingerprint that names
-    its component; and (node, component) of those with links. ``prints``: doc_id, fp. ``linked``: finds the links."""
+    its component; and (node, component) of those with links. ``prints``: doc_id, fp."""
     nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "prints")
-    members = components(linked(nodes.select("fp")))
+    members = components(links(nodes.select("fp")))
     named = nodes.join(members.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
