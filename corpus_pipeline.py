@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and reread as the next
 stage's ``docs``. All but the last return the columns of ``documents``; where a stage changes texts, ``n_chars``
 follows them.
+
+Defined results, for every stage: a null or empty text is an empty one (the quality rules reject it); rows without id
+and rows with equal ids are documents of their own, except that of a group of near copies one row stays, that with
+the smallest id, fingerprint and text; a null source is no host; other columns pass through whatever their names; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.llm import lines, nearsets, packing, quality, substrings  # noqa: E402
+from tidemark.llm import lines, packing, quality, simhash, substrings  # noqa: E402
 from tidemark.llm.common import store, table  # noqa: E402
 
 
@@ -37,8 +42,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies."""
-    return nearsets.keep_one(docs)
+    """One document of every group whose SimHash fingerprints link within two bits."""
+    return simhash.keep_one(docs)
 
 
 def long_match_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
