@@ -22,6 +22,15 @@ def extract(html, template=None):
     ("<article><p>1 < 2 &am <p>un<i>closed", "1 < 2 &am\nunclosed"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc\nd"),
     ("<article><p>one</p></article><article><p>two</p></article>", "one\ntwo"),
+    # Names of what holds an article, or of what an element has around it, take nothing away.
+    ("<body class='has-sidebar'><article><p>a</p></article></body>", "a"),
+    ("<body class='sidebar'><main class='no-sidebar'><p>b</p></main></body>", "b"),
+    ("<div id='main' class='with-nav'><p>c</p></div>", "c"),
+    ("<article class='post tag-social category-search'><p>d</p></article>", "d"),
+    ("<div class='sidebar'><article><p>held</p></article></div>", "held"),
+    ("<article><div class='post-header'><h1>T</h1></div><p>e</p><div class='post-comments'>x</div></article>", "T\ne"),
+    ("<article><div class='ad-slot'>x</div><div class='header'>y</div><p class='no-ad'>f</p></article>", "f"),
+    ("<main><p>one</p></main><div>no</div><main><p>two</p></main>", "one\ntwo"),
     ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>end</p></article>", "deep\nend"),
 ])
 def test_pages_without_template(html, text):
@@ -48,6 +57,55 @@ def test_constant_slots_are_template():
         assert extract(html, template) == body.replace("</p><p>", "\n").replace("<p>", "").replace("</p>", "")
 
 
+def learned(htmls):
+    template = None
+    for h in htmls:
+        own = trees.slots_of(trees.parse(h))
+        template = own if template is None else trees.merge(template, own)
+    return template
+
+
+def plain(body):
+    return body.replace("</p><p>", "\n").replace("<p>", "").replace("</p>", "")
+
+
+@pytest.mark.parametrize("n", [2, 5, 20, 300])
+def test_hosts_of_any_size_show_their_template(n):
+    """The same pages give the same texts, however many more their host has."""
+    data = site(n, seed=n)
+    template = learned([h for h, _ in data])
+    for html, body in data:
+        # The block that only some pages have is template where it is the same on all that have it.
+        assert extract(html, template).replace("sometimes\n", "") == plain(body)
+
+
+def test_one_page_shows_nothing():
+    html, body = site(1)[0]
+    assert extract(html, learned([html])) == "Site name\n" + plain(body) + "\nAll rights"
+
+
+def test_constant_containers_are_opened():
+    pages_ = [f"<body><div class=wrap><div class=top>Site</div><div class=box><p>same</p><p>x{i}</p></div></div></body>" for i in range(30)]
+    template = learned(pages_)
+    assert extract(pages_[3], template) == "same\nx3"
+    kept = ["<article><div class=entry><div class=in><p>the text</p></div></div></article>"] * 2
+    assert extract(kept[0], learned(kept)) == "the text"
+
+
+def test_copies_vote_once(spark):
+    """Nine tenths of a host are copies of one page whose article is a plain div: its text stays."""
+    copy = "<body><div class=top>Site</div><div class=story>the article</div></body>"
+    others = [f"<body><div class=top>Site</div><div class=story>text {i}</div></body>" for i in range(4)]
+    rows = [(i, "http://h.org/", copy) for i in range(60)] + [(100 + i, "http://h.org/", h) for i, h in enumerate(others)]
+    rows += [(200 + i, "http://lone.org/", copy) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert pages.distinct_pages(df.selectExpr("url AS host", "html")).count() == 6
+    got = {r["page_id"]: r["text"] for r in pages.extract_text(df).collect()}
+    assert all(got[i] == "the article" for i in range(60)) and got[101] == "text 1"
+    # One distinct page shows no template: the host's only page is whole.
+    assert all(got[200 + i] == "Site\nthe article" for i in range(30))
+
+
 def test_merging_in_any_order_keeps_counts():
     parts = [trees.slots_of(trees.parse(h)) for h, _ in site(24)]
     left = parts[0]

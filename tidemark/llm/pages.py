@@ -1,21 +1,25 @@
 """HTML extraction by wrapper induction: one template per host tells what its pages share.
 
-The element trees of a host's pages are aligned by simple tree matching and merged into a template, first within
-each task, then over tasks in two steps, so a large host is spread. Slots whose text is the same on most pages are
-template; slots that vary hold content. Boilerplate may vary too (menus, adverts), so elements whose tag, class, id
-or role names it are left out; and an article may hold a constant paragraph, so paragraphs and headings inside one
-always stay. If a page marks no article, its content is what the template leaves.
+The element trees of a host's distinct pages are aligned by simple tree matching and merged into a template, first
+within each task, then over tasks in two steps, so a large host is spread. Slots whose text is the same on most pages
+are template; slots that vary hold content. Copies of a page vote once. A constant container is opened and only the
+blocks in it that hold no others are left out, so one that varies elsewhere or holds an article loses nothing else.
+Boilerplate may vary too (menus, adverts), so elements whose tag, class, id or role names it are left out, but never
+the document, its body, an article or ``main``, or what holds one; and an article may hold a constant paragraph, so
+paragraphs and headings inside one always stay. If a page marks no article, its content is what the template leaves.
+
+How sure a constant slot must be follows the number of distinct pages: on up to ``FEW_PAGES`` all must agree, on more
+nine tenths. One page alone shows nothing.
 
 Blocks are joined by line breaks in page order; white space inside a block is one space; a ``br`` is white space.
 
 Defined results: a null or broken page gives what can be read of it, at least an empty text; pages without host
-are one host; hosts with fewer than ``MIN_PAGES`` pages have no constant slots; repeated rows count once each; an
-empty table gives an empty result; other columns pass through.
+are one host; repeated rows are extracted each; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import trees
-from tidemark.llm.common import fresh, join_weighted, store
+from tidemark.llm.common import fresh, join_weighted, small, store
 from tidemark.llm.trees import Node, Slot
 
-#: Fewer pages do not show what is constant.
-MIN_PAGES = 20
+#: Up to so many distinct pages all must have the same text for it to be constant.
+FEW_PAGES = 20
 #: Groups in which the templates of a host's tasks are merged first.
 SALTS = 64
 # Elements that are never article text, and names that mark such elements.
@@ -42,7 +46,12 @@ NAMES = frozenset(
     "share sharing sidebar social sponsor sponsored subscribe toolbar widget replies reply banner navigation "
     "complementary contentinfo search alert".split()
 )
+#: First parts of a name that say what an element has or lacks around it, not what it is.
+ABOUT = frozenset("no has with without is not tag category cat page type format status lang".split())
+#: Names that also count as the last part of another (``post-comments``), unless the element has a heading.
+LAST_NAMES = frozenset("ad ads advert comments comment sidebar menu nav navbar footer newsletter share breadcrumb breadcrumbs".split())
 ROOTS = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT_IN_ROOT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table dl figure".split())
 
 
@@ -50,8 +59,35 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def _is_root(node: Node) -> bool:
+    return node.tag in ROOTS or (node.tag in trees.BLOCKS and "main" in node.names)
+
+
+def _holds(node: Node, what: Callable[[Node], bool]) -> bool:
+    stack = list(node.children)
+    while stack:
+        x = stack.pop()
+        if not isinstance(x, str):
+            if what(x):
+                return True
+            stack.extend(x.children)
+    return False
+
+
 def _named(node: Node) -> bool:
-    return any(part in NAMES for n in node.names for part in (n, *n.replace("_", "-").split("-")))
+    """Whether a name says that the element is boilerplate: a whole name, the first part of one, or certain last parts."""
+    if node.tag in ("html", "body") or _is_root(node):
+        return False
+    last = False
+    for name in node.names:
+        parts = name.replace("_", "-").split("-")
+        if name in NAMES or (parts[0] in NAMES and parts[0] not in ABOUT):
+            break
+        last = last or (parts[0] not in ABOUT and parts[-1] in LAST_NAMES)
+    else:
+        if not last or _holds(node, lambda x: x.tag in HEADINGS):
+            return False
+    return not _holds(node, _is_root)
 
 
 def _skipped(node: Node, in_root: bool) -> bool:
@@ -61,18 +97,35 @@ def _skipped(node: Node, in_root: bool) -> bool:
 
 def _roots(node: Node) -> list[Node]:
     """Outermost articles that are not left out; else outermost ``main`` elements."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
-    stack = [node]
+    articles: list[Node] = []
+    mains: list[Node] = []
+    stack = [(node, False)]
     while stack:
-        x = stack.pop()
+        x, inside = stack.pop()
         if isinstance(x, str) or _skipped(x, False):
             continue
-        if x.tag == "article" or x.tag == "main" or "main" in x.names:
-            found["article" if x.tag == "article" else "main"].append(x)
-            if x.tag == "article":
-                continue
-        stack.extend(reversed(x.children))
-    return found["article"] or [m for m in found["main"][:1]]
+        if x.tag == "article":
+            articles.append(x)
+            continue
+        if _is_root(x):
+            if not inside:
+                mains.append(x)
+            inside = True
+        stack.extend((c, inside) for c in reversed(x.children))
+    return articles or mains
+
+
+def _constant(slot: Slot) -> bool:
+    if slot.pages <= FEW_PAGES:
+        return slot.pages > 1 and slot.votes == slot.pages
+    return slot.constant()
+
+
+def _leaves(node: Node, in_root: bool) -> bool:
+    """Whether a constant element goes: not one that holds blocks, nor in an article a paragraph or part of one."""
+    if in_root and (node.tag in KEPT_IN_ROOT or node.tag not in trees.BLOCKS):
+        return False
+    return not _holds(node, lambda x: x.tag in trees.BLOCKS)
 
 
 class _Text:
@@ -114,8 +167,7 @@ def _collect(node: Node, slot: Slot | None, out: _Text, in_root: bool, judged: b
                 todo.append(" ")
             elif not _skipped(child, in_root):
                 own = pairs.get(id(child))
-                fixed = judged and own is not None and own.pages >= MIN_PAGES and own.constant()
-                if not (fixed and not (in_root and (child.tag in KEPT_IN_ROOT or child.tag not in trees.BLOCKS))):
+                if not (judged and own is not None and _constant(own) and _leaves(child, in_root)):
                     todo.append((child, own))
         stack.extend(reversed(todo))
 
@@ -164,6 +216,20 @@ def _slots_at(page: Node, template: Slot, roots: list[Node]) -> dict[int, Slot]:
     return found
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """One row of each page of a host. ``pages``: host, html.
+
+    Digests are counted alone. Pages that do not repeat stay where they are; of those that do, every task sends one.
+    """
+    marked = pages.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256))
+    seen = marked.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
+    copied = store(seen.where("n > 1").select("host", "digest"), "copied-pages")
+    keys = small(copied)
+    alone = marked.join(keys, ["host", "digest"], "left_anti")
+    once = marked.join(keys, ["host", "digest"], "left_semi").groupBy("host", "digest").agg(F.min("html").alias("html"))
+    return alone.select("host", "html").unionByName(once.select("host", "html"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, n, template) per host. ``pages``: host, html."""
 
@@ -189,7 +255,7 @@ def templates(pages: DataFrame) -> DataFrame:
         return pa.table({c: group[c].slice(0, 1) for c in ("host", "salt")} | {"template": pa.array([trees.dumps(slot)])})
 
     schema = "host string, salt int, template string"
-    parts = store(pages.select("host", "html").mapInArrow(learn, schema), "page-templates")
+    parts = store(distinct_pages(pages.select("host", "html")).mapInArrow(learn, schema), "page-templates")
     halves = parts.groupBy("host", "salt").applyInArrow(join, schema)
     whole = halves.groupBy("host").applyInArrow(join, schema)
     counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"))

@@ -125,7 +125,8 @@ def op9_run_index_dedup(spark, d):
 def op5_sampled_pieces(spark, d):
     """Per document: ids of a sampled segmentation seeded by its id, and whether decoding gives the text back."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs))
+    # Stored in between: a task then runs one Python worker, not two.
+    coded = pieces.decode(store(pieces.encode(docs), "pieces", "zstd"))
     ids = F.col("piece_ids")
     return coded.select(
         "doc_id", F.size(ids).cast("long").alias("n_pieces"), F.sha2(F.array_join(ids, " "), 256).alias("ids_sha256"),

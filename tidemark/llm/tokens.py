@@ -22,8 +22,8 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Ends every document.
 END_ID = 2
-#: Bytes of a worker's caches, split over two caches of two generations each.
-CACHE_BYTES = 40 << 20
+#: Bytes of a worker's caches: of words of letters, and of other parts; two generations each.
+CACHE_BYTES = 64 << 20
 #: What an entry takes besides its key and value.
 _ENTRY_BYTES = 180
 SLICE_CHARS = 8 << 20
@@ -35,8 +35,9 @@ _BYTE_PARTS = re.compile(
     rf"{_CONTRACTIONS}| ?[a-zA-Z{_LATIN}]+| ?[0-9]+| ?[^\sa-zA-Z0-9{_LATIN}]+|\s+(?!\S)|\s+"
 )
 #: Nearly all pieces: letters with at most a full stop or comma behind them.
-_BYTE_SIMPLE = re.compile(rf"( ?[a-zA-Z{_LATIN}]+)([.,]?)")
-_WORD_SIMPLE = re.compile(rf"([a-z{_LATIN}]+)([.,]?)")
+_BYTE_SIMPLE = re.compile(rf" ?[a-zA-Z{_LATIN}]+")
+_WORD_SIMPLE = re.compile(rf"[a-z{_LATIN}]+")
+_SIGNS = frozenset(".,")
 _WORD_PARTS = re.compile(rf"{_CONTRACTIONS}|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+")
 _RUNS = re.compile(r" \s|\s ")
 
@@ -98,39 +99,53 @@ class Encoder:
         self.letters = byte_letters()
         self.space = self.letters[32]
         self.simple = _BYTE_SIMPLE if self.byte_level else _WORD_SIMPLE
-        self.pieces, self.parts = _Cache(cache // 4), _Cache(cache // 4)
+        self.words, self.parts = _Cache(cache * 3 // 8), _Cache(cache // 8)
         self.model = self.library.model
+        self.signs = {sign: self._tokenize(sign) for sign in _SIGNS}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _tokenize(self, part: str) -> bytes:
+        """The ids of a part the vocabulary's pattern gives, by the library's model."""
+        mapped = part.replace(" ", self.space) if part.isascii() and part.isprintable() else (
+            part.encode().decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
     def _part(self, part: str) -> bytes:
-        value = self.parts.young.get(part) or self.parts.get(part)
+        value = self.parts.get(part)
         if value is None:
-            mapped = part.replace(" ", self.space) if part.isascii() and part.isprintable() else (
-                part.encode().decode("latin-1").translate(self.letters))
-            value = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            value = self._tokenize(part)
             self.parts.put(part, value)
         return value
 
     def _piece(self, piece: str) -> bytes:
-        simple = self.simple.fullmatch(piece if self.byte_level else piece.lower())
-        if simple:
-            word, sign = simple.groups()
-            return self._part(word) + self._part(sign) if sign else self._part(word)
         if not _PLAIN.fullmatch(piece):
             return self._whole(piece)
         parts = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
         return self._part(parts[0]) if len(parts) == 1 else b"".join([self._part(p) for p in parts])
 
+    def _word(self, word: str) -> bytes | None:
+        """The ids of a word of letters alone, which a sign behind it does not change; None for any other piece."""
+        value = self.words.get(word)
+        if value is None:
+            letters = word if self.byte_level else word.lower()
+            if not self.simple.fullmatch(letters):
+                return None
+            value = self._tokenize(letters)
+            self.words.put(word, value)
+        return value
+
     def _cached(self, pieces: list[str]) -> list[bytes]:
-        out, cache = [], self.pieces
+        out, words = [], self.words
         for piece in pieces:
-            value = cache.young.get(piece) or cache.get(piece)
+            word, tail = (piece[:-1], self.signs[piece[-1]]) if piece and piece[-1] in _SIGNS else (piece, b"")
+            value = words.young.get(word)
             if value is None:
-                value = self._piece(piece)
-                cache.put(piece, value)
-            out.append(value)
+                value = self._word(word)
+                if value is None:
+                    value, tail = self._piece(piece), b""
+            out.append(value + tail if tail else value)
         return out
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +161,7 @@ class Encoder:
             pieces = self._cached([" " + w for w in coded.dictionary.to_pylist()])
             first = index[starts[:-1]]
             names = coded.dictionary.take(pa.array(first)).to_pylist()
-            pieces += [whole[i] if i in whole else self._piece(w) for i, w in enumerate(names)]
+            pieces += [whole[i] if i in whole else b for i, b in enumerate(self._cached(names))]
             index[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
         else:
             pieces = self._cached(coded.dictionary.to_pylist())

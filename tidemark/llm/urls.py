@@ -93,10 +93,11 @@ def _wildcard(segment: Column) -> Column:
 def templates(paths: DataFrame) -> DataFrame:
     """``paths`` (distinct host and path) with ``template``: a list of ``=literal`` and ``*wildcard`` segments."""
     rest = paths.withColumn("segments", _segments(F.col("path"))).withColumn("template", F.array().cast("array<string>"))
-    ready = []
+    rest, ready = store(rest, "paths"), []
     for level in range(LEVELS + 1):
+        # Paths that end here are ready; all lie in one table, written once a level.
         ready.append(rest.where(F.size("segments") <= level).drop("segments"))
-        rest = store(rest.where(F.size("segments") > level), "paths")
+        rest = rest.where(F.size("segments") > level)
         total = rest.count()
         if not total:
             break
@@ -110,7 +111,7 @@ def templates(paths: DataFrame) -> DataFrame:
         segment = F.col("key.segment")
         step = F.when(F.col("n").isNotNull(), F.concat(F.lit("="), segment)).otherwise(_wildcard(segment))
         rest = join_weighted(keyed, literals, "key", "n", total, "left")
-        rest = rest.withColumn("template", F.concat("template", F.array(step))).drop("key", "n")
+        rest = store(rest.withColumn("template", F.concat("template", F.array(step))).drop("key", "n"), "paths")
     out = ready[0]
     for part in ready[1:]:
         out = out.unionByName(part)
@@ -182,19 +183,20 @@ def purities(counted: DataFrame) -> DataFrame:
     hosts = counted.groupBy("host").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
     hosts = hosts.select("host", ((F.col("g") + STRENGTH * overall) / (F.col("g") + F.col("b") + STRENGTH)).alias("purity"))
     rest = counted.join(hosts, "host").withColumn("place", F.array().cast("array<string>"))
-    rest = rest.withColumn("steps", F.concat("template", F.array(F.lit(_END))))
-    ready = []
+    rest, ready = store(rest.withColumn("steps", F.concat("template", F.array(F.lit(_END)))), "branches"), []
     for level in range(LEVELS + 2):
         ready.append(rest.where(F.size("steps") <= level))
-        rest = store(rest.where(F.size("steps") > level).withColumn("branch", F.col("steps")[level]), "branches")
+        rest = rest.where(F.size("steps") > level)
         if rest.isEmpty():
             break
+        rest = rest.withColumn("branch", F.col("steps")[level])
         branches = rest.groupBy("host", "place", "branch").agg(
             F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("purity").alias("purity")
         )
         merged = branches.repartition("host", "place").sortWithinPartitions("host", "place").mapInArrow(_merge, _MERGED)
         rest = rest.join(store(merged, "merged"), ["host", "place", "branch"]).withColumn("purity", F.col("purity_below"))
         rest = rest.withColumn("place", F.concat("place", F.array("merged"))).drop("branch", "merged", "purity_below")
+        rest = store(rest, "branches")
     out = ready[0]
     for part in ready[1:]:
         out = out.unionByName(part)
