@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,3 +89,23 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def _located(spark: SparkSession, uri: str):
+    """The path of a file as ``_metadata.file_path`` names it, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove_file(spark: SparkSession, uri: str) -> None:
+    path, fs = _located(spark, uri)
+    fs.delete(path, False)
+
+
+def move_file(spark: SparkSession, uri: str, folder: str, inside: str) -> None:
+    """Renames a file to ``inside``, an encoded path below ``folder``; its folders are made."""
+    path, fs = _located(spark, uri)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder, unquote(inside))
+    fs.mkdirs(target.getParent())
+    if not fs.rename(path, target):
+        raise OSError(f"could not move {uri}")

@@ -25,13 +25,16 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "batch_id") -> None:
+def append_batch(
+    df: DataFrame, path: str, batch_id: int, batch_col: str = "batch_id", within: Sequence[str] = ()
+) -> None:
     """Adds a batch as its own partition: writing the same batch again changes nothing.
 
     New columns are allowed: readers give the grown schema, or merge (:func:`read_merged`).
+    ``within`` names columns that part the batch further.
     """
     tagged = df.withColumn(batch_col, F.lit(batch_id).cast("long"))
-    tagged.write.mode("overwrite").options(**_DYNAMIC).partitionBy(batch_col).parquet(path)
+    tagged.write.mode("overwrite").options(**_DYNAMIC).partitionBy(batch_col, *within).parquet(path)
 
 
 def batch_ids(spark: SparkSession, path: str, batch_col: str = "batch_id") -> list[int]:
@@ -62,5 +65,22 @@ def replace_slice(df: DataFrame, path: str, col: str, value: object) -> None:
     part.hint("rebalance").write.mode("overwrite").options(**_DYNAMIC).partitionBy(col).parquet(path)
 
 
+def replace_folders(df: DataFrame, path: str, cols: Sequence[str], values: Sequence[tuple]) -> None:
+    """Replaces the partitions ``values`` of ``cols`` by the rows of ``df``, which has no others.
+
+    Partitions without new rows are emptied; all others are left alone.
+    """
+    if not values:
+        return
+    df = df.persist()
+    try:
+        df.hint("rebalance", *cols).write.mode("overwrite").options(**_DYNAMIC).partitionBy(*cols).parquet(path)
+        present = {tuple(r) for r in df.select(*cols).distinct().collect()}  # partitions
+    finally:
+        df.unpersist()
+    for value in set(values) - present:
+        remove_folder(df.sparkSession, "/".join([path.rstrip("/"), *[f"{c}={v}" for c, v in zip(cols, value, strict=True)]]))
+
+
 def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
