@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import cells as C
 from tidemark.operators import retrieval as R
 
 
@@ -38,7 +40,7 @@ def test_exact_search_against_brute_force(spark, way):
     cm, c = vectors(spark, 300, 2, copies=100)
     qm[0] = cm[0]
     q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(qm)], "query_id long, embedding array<double>")
-    extra = {} if way == "scan" else {"max_broadcast": 0, "cell_queries": 5, "cell_corpus": 40}
+    extra = {} if way == "scan" else {"max_broadcast": 0, "cell_corpus": 40}
     got = R.knn_join(q, c.repartition(5), 5, **extra)
     assert pairs(got) == brute(qm, cm, 5)
 
@@ -57,7 +59,7 @@ def test_all_probes_give_the_exact_result_and_few_give_most(spark):
     qm, q = vectors(spark, 20, 5)
     cm, c = vectors(spark, 400, 6, copies=130)
     q = q.filter("id < 19").withColumnRenamed("id", "query_id")
-    full = R.ann_join(q, c.filter("id < 399"), 5, cells=6, probes=6, cell_corpus=50, cell_queries=7)
+    full = R.ann_join(q, c.filter("id < 399"), 5, cells=6, probes=6, part_rows=50)
     assert pairs(full) == brute(qm[:19], cm[:399], 5)
     some = R.ann_join(q, c.filter("id < 399"), 5, cells=6, probes=3)
     near = {p[:2] for p in pairs(some)} & {p[:2] for p in brute(qm[:19], cm[:399], 5)}
@@ -91,3 +93,92 @@ def test_index_refresh_embeds_only_changes(spark):
     assert again.count() == 9
     assert rows(again.filter(F.size("embedding") == 64), "doc_id") == [(3,)]
     assert rows(R.embed(docs, model), "doc_id", "embedding") == rows(R.embed(docs.repartition(3), model), "doc_id", "embedding")
+
+
+def clustered_vectors(n, d, groups, seed, spread=0.35):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(groups, d))
+    return centers[rng.integers(0, groups, n)] + spread * rng.normal(size=(n, d))
+
+
+def frame(spark, m, name="id"):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], f"{name} long, embedding array<double>")
+
+
+def test_cells_are_even_and_cost_their_depth():
+    x = C.unit(clustered_vectors(4096, 16, 9, 1))
+    tree = C.learn_tree(x, 6)
+    sizes = np.bincount(tree.place(x), minlength=tree.cells)
+    assert tree.cells == 64 and tree.depth == 6 and sizes.sum() == 4096
+    assert sizes.min() >= 56 and sizes.max() <= 72
+    # Copies of one vector cannot be split; they stay in one cell.
+    same = C.learn_tree(np.concatenate([np.tile(x[:1], (2000, 1)), x[:200]]), 3)
+    assert len(set(same.place(np.tile(x[:1], (50, 1))).tolist())) == 1
+    assert same.place(np.zeros((1, 16))).tolist() == [same.cells]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_hold_for_every_row(seed):
+    x, q = C.unit(clustered_vectors(800, 6, 5, seed)), C.unit(clustered_vectors(60, 6, 5, seed + 50))
+    x[5], q[3] = 0, 0
+    tree = C.learn_tree(x, 4)
+    cell = tree.place(x)
+    angle = tree.angles(x, cell)
+    radii = np.array([angle[cell == i].max() if (cell == i).any() else -1.0 for i in range(tree.cells + 1)])
+    bounds = tree.bounds(q, radii)
+    scores = q @ x.T
+    assert all(scores[:, cell == i].max() <= bounds[:, i].min() or (scores[:, cell == i] <= bounds[:, [i]]).all()
+               for i in range(tree.cells + 1) if radii[i] >= 0)
+
+
+def test_far_cells_are_not_asked(spark):
+    """Groups far apart: a query asks few cells, and the result is exact."""
+    m = clustered_vectors(1200, 8, 12, 3, spread=0.05)
+    q, c = frame(spark, m[::7], "query_id"), frame(spark, m)
+    asked, found = [], R.search_cells
+
+    def counting(a, *rest):
+        asked.append(a.count())
+        return found(a, *rest)
+
+    R.search_cells = counting
+    try:
+        hits = R.knn_join(q, c, 4, max_broadcast=0, cell_corpus=40)
+        assert pairs(hits) == brute(m[::7], m, 4)
+    finally:
+        R.search_cells = found
+    queries, cells = len(m[::7]), 32
+    assert asked[0] == queries and sum(asked) < 0.4 * queries * cells
+
+
+def test_hot_vector_is_searched_in_parts(spark):
+    """A third of the corpus is one vector: its cell is cut into parts, and ties are settled by id over them."""
+    m = clustered_vectors(600, 8, 6, 8)
+    m[100:300] = m[100]
+    assert pairs(R.knn_join(frame(spark, m, "query_id"), frame(spark, m), 5, max_broadcast=0, cell_corpus=30)) == brute(m, m, 5)
+
+
+def test_recall_reaches_nine_tenths(spark):
+    m = clustered_vectors(6000, 32, 40, 11)
+    q, c = frame(spark, m[::20], "query_id"), frame(spark, m)
+    exact = R.knn_join(q, c, 10)
+    got = R.recall(R.ann_join(q, c, 10), exact).first()
+    assert got["queries"] == 300 and got["hits"] == 3000 and got["recall"] >= 0.9
+
+
+def test_codes_are_close():
+    x = C.unit(clustered_vectors(300, 24, 4, 2))
+    tree = C.learn_tree(x, 3)
+    cell = pd.Series(tree.place(x))
+    codes = R._encode(pd.Series(list(x)), cell, tree.centers)
+    back = np.stack([R._decode([c], tree.centers[i])[0] for c, i in zip(codes, cell, strict=True)])
+    assert len(codes[0]) == 4 + 24 and np.abs(back - x).max() < 0.01
+
+
+def test_hits_without_a_document_stay(spark):
+    hits = spark.createDataFrame([(1, 7, 1), (1, 99, 2), (1, 8, 3)], "query_id long, id long, rank int")
+    docs = spark.createDataFrame([(7, "seven"), (8, "eight")], "doc_id long, text string")
+    got = R.with_documents(hits, docs, "doc_id", ["text"])
+    assert rows(got, "rank", "text", "found") == [(1, "seven", True), (2, None, False), (3, "eight", True)]
+    context = R.build_context(got, separator="|").first()
+    assert context.context == "seven||eight" and [s.n for s in context.sources] == [1, 2, 3]

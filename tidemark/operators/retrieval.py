@@ -12,13 +12,13 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import values as V
+from tidemark.operators.cells import HITS, ask_cells, first_k, in_cells, search, search_cells, strips, unit, with_parts
 from tidemark.operators.relational import top_per_group
 from tidemark.operators.sizes import BROADCAST_BYTES, small
 from tidemark.session import stable
@@ -26,15 +26,12 @@ from tidemark.session import stable
 # The search helpers travel with their functions: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of either side that one search task holds.
-CELL_QUERIES = 2_048
+# Corpus rows that one search task holds, and that a cell of an approximate search has on average.
 CELL_CORPUS = 20_000
-# Rows each cluster of an approximate search is learned from.
-_ROWS_PER_CELL = 256
-# Scores held at once.
-_STRIP = 4_000_000
-
-_HITS = "query_id long, id long, score double"
+ANN_CELL_ROWS = 512
+# Cells an approximate search asks at most, and candidates it scores exactly, per hit wanted.
+MAX_PROBES = 64
+CANDIDATES = 12
 
 
 # --- embeddings -----------------------------------------------------------------------
@@ -74,43 +71,6 @@ def refresh_index(docs: DataFrame, index: DataFrame, model: PipelineModel, key:
 # --- exact and approximate search -----------------------------------------------------
 
 
-def _unit(rows: Sequence) -> np.ndarray:
-    """Vectors as rows of unit length; a zero vector stays zero and scores 0."""
-    m = np.stack([np.asarray(r, dtype=np.float64) for r in rows])
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-
-
-def _first_k(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Per query the k best rows: score descending, id ascending."""
-    order = np.lexsort((ids, -scores, q))
-    q, ids, scores = q[order], ids[order], scores[order]
-    at = np.arange(len(q))
-    opens = np.ones(len(q), dtype=bool)
-    opens[1:] = q[1:] != q[:-1]
-    keep = at - np.maximum.accumulate(np.where(opens, at, 0)) < k
-    return q[keep], ids[keep], scores[keep]
-
-
-def _search(queries: np.ndarray, corpus: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query row, id, score) of the k best corpus rows per query row.
-
-    Scores are made in strips of bounded size and rounded, so equal vectors tie exactly.
-    """
-    n = len(corpus)
-    strip = max(1, _STRIP // max(1, n))
-    found = []
-    for start in range(0, len(queries), strip):
-        scores = np.round(queries[start:start + strip] @ corpus.T, 12)
-        if n > k:
-            floor = np.partition(scores, n - k, axis=1)[:, n - k]
-            row, at = np.nonzero(scores >= floor[:, None])
-        else:
-            row, at = (a.ravel() for a in np.indices(scores.shape))
-        found.append(_first_k(row + start, ids[at], scores[row, at], k))
-    return tuple(np.concatenate(part) for part in zip(*found))
-
-
 def _frame(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"query_id": query_ids, "id": ids, "score": scores})
 
@@ -125,62 +85,64 @@ def _scan_search(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
     """Small query side on every executor; the corpus is scanned once and not shuffled."""
     rows = q.collect()  # below BROADCAST_BYTES, checked by the caller
     if not rows:
-        return q.sparkSession.createDataFrame([], _HITS)
+        return q.sparkSession.createDataFrame([], HITS)
     shared = q.sparkSession.sparkContext.broadcast(
-        (np.array([r["query_id"] for r in rows]), _unit([r["qv"] for r in rows]))
+        (np.array([r["query_id"] for r in rows]), unit([r["qv"] for r in rows]))
     )
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, unit = shared.value
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        query_ids, asked = shared.value
         best = None
         for batch in batches:
             if batch.empty:
                 continue
-            new = _search(unit, _unit(batch["cv"]), batch["id"].to_numpy(), k)
+            new = search(asked, unit(batch["cv"]), batch["id"].to_numpy(), k)
             if best is not None:
-                new = _first_k(*(np.concatenate(pair) for pair in zip(best, new)), k)
+                new = first_k(*(np.concatenate(pair) for pair in zip(best, new)), k)
             best = new
         if best is not None:
             row, ids, scores = best
             yield _frame(query_ids[row], ids, scores)
 
-    return c.mapInPandas(search, _HITS)
-
-
-def _ceil_div(a: Column, b: int) -> Column:
-    return F.greatest(F.lit(1), F.ceil(a / b)).cast("int")
+    return c.mapInPandas(scan, HITS)
 
 
-def _cell_search(q: DataFrame, c: DataFrame, k: int, cell_queries: int, cell_corpus: int) -> DataFrame:
-    """Search within cells, each cut into blocks of bounded size on both sides.
+def _bounded_search(q: DataFrame, c: DataFrame, k: int, cell_corpus: int) -> DataFrame:
+    """Exact search in cells, with the triangle inequality telling which cells a query need not ask.
 
-    A cell with many rows becomes a grid of (query block, corpus block) tasks. Blocks are
-    hashes of the ids, so a hot cell spreads evenly and no pair is missed.
+    A query first asks one part of the cell with the nearest center; its k-th score there is a floor. It then asks
+    the other cells whose best possible score reaches the floor.
     """
-    grid = (
-        q.groupBy("cell").agg(_ceil_div(F.count(F.lit(1)), cell_queries).alias("q_blocks"))
-        .join(
-            c.groupBy("cell").agg(_ceil_div(F.count(F.lit(1)), cell_corpus).alias("c_blocks")), "cell"
-        )
-    )
-    block = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
-    grid = F.broadcast(grid)  # one row per cell, and cells are few by construction
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = q.join(grid, "cell").select(
-        "cell", block("query_id", "q_blocks").alias("qb"), every("c_blocks").alias("cb"), "query_id", "qv"
-    )
-    right = c.join(grid, "cell").select(
-        "cell", every("q_blocks").alias("qb"), block("id", "c_blocks").alias("cb"), "id", "cv"
-    )
-
-    def search(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or cs.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        row, ids, scores = _search(_unit(qs["qv"]), _unit(cs["cv"]), cs["id"].to_numpy(), k)
-        return _frame(qs["query_id"].to_numpy()[row], ids, scores)
-
-    keys = ["cell", "qb", "cb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, _HITS)
+    spark = q.sparkSession
+    n = c.count()
+    if not n:
+        return spark.createDataFrame([], HITS)
+    cells = in_cells(c, n, cell_corpus)
+    shared = spark.sparkContext.broadcast((cells.tree, cells.radii, cells.parts))
+
+    def nearest(unit_q: np.ndarray, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        tree, radii, parts = shared.value
+        near = np.concatenate([unit_q @ tree.centers.T, np.zeros((len(unit_q), 1))], axis=1)
+        cell = np.where(radii >= 0, near, -np.inf).argmax(axis=1)
+        return cell, rows["query_id"].to_numpy() % parts[cell]
+
+    def first(unit_q: np.ndarray, rows: pd.DataFrame):
+        for at in strips(len(rows), len(shared.value[1])):
+            yield np.arange(at.start, at.stop), *nearest(unit_q[at], rows.iloc[at])
+
+    def others(unit_q: np.ndarray, rows: pd.DataFrame):
+        tree, radii, parts = shared.value
+        floor = rows["floor"].fillna(-np.inf).to_numpy()
+        for at in strips(len(rows), int(parts.sum())):
+            asked, before = nearest(unit_q[at], rows.iloc[at])
+            row, cell = np.nonzero(tree.bounds(unit_q[at], radii) >= floor[at, None])
+            row, cell, part = with_parts(row, cell, parts)
+            new = (cell != asked[row]) | (part != before[row])
+            yield row[new] + at.start, cell[new], part[new]
+
+    start = stable(search_cells(ask_cells(q, first), cells.rows, k))
+    floors = start.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+    return start.unionByName(search_cells(ask_cells(q.join(floors, "query_id", "left"), others), cells.rows, k))
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -197,21 +159,36 @@ def knn_join(
     cid: str = "id",
     cvec: str = "embedding",
     max_broadcast: int = BROADCAST_BYTES,
-    cell_queries: int = CELL_QUERIES,
     cell_corpus: int = CELL_CORPUS,
 ) -> DataFrame:
     """Exact k nearest rows by cosine: (query_id, id, score, rank); ties by id.
 
-    The query side is measured first. Small, it is broadcast; otherwise both sides are
-    cut into blocks and every block pair is one task.
+    The query side is measured first. Small, it is broadcast and the corpus scanned once; otherwise the corpus is
+    put into cells and every query asks those that can hold one of its hits.
     """
     q, c = _sides(queries, corpus, qid, qvec, cid, cvec)
     size = q.agg((F.sum(F.size("qv")) * 8).alias("b")).first()["b"] or 0
     if size <= max_broadcast:
         return _ranked(_scan_search(q, c, k), k)
-    one = F.lit(0).alias("cell")
-    hits = _cell_search(q.select("*", one), c.select("*", one), k, cell_queries, cell_corpus)
-    return _ranked(hits, k)
+    return _ranked(_bounded_search(q, c, k, cell_corpus), k)
+
+
+# Of a coded row: the scale of its residual, then a byte per dimension.
+_SCALE = np.dtype("<f4")
+
+
+def _encode(vectors: pd.Series, cells: pd.Series, centers: np.ndarray) -> list[bytes]:
+    """What a row differs from its cell's center by, in bytes."""
+    rest = unit(vectors) - centers[cells.to_numpy()]
+    scale = np.abs(rest).max(axis=1)
+    steps = np.divide(rest * 127, scale[:, None], out=np.zeros_like(rest), where=scale[:, None] > 0).round().astype(np.int8)
+    return [s.tobytes() + r.tobytes() for s, r in zip(scale.astype(_SCALE), steps, strict=True)]
+
+
+def _decode(codes: Sequence[bytes], center: np.ndarray) -> np.ndarray:
+    raw = np.stack([np.frombuffer(c, np.uint8) for c in codes])
+    scale = raw[:, :4].copy().view(_SCALE).astype(np.float64)
+    return center + raw[:, 4:].view(np.int8) * (scale / 127)
 
 
 def ann_join(
@@ -224,50 +201,75 @@ def ann_join(
     cid: str = "id",
     cvec: str = "embedding",
     cells: int | None = None,
-    probes: int = 8,
-    seed: int = 42,
-    cell_queries: int = CELL_QUERIES,
-    cell_corpus: int = CELL_CORPUS,
+    probes: int | None = None,
+    cell_rows: int = ANN_CELL_ROWS,
+    part_rows: int = CELL_CORPUS,
 ) -> DataFrame:
-    """Approximate neighbours: each query looks into the ``probes`` nearest of ``cells`` clusters.
+    """Approximate neighbours: each query looks into the ``probes`` cells that look best for it.
 
-    Scores within the visited cells are exact. All cells probed gives the exact result.
-    Without ``cells`` their number follows the root of the corpus size. The cells are
-    learned from some hundred rows per cell; every row of the corpus is then placed.
+    Cells are the leaves of a tree of balanced splits, learned from at most some ``cells.LEARN_ROWS`` rows; every
+    row of the corpus is placed. By default there are ``cell_rows`` rows to a cell and a query probes a quarter of
+    the cells, at most ``MAX_PROBES``. Inside cells rows are compared by residual codes of a byte a dimension; the best
+    ``CANDIDATES`` times ``k`` are then scored exactly.
     """
     q, c = _sides(queries, corpus, qid, qvec, cid, cvec)
+    spark = q.sparkSession
     n = c.count()
-    if n == 0:
-        return _ranked(q.sparkSession.createDataFrame([], _HITS), k)
-    if cells is None:
-        cells = max(1, round(n ** 0.5))
-    norm = Normalizer(inputCol="v", outputCol="unit")
-    placed = norm.transform(c.withColumn("v", array_to_vector("cv")))
-    share = _ROWS_PER_CELL * cells / n
-    learned = placed if share >= 1 else placed.sample(share, seed)
-    model = KMeans(k=cells, seed=seed, featuresCol="unit", predictionCol="cell").fit(learned)
-    shared = q.sparkSession.sparkContext.broadcast(_unit(model.clusterCenters()))  # ``cells`` rows
-
-    @F.pandas_udf("array<int>")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        if vectors.empty:
-            return pd.Series([], dtype=object)
-        centers = shared.value
-        _, found, _ = _search(_unit(vectors), centers, np.arange(len(centers)), probes)
-        return pd.Series(list(found.reshape(len(vectors), -1).astype(np.int32)))
-
-    probed = q.withColumn("cell", F.explode(nearest("qv")))
-    # Placing a row costs as much as a search step, and the search reads the cells twice.
-    assigned = stable(model.transform(placed).select("id", "cv", "cell"))
-    return _ranked(_cell_search(probed, assigned, k, cell_queries, cell_corpus), k)
+    if not n:
+        return _ranked(spark.createDataFrame([], HITS), k)
+    placed = in_cells(c, n, part_rows, cells or max(1, -(-n // cell_rows)))
+    tree = placed.tree
+    if probes is None:
+        probes = min(MAX_PROBES, max(1, -(-tree.cells // 4)))
+    every = probes >= (cells or tree.cells)
+    centers = np.concatenate([tree.centers, np.zeros((1, tree.centers.shape[1]))])
+    shared = spark.sparkContext.broadcast((tree, centers, placed.parts))
+
+    def choose(unit_q: np.ndarray, rows: pd.DataFrame):
+        tree, _, parts = shared.value
+        for at in strips(len(rows), 2 * probes * unit_q.shape[1], 4_000_000):
+            m = at.stop - at.start
+            found = np.tile(np.arange(tree.cells + 1), (m, 1)) if every else tree.probe(unit_q[at], probes)
+            row = np.repeat(np.arange(at.start, at.stop), found.shape[1])
+            yield with_parts(row, found.ravel(), parts)
+
+    @F.pandas_udf("binary")
+    def coded(vectors: pd.Series, cell: pd.Series) -> pd.Series:
+        return pd.Series(_encode(vectors, cell, shared.value[1]) if len(cell) else [], dtype=object)
+
+    @F.pandas_udf("double")
+    def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(np.round(np.einsum("nd,nd->n", unit(a), unit(b)), 12) if len(a) else [], dtype="float64")
+
+    codes = placed.rows.withColumn("cv", coded("cv", "cell"))
+    wanted = CANDIDATES * k
+    near = search_cells(ask_cells(q, choose), codes, wanted, lambda v, cell: _decode(v, shared.value[1][cell]))
+    best = top_per_group(near, ["query_id"], [F.desc("score"), F.asc("id")], wanted, "place").select("query_id", "id")
+    exact = best.join(c, "id").join(q, "query_id").select("query_id", "id", cosine("qv", "cv").alias("score"))
+    return _ranked(exact, k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(queries, hits, found, recall): how many of the exact hits an approximate search has."""
+    both = exact.select("query_id", "id").join(found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return both.agg(
+        F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"), F.count("hit").alias("found"),
+        (F.count("hit") / F.count(F.lit(1))).alias("recall"),
+    )
 
 
 # --- contexts -------------------------------------------------------------------------
 
 
-def with_documents(hits: DataFrame, docs: DataFrame, key: str, keep: Sequence[str]) -> DataFrame:
-    """Hits with columns of their documents. While the hits are few, the texts are not shuffled."""
-    return small(stable(hits)).join(docs.select(F.col(key).alias("id"), *keep), "id")
+def with_documents(hits: DataFrame, docs: DataFrame, key: str, keep: Sequence[str], found: str = "found") -> DataFrame:
+    """Hits with columns of their documents, and whether there is one: no hit is lost, so ranks have no gaps.
+
+    While the hits are few, the texts are not shuffled.
+    """
+    hits = stable(hits)
+    named = docs.select(F.col(key).alias("id"), *keep, F.lit(True).alias(found))
+    of_hits = stable(named.join(small(hits.select("id").distinct()), "id", "left_semi"))
+    return hits.join(small(of_hits), "id", "left").withColumn(found, F.coalesce(found, F.lit(False)))
 
 
 def build_context(

@@ -219,4 +219,5 @@ hits AS (
 
 
 ALL_VECTORS = "SELECT vec_id AS id, embedding AS cv FROM embeddings"
-LABEL_VECTORS = "SELECT label AS query_id, arg_min(embedding, vec_id) AS qv FROM embeddings GROUP BY label"
+# Searches ask with every row whose id is divisible by 20.
+QUERY_VECTORS = "SELECT vec_id AS query_id, embedding AS qv FROM embeddings WHERE vec_id % 20 = 0"
