@@ -69,3 +69,41 @@ def test_contract(spark):
 def test_top_n(spark):
     assert [r.id for r in R.top_n(spark.range(50), [F.desc("id")], 3).collect()] == [49, 48, 47]
     assert "TakeOrderedAndProject" in plan_of(R.top_n(spark.range(50), [F.desc("id")], 3))
+
+
+def brute_diff(a, b):
+    """Keys (first column) whose rows are not the same as often."""
+    from collections import Counter
+
+    out = []
+    for k in {r[0] for r in a} | {r[0] for r in b}:
+        x, y = (Counter(r for r in side if r[0] == k) for side in (a, b))
+        if x != y:
+            out.append((k, "added" if not x else "removed" if not y else "changed", sum(x.values()), sum(y.values())))
+    return sorted(out, key=lambda r: (r[0] is not None, str(r[0])))
+
+
+def test_diff_counts_copies_and_null_keys(spark):
+    import random
+
+    rng = random.Random(4)
+    a = [(rng.choice([None, *range(40)]), rng.choice([None, 1, 2]), rng.choice("xy")) for _ in range(300)]
+    b = [r for r in a if rng.random() < 0.98] + [(rng.randrange(60), 1, "z") for _ in range(3)] + a[:2]
+    frames = [spark.createDataFrame(x, "id int, v int, w string").repartition(3) for x in (a, b)]
+    for buckets in (1, 7, R.DIFF_BUCKETS):
+        assert rows(R.diff_versions(*frames, ["id"], buckets, copies=True)) == brute_diff(a, b)
+    assert R.diff_versions(frames[0], frames[0].repartition(5), ["id"]).count() == 0
+    assert rows(R.diff_versions(frames[0], frames[0].limit(0), ["id"], copies=True)) == brute_diff(a, [])
+
+
+def test_diff_moves_rows_of_differing_buckets_only(spark):
+    old = spark.range(20_000).select("id", (F.col("id") * 3).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    new = old.withColumn("v", F.when(F.col("id") == 77, 0).otherwise(F.col("v")))
+    sides = [R._digests(df, ["id"], ["v", "text"], R.DIFF_BUCKETS) for df in (old, new)]
+    (bucket,) = R.differing_buckets(*sides).collect()
+    got = R.diff_versions(old, new, ["id"])
+    assert rows(got) == [(77, "changed")]
+    # One grouping of keys and digests behind the buckets that differ, which are broadcast.
+    plan = plan_of(R.diff_versions(old, new, ["id"]))
+    assert plan.count("Exchange hashpartitioning(id") == 1 and "SortMergeJoin" not in plan and "LeftSemi" in plan
+    assert sides[0].filter(F.col("__bucket") == bucket["__bucket"]).count() < 30

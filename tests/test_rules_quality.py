@@ -56,6 +56,41 @@ def test_one_pass_for_row_checks(spark):
     assert plan_of(Q.run_suite(df, suite)).count("Scan") == 1
 
 
+def test_a_suite_computes_its_frame_once(spark):
+    """Two uniqueness checks and row checks together: one scan, one shuffle of counted entries."""
+    df = spark.createDataFrame(ROWS, DDL)
+    suite = [Q.unique("id_transacao"), Q.not_null("id_transacao"), Q.unique("n"), Q.between("valor", 0)]
+    plan = plan_of(Q.run_suite(df, suite))
+    assert plan.count("Scan") == 1 and plan.count("Exchange hashpartitioning(position#") == 2  # counts, then sums
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def look(n):
+        seen.add(1)
+        return n
+
+    Q.run_suite(df.withColumn("n", look("n")), suite).collect()
+    assert seen.value <= 3 * len(ROWS)  # once per entry that uses the value, not once per check and job
+
+
+def test_suite_equals_plain_counts(spark):
+    import random
+
+    rng = random.Random(2)
+    data = [(rng.choice([None, *"abcdefghij"]), rng.choice([None, -1, 0, 5, 50]), rng.choice(["f", "u", "r", None])) for _ in range(400)]
+    df = spark.createDataFrame(data, "k string, v int, t string").repartition(4)
+    got = results(df, [Q.unique("k"), Q.unique("t"), Q.between("v", 0, 10), Q.not_null("v"), Q.in_set("t", ["f"])])
+    count = lambda c: sum(c(r) for r in data)
+    keys = [r[0] for r in data if r[0] is not None]
+    assert got[("unique", "k")][:2] == (sum(keys.count(k) > 1 for k in keys), len(keys))
+    assert got[("unique", "t")][:2] == (count(lambda r: r[2] is not None),) * 2
+    assert got[("between", "v")][:2] == (count(lambda r: r[1] in (-1, 50)), count(lambda r: r[1] is not None))
+    assert got[("not_null", "v")][:2] == (count(lambda r: r[1] is None), 400)
+    assert got[("in_set", "t")][:2] == (count(lambda r: r[2] in ("u", "r")), count(lambda r: r[2] is not None))
+    empty = results(df.limit(0), [Q.unique("k"), Q.not_null("v")])
+    assert set(empty.values()) == {(0, 0, True)}
+
+
 def silver(spark, status="APROVADO"):
     rec = ("t1", "C00001", 5.0, dt.datetime(2024, 1, 1), True, status, "APP", "baixo")
     return spark.createDataFrame(

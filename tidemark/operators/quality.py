@@ -1,4 +1,4 @@
-"""Data-quality suites: all row-level checks of a suite in one aggregation.
+"""Data-quality suites: all checks of a suite from one grouping of the table.
 
 Nulls are not evaluated, except by the not-null check.
 """
@@ -88,52 +88,54 @@ def rfm_suite() -> list[Check]:
     ]
 
 
-def _row_checks(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
-    """One row per check from a single pass over the table."""
-    totals = []
+# Entries that are no values: a failing row, a row that is not evaluated, any row.
+_FAILS, _UNSEEN, _ROW = "f", "u", "r"
+
+
+def _entries(checks: Sequence[tuple[int, Check]]) -> Column:
+    """What a row adds to the counts: itself, the values that must be unique, and the checks it fails or skips.
+
+    A good row adds no entry for its row checks, so hardly more is grouped than the unique values.
+    """
+    # Constant entries are parsed, as columns cost a call for every part of them.
+    entry = lambda i, v: F.expr(f"named_struct('position', {i}, 'value', {v})")
+    made = [entry(0, f"'{_ROW}'")]
     for i, check in checks:
-        seen = F.lit(True) if check.name == "not_null" else F.col(check.column).isNotNull()
-        totals.append(F.count_if(check.fails & seen).alias(f"f{i}"))
-        totals.append(F.count_if(seen).alias(f"e{i}"))
-    rows = F.array(*[
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(check.name).alias("check"),
-            F.lit(check.column).alias("column"),
-            F.col(f"f{i}").alias("failing"),
-            F.col(f"e{i}").alias("evaluated"),
-        )
-        for i, check in checks
-    ])
-    return df.agg(*totals).select(F.inline(rows))
-
-
-def _unique_check(df: DataFrame, position: int, check: Check) -> DataFrame:
-    groups = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return groups.agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failing"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("evaluated"),
-    ).select(
-        F.lit(position).alias("position"),
-        F.lit(check.name).alias("check"),
-        F.lit(check.column).alias("column"),
-        "failing",
-        "evaluated",
-    )
+        name = f"`{check.column}`"
+        if not check.on_rows:
+            made.append(F.expr(f"if({name} IS NOT NULL, named_struct('position', {i}, 'value', CAST({name} AS STRING)), NULL)"))
+            continue
+        fails = F.when(check.fails, entry(i, f"'{_FAILS}'"))
+        made.append(fails if check.name == "not_null" else F.when(F.col(check.column).isNull(), entry(i, f"'{_UNSEEN}'")).otherwise(fails))
+    return F.array_compact(F.array(*made))
 
 
 def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Rows (position, check, column, failing, evaluated, ok), one per check."""
+    """Rows (position, check, column, failing, evaluated, ok), one per check.
+
+    The frame is computed once: rows give entries that are counted before their one shuffle, and only the values of
+    the uniqueness checks are many.
+    """
     numbered = list(enumerate(checks, 1))
-    parts = [_unique_check(df, i, c) for i, c in numbered if not c.on_rows]
-    on_rows = [(i, c) for i, c in numbered if c.on_rows]
-    if on_rows:
-        parts.insert(0, _row_checks(df, on_rows))
-    if not parts:
+    if not numbered:
         raise ValueError("a suite needs at least one check")
-    return reduce(DataFrame.unionByName, parts).withColumn("ok", F.col("failing") == 0)
+    counted = df.select(F.inline(_entries(numbered))).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+    named = lambda v: F.coalesce(F.sum(F.when(F.col("value") == v, F.col("n"))), F.lit(0))
+    sums = counted.groupBy("position").agg(
+        F.sum("n").alias("every"), named(_FAILS).alias("fails"), named(_UNSEEN).alias("unseen"),
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("repeated"),
+    )
+    # One entry per check.
+    found = sums.agg(F.map_from_entries(F.collect_list(F.struct("position", F.struct("every", "fails", "unseen", "repeated")))).alias("m"))
+    at = lambda i, c: f"coalesce(m[{i}].{c}, 0L)"
+    text = lambda t: "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(
+        f"named_struct('position', {i}, 'check', {text(check.name)}, 'column', {text(check.column)}, "
+        f"'failing', {at(i, 'fails' if check.on_rows else 'repeated')}, "
+        f"'evaluated', {at(0, 'every') + ' - ' + at(i, 'unseen') if check.on_rows else at(i, 'every')})"
+        for i, check in numbered
+    )
+    return found.selectExpr(f"inline(array({rows}))").withColumn("ok", F.col("failing") == 0)
 
 
 def summarise(results: DataFrame, table: str, threshold: float, at: dt.datetime) -> DataFrame:

@@ -89,21 +89,50 @@ def apply_retention(df: DataFrame, ts: str, days: int, ref: str) -> DataFrame:
     return backfill(df, ts, ref, days)
 
 
-def diff_versions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that differ between two versions, with ``change`` added / removed / changed."""
-    values = [c for c in new.columns if c not in keys]
-    a = old.select(*keys, F.struct(*values).alias("__old"))
-    b = new.select(*keys, F.struct(*values).alias("__new"))
-    change = (
-        F.when(F.col("__old").isNull(), "added")
-        .when(F.col("__new").isNull(), "removed")
-        .otherwise("changed")
+#: Key buckets whose digests are compared before any row is moved.
+DIFF_BUCKETS = 4_096
+
+
+def _digests(df: DataFrame, keys: Sequence[str], values: Sequence[str], buckets: int) -> DataFrame:
+    """Keys, the bucket they fall into, and two digests of the whole row."""
+    return df.select(
+        *keys, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket"),
+        *[F.xxhash64(F.lit(i), *keys, *values).cast("decimal(38,0)").alias(f"__d{i}") for i in (0, 1)],
     )
-    return (
-        a.join(b, list(keys), "full_outer")
-        .filter(~F.col("__old").eqNullSafe(F.col("__new")))
-        .select(*keys, change.alias("change"))
+
+
+def differing_buckets(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Buckets in which two digested frames do not hold the same rows as often: at most one row per bucket."""
+    totals = [
+        side.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("__d0").alias("d0"), F.sum("__d1").alias("d1"))
+        for side in (a, b)
+    ]
+    # Equal totals of both sides fall together, so a bucket that differs has a total of one side alone.
+    either = totals[0].unionByName(totals[1]).groupBy("__bucket", "n", "d0", "d1").count()
+    return either.filter("count = 1").select("__bucket").distinct()
+
+
+def diff_versions(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int = DIFF_BUCKETS, copies: bool = False) -> DataFrame:
+    """Keys that differ between two versions, with ``change`` added / removed / changed.
+
+    Null keys are keys, and rows that repeat count: a key differs if one side has a row more often. ``copies`` adds
+    how many rows either side has (``n_old``, ``n_new``).
+
+    Each side is first summed up per key bucket, which shuffles one row per bucket and task. Only rows of buckets
+    that differ are then moved, as keys and digests, to one grouping that adds up before its shuffle.
+    """
+    values = [c for c in new.columns if c not in keys]
+    sides = [_digests(df, keys, values, buckets) for df in (old, new)]
+    differ = F.broadcast(differing_buckets(*sides))  # ``buckets`` rows at most
+    tagged = [s.join(differ, "__bucket", "left_semi").withColumn("__new", F.lit(i == 1)) for i, s in enumerate(sides)]
+    of = lambda i, c: F.coalesce(F.sum(F.when(F.col("__new") == F.lit(i == 1), F.col(c))), F.lit(0))
+    grouped = tagged[0].unionByName(tagged[1]).groupBy(*keys).agg(
+        F.count_if(~F.col("__new")).alias("n_old"), F.count_if(F.col("__new")).alias("n_new"),
+        (of(0, "__d0") - of(1, "__d0")).alias("__d0"), (of(0, "__d1") - of(1, "__d1")).alias("__d1"),
     )
+    change = F.when(F.col("n_old") == 0, "added").when(F.col("n_new") == 0, "removed").otherwise("changed")
+    differs = (F.col("n_old") != F.col("n_new")) | (F.col("__d0") != 0) | (F.col("__d1") != 0)
+    return grouped.filter(differs).select(*keys, change.alias("change"), *(["n_old", "n_new"] if copies else []))
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
