@@ -6,6 +6,8 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from tidemark.functions import values as V
+from tidemark.operators import attribution as A
 from tidemark.operators import churn as K
 from tidemark.operators import metrics as M
 from tidemark.session import run_dir
@@ -116,6 +118,45 @@ def test_promotion(spark):
     assert rows(K.promote(spark.createDataFrame(reg, ddl)), "name", "version") == [("better", 2), ("new", 1)]
 
 
+def test_search_that_learns(spark):
+    df = K.stratified_split(customers(spark), {"train": 0.68, "val": 0.12, "test": 0.2}).cache()
+    train, val = (df.filter(F.col("part") == p).drop("part") for p in ("train", "val"))
+    best, log = K.parzen_search(train, val, K.SMALL_SPACE, trials=10, parallel=2)
+    found = log.orderBy("trial").collect()
+    assert [r["trial"] for r in found] == list(range(10)) and len({r["stepSize"] for r in found}) == 10
+    top = max(found, key=lambda r: (r["auc"], -r["trial"]))
+    assert all(best[k] == top[k] for k in best)
+    low, high, step = K.SMALL_SPACE.trees
+    assert all(low <= r["maxIter"] <= high and (r["maxIter"] - low) % step == 0 for r in found)
+    assert K.parzen_search(train, val, K.SMALL_SPACE, trials=3, parallel=2)[0] == K.parzen_search(train, val, K.SMALL_SPACE, trials=3, parallel=2)[0]
+
+
+def test_attribution_of_scored_rows(spark):
+    df = customers(spark)
+    model = K.train_gbt(df, {"maxDepth": 3, "maxIter": 4})
+    found = K.attributed(model, df)
+    total = sum((F.col("attribution")[c] for c in V.FEATURES), F.col("base"))
+    assert found.filter(F.abs(total - F.col("margin")) > 1e-9).isEmpty() and found.count() == 400
+    order = [r["feature"] for r in A.mean_attribution(found, V.FEATURES).collect()]
+    assert order[0] == "recency_dias"
+
+
+def test_stages_after_promotion(spark):
+    ddl = "name string, version int, auc double, stage string"
+    reg = [
+        ("new", 1, 0.8, "None"), ("new", 2, 0.7, "None"), ("weak", 1, 0.74, "None"),
+        ("better", 1, 0.8, "Production"), ("better", 2, 0.81, "None"), ("same", 1, 0.9, "Production"), ("same", 2, None, "None"),
+    ]
+    got = K.with_stages(spark.createDataFrame(reg, ddl))
+    assert rows(got, "name", "version", "stage") == [
+        ("better", 1, "Archived"), ("better", 2, "Production"), ("new", 1, "Production"), ("new", 2, "None"),
+        ("same", 1, "Production"), ("same", 2, "None"), ("weak", 1, "None"),
+    ]
+    entries = got.withColumn("entry", F.lit(1)).unionByName(
+        spark.createDataFrame([("weak", 1, 0.74, "Archived", 2)], ddl + ", entry int"))
+    assert rows(K.latest_stages(entries).filter("name = 'weak'"), "stage") == [("Archived",)]
+
+
 def test_category_index_is_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "segmento string")
     assert rows(K.index_col(df).distinct()) == [("a", 0.0), ("b", 1.0), ("c", 2.0)]

@@ -1,4 +1,4 @@
-"""Churn: features, exact stratified split, boosted trees, random search, promotion."""
+"""Churn: features, exact stratified split, boosted trees, search of parameters, attribution, promotion."""
 
 from __future__ import annotations
 
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions import values as V
-from tidemark.operators import gold
+from tidemark.operators import attribution, gold, parzen
 from tidemark.operators.metrics import all_metrics, auc_rank
+from tidemark.operators.parzen import Dim
 from tidemark.operators.ranking import number_rows
 
 LABEL = "churn"
@@ -40,7 +41,11 @@ def churn_features(rfm: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
-def forward_features(df: DataFrame, cutoff: str, days: int = 30, history: int = 180) -> DataFrame:
+#: Days of purchases that features look back on.
+HISTORY_DAYS = 180
+
+
+def forward_features(df: DataFrame, cutoff: str, days: int = 30, history: int = HISTORY_DAYS) -> DataFrame:
     """Features from the ``history`` days up to ``cutoff``; label from the ``days`` after it."""
     kind = df.schema["dt_transacao"].dataType
     start = F.date_add(F.lit(cutoff).cast("date"), 1).cast(kind)
@@ -127,6 +132,17 @@ class Space:
         }
 
 
+    def dims(self) -> list[Dim]:
+        """The same bounds for a search that learns from its trials."""
+        low, high, step = self.trees
+        return [
+            Dim("maxDepth", *self.depth, step=1), Dim("minInstancesPerNode", *self.min_rows, step=1),
+            Dim("subsamplingRate", *self.row_share), Dim("featureSubsetStrategy", *self.column_share),
+            Dim("stepSize", *self.rate, log=True), Dim("maxIter", low, low + (high - low) // step * step, step=step),
+            Dim("minInfoGain", *self.min_gain),
+        ]
+
+
 # Small enough for tests and local runs.
 SMALL_SPACE = Space(depth=(2, 4), trees=(3, 9, 3), min_gain=(0.0, 0.05), rate=(0.05, 0.3))
 
@@ -155,31 +171,69 @@ def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     return scored.select(*df.columns, out)
 
 
+def _run_trials(
+    train: DataFrame, val: DataFrame, drawn: Sequence[Mapping[str, object]], first: int = 0, parallel: int = 4
+) -> list:
+    """Rows (trial, parameters, metrics) of trials that are fitted side by side, then scored in one pass."""
+    spark = train.sparkSession
+    with ThreadPool(max(1, min(parallel, len(drawn)))) as pool:
+        models = pool.map(inheritable_thread_target(spark)(lambda p: train_gbt(train, p)), drawn)
+    scored = reduce(DataFrame.unionByName, [
+        score(m, val).select(F.lit(first + i).alias("trial"), F.col(LABEL), "score") for i, m in enumerate(models)
+    ])
+    return all_metrics(scored, LABEL, "score", ["trial"]).collect()  # one row per trial
+
+
+def _log(spark: SparkSession, drawn: Sequence[Mapping[str, object]], measured: Sequence) -> tuple[dict[str, object], DataFrame]:
+    """(the parameters of the trial with the best AUC, one row per trial)."""
+    kinds = {str: "string", float: "double", int: "int"}
+    fields = [f"{k} {kinds[type(v)]}" for k, v in drawn[0].items()]
+    of = {r["trial"]: r.asDict() for r in measured}
+    metrics = [c for c in measured[0].asDict() if c != "trial"]
+    types = {c: "long" if all(isinstance(r[c], int) for r in of.values()) else "double" for c in metrics}
+    rows = [(i, *p.values(), *[of[i][c] for c in metrics]) for i, p in enumerate(drawn)]
+    log = spark.createDataFrame(rows, ", ".join(["trial int", *fields, *[f"{c} {types[c]}" for c in metrics]]))
+    auc = {i: of[i]["auc"] for i in of}
+    best = max(auc, key=lambda i: (auc[i] if auc[i] is not None else -1.0, -i))
+    return dict(drawn[best]), log
+
+
 def random_search(
     train: DataFrame, val: DataFrame, space: Space = Space(), trials: int = 30, seed: int = 42, parallel: int = 4
 ) -> tuple[dict[str, object], DataFrame]:
-    """(best parameters, trial log). Trials are fitted side by side, then scored in one pass.
+    """(best parameters, trial log) of parameters drawn independently.
 
     ``train`` and ``val`` are read by every trial; give frames that are cached or stored.
     """
-    spark = train.sparkSession
     rng = random.Random(seed)
     drawn = [space.draw(rng) for _ in range(trials)]
-    with ThreadPool(min(parallel, trials)) as pool:
-        models = pool.map(inheritable_thread_target(spark)(lambda p: train_gbt(train, p)), drawn)
-    scored = reduce(DataFrame.unionByName, [
-        score(m, val).select(F.lit(i).alias("trial"), F.col(LABEL), "score") for i, m in enumerate(models)
-    ])
-    measured = all_metrics(scored, LABEL, "score", ["trial"])
-    fields = ", ".join(
-        f"{k} {'string' if isinstance(v, str) else 'double' if isinstance(v, float) else 'int'}"
-        for k, v in drawn[0].items()
-    )
-    tried = spark.createDataFrame([(i, *p.values()) for i, p in enumerate(drawn)], f"trial int, {fields}")
-    log = tried.join(measured, "trial")
-    rows = log.collect()  # one row per trial
-    best = max(rows, key=lambda r: (r["auc"] if r["auc"] is not None else -1.0, -r["trial"]))
-    return drawn[best["trial"]], spark.createDataFrame(rows, log.schema)
+    return _log(train.sparkSession, drawn, _run_trials(train, val, drawn, 0, parallel))
+
+
+def _params(values: Mapping[str, float]) -> dict[str, object]:
+    """Searched values as the classifier takes them."""
+    return {k: str(round(v, 3)) if k == "featureSubsetStrategy" else v for k, v in values.items()}
+
+
+def parzen_search(
+    train: DataFrame, val: DataFrame, space: Space = Space(), trials: int = 30, seed: int = 42, parallel: int = 4
+) -> tuple[dict[str, object], DataFrame]:
+    """(best parameters, trial log) of a search that learns from its trials (``parzen``); loss is one less the AUC.
+
+    ``parallel`` trials are fitted side by side, and the next ones chosen from their results.
+    """
+    measured, drawn = [], []
+
+    def run(batch: list[dict[str, float]]) -> list[float]:
+        made = [_params(p) for p in batch]
+        rows = {r["trial"]: r for r in _run_trials(train, val, made, len(drawn), parallel)}
+        losses = [1.0 - (rows[len(drawn) + i]["auc"] or 0.0) for i in range(len(batch))]
+        measured.extend(rows.values())
+        drawn.extend(made)
+        return losses
+
+    parzen.minimise(space.dims(), run, trials, seed, parallel)
+    return _log(train.sparkSession, drawn, measured)
 
 
 def fit_final(train: DataFrame, val: DataFrame, test: DataFrame, params: Mapping[str, object]) -> tuple[PipelineModel, DataFrame]:
@@ -213,8 +267,17 @@ def permutation_importance(
     )
 
 
+def attributed(model: PipelineModel, df: DataFrame, features: Sequence[str] = V.FEATURES) -> DataFrame:
+    """Rows with the Shapley values of their features, which add up with ``base`` to ``margin``."""
+    *prepared, trees = model.stages
+    vectors = PipelineModel(stages=prepared).transform(df)
+    found = attribution.shapley(trees, vectors, features)
+    return found.select(*df.columns, "attribution", "base", "margin")
+
+
 # --- registry -------------------------------------------------------------------------
 
+PRODUCTION, ARCHIVED = "Production", "Archived"
 REGISTRY_SCHEMA = (
     "name string, version int, auc double, stage string, trained_at timestamp, path string, "
     "input_schema string, output_schema string, input_example string"
@@ -230,13 +293,16 @@ def register(spark: SparkSession, model: PipelineModel, path: str, name: str, ve
     return spark.createDataFrame([row], REGISTRY_SCHEMA)
 
 
+REGISTRY_COLUMNS = [f.split()[0] for f in REGISTRY_SCHEMA.split(", ")]
+
+
 def promote(registry: DataFrame, min_auc: float = 0.75) -> DataFrame:
     """Per model name the candidate to put in production, if any.
 
     The best version must reach ``min_auc`` and beat the version now in production.
     """
     place = F.struct(F.col("auc"), -F.col("version"))
-    incumbent = F.max(F.when(F.col("stage") == "Production", F.col("auc")))
+    incumbent = F.max(F.when(F.col("stage") == PRODUCTION, F.col("auc")))
     best = registry.filter(F.col("auc").isNotNull()).groupBy("name").agg(
         F.max_by("version", place).alias("version"),
         F.max("auc").alias("auc"),
@@ -244,3 +310,20 @@ def promote(registry: DataFrame, min_auc: float = 0.75) -> DataFrame:
     )
     better = F.col("incumbent_auc").isNull() | (F.col("auc") > F.col("incumbent_auc"))
     return best.filter((F.col("auc") >= min_auc) & better)
+
+
+def with_stages(registry: DataFrame, min_auc: float = 0.75) -> DataFrame:
+    """The registry after promotion: a candidate is in production, what it replaces is archived, all else stays."""
+    chosen = promote(registry, min_auc).select("name", F.col("version").alias("__chosen"))  # one row per name
+    stage = (
+        F.when(F.col("version") == F.col("__chosen"), PRODUCTION)
+        .when(F.col("__chosen").isNotNull() & (F.col("stage") == PRODUCTION), ARCHIVED)
+        .otherwise(F.col("stage"))
+    )
+    return registry.join(chosen, "name", "left").withColumn("stage", stage).drop("__chosen")
+
+
+def latest_stages(entries: DataFrame) -> DataFrame:
+    """One row per model version from an append-only registry: the last entry counts."""
+    last = F.max_by(F.struct(*[c for c in entries.columns if c not in ("name", "version")]), "entry")
+    return entries.groupBy("name", "version").agg(last.alias("x")).select("name", "version", "x.*")
