@@ -114,7 +114,29 @@ def test_training_step(spark):
     )
     rfm.write.partitionBy("dt_calculo").parquet(lake.path("gold", "rfm_clientes"))
     for version in (1, 2):
-        registry = lake.train("2024-06-01", dt.datetime(2024, 6, version), churn.SMALL_SPACE, trials=2)
-    assert rows(registry, "version") == [(1,), (2,)]
-    assert rows(churn.promote(registry), "name") == [("churn_predictor",)]
+        registry = lake.train("2024-06-01", dt.datetime(2024, 6, version), churn.SMALL_SPACE, trials=2, forward_days=None)
+    # The first version went into production; the second one is no better.
+    assert rows(registry, "version", "stage") == [(1, "Production"), (2, "None")]
+    assert churn.promote(registry).isEmpty()
     assert lake.table("ml", "trials").count() == 4
+    assert lake.train("2024-06-01", dt.datetime(2024, 6, 3), churn.SMALL_SPACE, trials=2, forward_days=None, min_auc=2.0).count() == 3
+
+
+def test_training_on_what_follows(spark):
+    """Features end before the days the label is from."""
+    root = run_dir(spark, "forward")
+    lake, raw = Lakehouse(spark, root, buckets=2), root + "/raw"
+    days = [dt.date(2024, 1, 5) + dt.timedelta(i % 147) for i in range(600)]
+    # Customers of odd number go on buying, the others stop in May.
+    write(raw, "1.json", [
+        tx(i, i % 60, 20.0 + i % 13, d.isoformat()) for i, d in enumerate(days) if i % 2 or d < dt.date(2024, 4, 20)
+    ])
+    feed = Feed("azure", raw, tag="azure")
+    lake.ingest(feed)
+    lake.refine(["azure"])
+    registry = lake.train("2024-05-31", dt.datetime(2024, 6, 1), churn.SMALL_SPACE, trials=2)
+    features = lake.table("ml", "features")
+    stopped = features.filter(F.col("id_cliente").substr(-1, 1).cast("int") % 2 == 0)
+    assert stopped.count() == 30 and stopped.filter("churn = 1").count() == 30
+    assert features.agg(F.min("recency_dias")).first()[0] >= 0
+    assert registry.count() == 1

@@ -38,7 +38,11 @@ def daily_revenue(df: DataFrame) -> DataFrame:
     )
 
 
-def rfm_base(df: DataFrame, ref: str, days: int = 365) -> DataFrame:
+#: Days of purchases the RFM table looks at.
+RFM_DAYS = 365
+
+
+def rfm_base(df: DataFrame, ref: str, days: int = RFM_DAYS) -> DataFrame:
     """Days since the last purchase, purchases and spend per customer."""
     return (
         last_days(df, "dt_transacao", ref, days)
@@ -59,7 +63,7 @@ RFM_ORDERS = {
 }
 
 
-def rfm(df: DataFrame, ref: str, days: int = 365, specific_first: bool = False) -> DataFrame:
+def rfm(df: DataFrame, ref: str, days: int = RFM_DAYS, specific_first: bool = False) -> DataFrame:
     """RFM scores and segment per customer.
 
     The per-customer base is computed once. Quintiles need three narrow sorts of it; the
@@ -87,13 +91,18 @@ def monthly_totals(df: DataFrame) -> DataFrame:
 
 
 def monthly_kpis(df: DataFrame, ref: str) -> DataFrame:
-    """Monthly totals with growth against the previous month and the same month a year ago.
+    """Monthly totals with growth against the previous month and the same month a year ago."""
+    return kpis_of(monthly_totals(df), ref)
+
+
+def kpis_of(totals: DataFrame, ref: str) -> DataFrame:
+    """The KPIs of :func:`monthly_totals`, which may be stored and renewed month by month.
 
     Every month also offers its revenue to the month after it and to the month twelve
     later, so one grouping replaces two self-joins and gaps in the calendar give nulls.
     """
     month = F.col("ano_transacao") * 12 + F.col("mes_transacao")
-    offered = monthly_totals(df).select(
+    offered = totals.select(
         "*", month.alias("__own"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(12))).alias("__lag")
     )
     at = {lag: F.col("__lag") == lag for lag in (0, 1, 12)}

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import Key, running_sums
 from tidemark.operators.sizes import small
-from tidemark.session import stable
 
 _ONE = "__one"
 
@@ -28,8 +27,8 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataF
 def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Score levels from high to low with running positives and negatives over all models."""
     order = [*by, Key("__score", descending=True)]
-    sums = running_sums(_by_score(df, label, score, by), order, {"cum_pos": "pos", "cum_neg": "neg"})
-    return stable(sums)  # read by every metric
+    # The sums lie in a checkpoint, so every metric reads them again without a shuffle.
+    return running_sums(_by_score(df, label, score, by), order, {"cum_pos": "pos", "cum_neg": "neg"})
 
 
 def _auc(ranked: DataFrame, by: Sequence[str]) -> DataFrame:

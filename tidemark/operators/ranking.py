@@ -7,13 +7,16 @@ count (or sum) per partition reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext, inheritable_thread_target
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stable
 
@@ -137,19 +140,34 @@ def ntile_global(df: DataFrame, n: int, order: Sequence[Key | str], out: str) ->
 
 
 def running_sums(df: DataFrame, order: Sequence[Key | str], sums: dict[str, str]) -> DataFrame:
-    """Inclusive running totals over the whole table, ``{output: input}``."""
-    keys = _keys(order)
-    placed = _positioned(df, keys).withColumn(_PART, _part())
-    totals = placed.groupBy(_PART).agg(*[F.sum(c).alias(o) for o, c in sums.items()]).collect()
+    """Inclusive running totals over the whole table, ``{output: input}`` of whole numbers; a null adds nothing.
+
+    Every range is summed up where it was sorted, before its checkpoint; the totals of the ranges before it are
+    then added without another shuffle.
+    """
+    ordering = [k.ordering() for k in _keys(order)]
+    names = df.columns
+    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.LongType()) for c in [_PART, *sums]]])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), dict.fromkeys(sums, 0)
+        for batch in batches:
+            out = []
+            for o, c in sums.items():
+                run = before[o] + np.cumsum(batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+                before[o] = int(run[-1]) if len(run) else before[o]
+                out.append(pa.array(run))
+            at = pa.array(np.full(batch.num_rows, part, np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, at, *out], names=[*names, _PART, *sums])
+
+    placed = df.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
+    summed = stable(placed.mapInArrow(add_up, schema))
+    totals = summed.groupBy(_PART).agg(*[F.sum(c).alias(o) for o, c in sums.items()]).collect()  # one row per range
     carry = dict.fromkeys(sums, 0)
     offsets = []
     for row in sorted(totals, key=lambda r: r[_PART]):
         offsets.append((row[_PART], *carry.values()))
         carry = {o: carry[o] + (row[o] or 0) for o in sums}
-    schema = f"{_PART} long, " + ", ".join(f"__carry_{o} long" for o in sums)
-    table = df.sparkSession.createDataFrame(offsets, schema)
-    within = Window.partitionBy(_PART).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.join(F.broadcast(table), _PART)  # one row per partition
-    for o, c in sums.items():
-        out = out.withColumn(o, F.sum(c).over(within) + F.col(f"__carry_{o}"))
-    return out.drop(_PART, _POS, *[f"__carry_{o}" for o in sums])
+    table = df.sparkSession.createDataFrame(offsets, f"{_PART} long, " + ", ".join(f"__carry_{o} long" for o in sums))
+    out = summed.join(F.broadcast(table), _PART)  # one row per range
+    return out.select(*names, *[(F.col(o) + F.col(f"__carry_{o}")).alias(o) for o in sums])

@@ -18,8 +18,7 @@ from tidemark.operators.silver import SILVER_VERSIONS, cleanse
 from tidemark.plans.maintenance import maintain
 from tidemark.session import has_rows_stored
 from tidemark.sources import files, sinks
-from tidemark.sources.snapshots import SnapshotTable
-from tidemark.sources.versions import VersionStore
+from tidemark.sources.versions import BUCKETS, VersionStore
 from tidemark.streaming.ingest import run_ingest
 
 # Batch number of a first load; stream batches count from 0.
@@ -46,11 +45,19 @@ class Report:
     quality: DataFrame | None = None
 
 
+def months_before(ref: str, days: int) -> list[str]:
+    """The months (``yyyy-MM``) of the ``days`` before ``ref`` and of that day."""
+    last = dt.date.fromisoformat(ref)
+    first = last - dt.timedelta(days)
+    span = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in span]
+
+
 class Lakehouse:
     """Name to path, and one method per stage. Times come in as parameters."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -68,7 +75,7 @@ class Lakehouse:
 
     @property
     def silver(self) -> VersionStore:
-        return VersionStore(self.spark, self.path("silver", "transacoes"), SILVER_VERSIONS)
+        return VersionStore(self.spark, self.path("silver", "transacoes"), SILVER_VERSIONS, self.buckets)
 
     # --- bronze ---
 
@@ -98,15 +105,12 @@ class Lakehouse:
     def _grown_schema(self, feed: Feed, schema: str) -> T.StructType:
         """The schema with the fields of new files.
 
-        Of JSON files only those changed since the last look are read; a field missed so is rescued. Of parquet
-        files the footers are read, of all of them, as nothing rescues their columns.
+        Only files changed since the last look are opened: of JSON files their lines (a field missed so is rescued),
+        of others the footers.
         """
         store = self._schemas(feed.name)
-        if feed.fmt != "json":
-            if not has_rows_stored(self.spark, feed.path):
-                return store.get(schema)
-            merged = self.spark.read.format(feed.fmt).option("mergeSchema", "true").load(feed.path).schema
-            return store.evolve(schema, merged)
+        if not has_rows_stored(self.spark, feed.path):
+            return store.get(schema)
         marks = files.HighWater(self.spark, self.path("control", "marks"))
         job = f"schema:{feed.name}"
         seen, newest = marks.get(job), files.newest_file(self.spark, feed.path)
@@ -114,7 +118,7 @@ class Lakehouse:
             return store.get(schema)
         # File times are coarse: the last second is looked at twice.
         since = seen - dt.timedelta(seconds=1) if seen else None
-        grown = store.evolve(schema, files.infer_json(self.spark, feed.path, since))
+        grown = store.evolve(schema, files.infer(self.spark, feed.path, feed.fmt, since))
         marks.advance(job, newest)
         return grown
 
@@ -162,16 +166,43 @@ class Lakehouse:
     # --- gold ---
 
     def build_gold(self, ref: str, full: bool = False) -> None:
-        """Revenue (the day of ``ref``, or all days), RFM of ``ref``, all KPI months."""
+        """Revenue (the day of ``ref``, or all days), RFM of ``ref``, all KPI months.
+
+        The day and the RFM year open the months they need only.
+        """
         current = gold.approved(self.silver.current())
-        revenue = gold.daily_revenue(current)
+        day, year = [gold.approved(self.silver.current(months_before(ref, n))) for n in (0, gold.RFM_DAYS)]
+        revenue = gold.daily_revenue(current if full else day)
         target = self.path("gold", "receita_diaria")
         if full:
             sinks.overwrite(revenue, target, ["dt_ref"])
         else:
             sinks.replace_slice(revenue, target, "dt_ref", ref)
-        sinks.replace_slice(gold.rfm(current, ref), self.path("gold", "rfm_clientes"), "dt_calculo", ref)
-        sinks.overwrite(gold.monthly_kpis(current, ref), self.path("gold", "kpis_executivos"))
+        sinks.replace_slice(gold.rfm(year, ref), self.path("gold", "rfm_clientes"), "dt_calculo", ref)
+        sinks.overwrite(gold.kpis_of(self.monthly_totals(full), ref), self.path("gold", "kpis_executivos"))
+
+    def monthly_totals(self, full: bool = False) -> DataFrame:
+        """The stored totals of every month, after renewing those that batches have changed since.
+
+        Totals that cannot be added, as distinct customers, come from the current rows of their month; other months
+        are not opened. ``full`` renews all.
+        """
+        path, parts = self.path("gold", "totais_mensais"), ["ano_transacao", "mes_transacao"]
+        batch = self.silver.state().batch_id
+        stored = has_rows_stored(self.spark, path)
+        # Every row names the batch it was renewed after.
+        done = -1 if full or not stored else self.spark.read.parquet(path).agg(F.max("lote")).first()[0]
+        months = self.silver.touched_months(done)
+        if done < 0 or months:
+            current = self.silver.current(None if done < 0 else months)
+            totals = gold.monthly_totals(gold.approved(current)).withColumn("lote", F.lit(batch).cast("long"))
+            if done < 0:
+                sinks.overwrite(totals, path, parts)
+            else:
+                sinks.replace_folders(totals, path, parts, [(int(m[:4]), int(m[5:])) for m in months if m != "none"])
+            if not has_rows_stored(self.spark, path):
+                return totals.drop("lote").limit(0)
+        return self.spark.read.parquet(path).drop("lote")
 
     def rfm(self, ref: str) -> DataFrame:
         return self.table("gold", "rfm_clientes").filter(F.col("dt_calculo") == F.lit(ref).cast("date"))
@@ -200,25 +231,52 @@ class Lakehouse:
 
     # --- churn ---
 
-    def train(self, ref: str, at: dt.datetime, space: churn.Space = churn.Space(), trials: int = 30) -> DataFrame:
-        """Search, final fit and registration on the RFM slice of ``ref``; returns the registry."""
-        parts = churn.stratified_split(
-            churn.churn_features(self.rfm(ref)), {"train": 0.68, "val": 0.12, "test": 0.2}
-        )
+    def train(
+        self, ref: str, at: dt.datetime, space: churn.Space = churn.Space(), trials: int = 30, forward_days: int | None = 30,
+        min_auc: float = 0.75,
+    ) -> DataFrame:
+        """Search, final fit, registration and promotion; returns the registry.
+
+        Features are those known ``forward_days`` before ``ref``, the label tells who bought in these days. With
+        ``None`` both come from the RFM slice of ``ref``, as in the published table, where the label is a function
+        of a feature.
+        """
+        if forward_days is None:
+            features = churn.churn_features(self.rfm(ref))
+        else:
+            cutoff = (dt.date.fromisoformat(ref) - dt.timedelta(forward_days)).isoformat()
+            sales = gold.approved(self.silver.current(months_before(ref, forward_days + churn.HISTORY_DAYS)))
+            features = churn.forward_features(sales, cutoff, forward_days)
+        parts = churn.stratified_split(features, {"train": 0.68, "val": 0.12, "test": 0.2})
         sinks.overwrite(parts, self.path("ml", "features"), ["part"])
         part = lambda p: self.table("ml", "features").filter(F.col("part") == p).drop("part")
-        params, log = churn.random_search(part("train"), part("val"), space, trials)
+        params, log = churn.parzen_search(part("train"), part("val"), space, trials)
         sinks.append_results(log.withColumn("dt_execucao", F.lit(at)), self.path("ml", "trials"))
         model, measured = churn.fit_final(part("train"), part("val"), part("test"), params)
-        registry = SnapshotTable(self.spark, self.path("ml", "registry"))
-        known = registry.read() if registry.history(1).count() else None
+        known = self.registry()
         version = 1 + ((known.agg(F.max("version")).first()[0] or 0) if known is not None else 0)
         row = churn.register(
             self.spark, model, self.path("ml", f"models/{version}"), "churn_predictor", version,
             measured.first()["auc"], at, part("test"),
         )
-        registry.write(row if known is None else known.unionByName(row), at, "REGISTER")
-        return registry.read()
+        self._enter(row)
+        staged, before = churn.with_stages(self.registry(), min_auc), self.registry()
+        # Versions whose stage has changed get a new entry.
+        self._enter(staged.join(before.select("name", "version", F.col("stage").alias("__was")), ["name", "version"])
+                    .filter("stage <> __was").drop("__was"))
+        return self.registry()
+
+    def _enter(self, rows: DataFrame) -> None:
+        """Appends entries to the registry; entries are numbered, so the last one of a version counts."""
+        path = self.path("ml", "registry")
+        last = self.spark.read.parquet(path).agg(F.max("entry")).first()[0] if has_rows_stored(self.spark, path) else 0
+        kept = self.spark.createDataFrame(rows.select(*churn.REGISTRY_COLUMNS).collect(), churn.REGISTRY_SCHEMA)  # some rows
+        sinks.append_results(kept.withColumn("entry", F.lit(last + 1)), path)
+
+    def registry(self) -> DataFrame | None:
+        """One row per model version with its stage; None before the first."""
+        path = self.path("ml", "registry")
+        return churn.latest_stages(self.spark.read.parquet(path)) if has_rows_stored(self.spark, path) else None
 
     def run(self, feeds: Sequence[Feed], ref: str, at: dt.datetime, threshold: float = 95.0, full: bool = False) -> Report:
         """All stages in order. Raises at the gate; training is a separate step behind it."""

@@ -275,7 +275,7 @@ def scd2_apply_late(spark, d):
 @query(f"WITH {O.history('events')} SELECT * FROM versions")
 def scd2_store(spark, d):
     """The history after two batches through the appended store, folded in between."""
-    store = VersionStore(spark, run_dir(spark, "versions"), W.EVENT_VERSIONS)
+    store = VersionStore(spark, run_dir(spark, "versions"), W.EVENT_VERSIONS, buckets=8)
     old, new = _split(spark, d)
     store.apply(old)
     store.fold()
@@ -409,12 +409,26 @@ def gold_kpis_from_raw_files(spark, d):
     """Orders written as raw JSON files, ingested, refined into the history, and summed up."""
     root = run_dir(spark, "lake")
     W.orders_tx(spark, d).withColumn("dt_transacao", F.col("dt_transacao").cast("timestamp")).write.json(f"{root}/raw")
-    lake = Lakehouse(spark, root)
+    lake = Lakehouse(spark, root, buckets=2)
     lake.ingest(Feed("pedidos", f"{root}/raw", tag="azure"))
     lake.refine(["pedidos"])
     return gold.monthly_kpis(gold.approved(lake.silver.current()), REF)
 
 
+@query(f"{O.SILVER_ORDERS}, {O.KPIS} SELECT * FROM kpis")
+def gold_kpis_from_states(spark, d):
+    """KPIs from stored monthly totals, of which the second of two batches of orders renews only its months."""
+    root = run_dir(spark, "lake")
+    lake, feed = Lakehouse(spark, root, buckets=2), Feed("pedidos", f"{root}/raw", tag="azure")
+    orders = W.orders_tx(spark, d).withColumn("dt_transacao", F.col("dt_transacao").cast("timestamp"))
+    for part in (F.col("dt_transacao") < REF, F.col("dt_transacao") >= REF):
+        orders.filter(part).write.mode("append").json(f"{root}/raw")
+        lake.ingest(feed)
+        lake.refine(["pedidos"])
+        totals = lake.monthly_totals()
+    return gold.kpis_of(totals, REF)
+
+
 # --- data quality ---------------------------------------------------------------------
 
 _SILVER_CURRENT = f"{O.SILVER_TX}, cur AS (SELECT *, true AS is_current FROM silver)"
@@ -577,6 +591,24 @@ def churn_promote(spark, d):
     return churn.promote(registry)
 
 
+@query(f"""WITH reg AS (SELECT p_brand AS name, CAST(p_partkey AS INTEGER) AS version, p_retailprice / 1300 AS auc,
+  p_size = 1 AS live FROM part),
+best AS (SELECT name, max(auc) AS auc, max(CASE WHEN live THEN auc END) AS incumbent_auc FROM reg GROUP BY name),
+won AS (SELECT b.name, min(r.version) AS version FROM best b JOIN reg r ON r.name = b.name AND r.auc = b.auc
+  WHERE b.auc >= 0.75 AND (incumbent_auc IS NULL OR b.auc > incumbent_auc) GROUP BY b.name)
+SELECT r.name, r.version, CASE WHEN r.version = w.version THEN 'Production'
+  WHEN r.live AND w.version IS NOT NULL THEN 'Archived' WHEN r.live THEN 'Production' ELSE 'None' END AS stage
+FROM reg r LEFT JOIN won w ON w.name = r.name""")
+def churn_stages(spark, d):
+    """The stage of every registered version after promotion."""
+    registry = W.table(spark, d, "part").select(
+        F.col("p_brand").alias("name"), F.col("p_partkey").cast("int").alias("version"),
+        (F.col("p_retailprice") / 1300).alias("auc"),
+        F.when(F.col("p_size") == 1, "Production").otherwise("None").alias("stage"),
+    )
+    return churn.with_stages(registry).select("name", "version", "stage")
+
+
 def _stored_parts(spark: SparkSession, d: str):
     """Training parts as a stored table: every trial reads it."""
     path = run_dir(spark, "features")
@@ -586,26 +618,51 @@ def _stored_parts(spark: SparkSession, d: str):
     return [stored.filter(F.col("part") == p).drop("part") for p in PARTS]
 
 
-_SMALL = {"maxDepth": 3, "maxIter": 5}
+# Spark's own defaults: twenty trees of depth five.
+_PARAMS = {"maxDepth": 5, "maxIter": 20}
 
 
 @query()
 def churn_scores(spark, d):
+    """All customers, by a model of the training and validation rows."""
     train, val, test = _stored_parts(spark, d)
-    model = churn.train_gbt(train.unionByName(val), _SMALL)
-    return churn.score(model, test).select("id_cliente", "churn", F.round("score", 6).alias("score"))
+    model = churn.train_gbt(train.unionByName(val), _PARAMS)
+    every = train.unionByName(val).unionByName(test)
+    return churn.score(model, every).select("id_cliente", "churn", F.round("score", 6).alias("score"))
 
 
-@query()
+_FORWARD = f"""{O.SILVER_ORDERS}, {O.rfm('ok', CUTOFF, 180)},
+f AS (SELECT id_cliente, CASE WHEN id_cliente IN (SELECT id_cliente FROM ok
+  WHERE dt_transacao >= DATE '{CUTOFF}' + INTERVAL 1 DAY AND dt_transacao < DATE '{CUTOFF}' + INTERVAL 31 DAY)
+  THEN 0 ELSE 1 END AS churn FROM rfm)"""
+
+
+@query(f"{_FORWARD} SELECT id_cliente, churn, true AS is_probability, true AS adds_up FROM f")
+def churn_attribution(spark, d):
+    """Whether the score of every customer is a probability, and the Shapley values of its features explain it."""
+    train, val, test = _stored_parts(spark, d)
+    model, _ = churn.fit_final(train, val, test, _PARAMS)
+    found = churn.attributed(model, churn.score(model, train.unionByName(val).unionByName(test)))
+    total = sum((F.col("attribution")[c] for c in V.FEATURES), F.col("base"))
+    margin_of_score = F.log(F.col("score") / (1 - F.col("score"))) / 2
+    return found.select(
+        "id_cliente", "churn", F.col("score").between(0, 1).alias("is_probability"),
+        ((F.abs(total - F.col("margin")) < 1e-6) & (F.abs(total - margin_of_score) < 1e-4)).alias("adds_up"),
+    )
+
+
+@query("SELECT i AS trial, true AS measured FROM range(8) t(i)")
 def churn_trials(spark, d):
+    """Eight trials of the search that learns from its trials."""
     train, val, _ = _stored_parts(spark, d)
-    return churn.random_search(train, val, churn.SMALL_SPACE, trials=2)[1]
+    log = churn.parzen_search(train, val, churn.SMALL_SPACE, trials=8)[1]
+    return log.select(F.col("trial").cast("long").alias("trial"), F.col("auc").between(0, 1).alias("measured"))
 
 
 @query()
 def churn_importance(spark, d):
     train, val, test = _stored_parts(spark, d)
-    model, _ = churn.fit_final(train, val, test, _SMALL)
+    model, _ = churn.fit_final(train, val, test, _PARAMS)
     names = [c for c in V.FEATURES if c != "segmento_enc"] + ["segmento"]
     return churn.permutation_importance(model, test, names)
 
@@ -613,7 +670,7 @@ def churn_importance(spark, d):
 @query()
 def churn_registered(spark, d):
     train, val, test = _stored_parts(spark, d)
-    model, measured = churn.fit_final(train, val, test, _SMALL)
+    model, measured = churn.fit_final(train, val, test, _PARAMS)
     path = run_dir(spark, "model")
     return churn.register(spark, model, path, "churn_predictor", 1, measured.first()["auc"], AT, test).drop("path")
 
@@ -625,16 +682,16 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
     return W.table(spark, d, "embeddings")
 
 
-def _label_queries(spark: SparkSession, d: str) -> DataFrame:
-    return _vectors(spark, d).groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+def _asked(spark: SparkSession, d: str) -> DataFrame:
+    return _vectors(spark, d).filter(F.col("vec_id") % 20 == 0)
 
 
 def _hits(spark: SparkSession, d: str, corpus: DataFrame | None = None) -> DataFrame:
     corpus = _vectors(spark, d) if corpus is None else corpus
-    return retrieval.knn_join(_label_queries(spark, d), corpus, 5, qid="label", cid="vec_id")
+    return retrieval.knn_join(_asked(spark, d), corpus, 5, qid="vec_id", cid="vec_id")
 
 
-_HITS = f"WITH {O.knn(O.LABEL_VECTORS, O.ALL_VECTORS)}"
+_HITS = f"WITH {O.knn(O.QUERY_VECTORS, O.ALL_VECTORS)}"
 _HIT_COLUMNS = "CAST(query_id AS BIGINT) AS query_id, id, rank, round(score, 6) AS score"
 
 
@@ -642,9 +699,11 @@ def _shown(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", F.round("score", 6))
 
 
-@query(f"{_HITS} SELECT {_HIT_COLUMNS} FROM hits")
+@query(f"""{_HITS} SELECT label, {_HIT_COLUMNS} FROM hits JOIN embeddings ON vec_id = id""")
 def knn_per_label(spark, d):
-    return _shown(_hits(spark, d))
+    """Hits with their labels."""
+    labels = _vectors(spark, d).select(F.col("vec_id").alias("id"), "label")
+    return _shown(_hits(spark, d)).join(labels, "id")
 
 
 @query(f"WITH {O.knn('SELECT vec_id AS query_id, embedding AS qv FROM embeddings', O.ALL_VECTORS)} "
@@ -665,14 +724,15 @@ def knn_block_join(spark, d):
 _FILTERED = "SELECT vec_id AS id, embedding AS cv FROM embeddings JOIN documents ON vec_id = doc_id WHERE lang = 'en'"
 
 
-@query(f"WITH {O.knn(O.LABEL_VECTORS, _FILTERED)} SELECT {_HIT_COLUMNS} FROM hits")
+@query(f"WITH {O.knn(O.QUERY_VECTORS, _FILTERED)} SELECT {_HIT_COLUMNS} FROM hits")
 def knn_filtered(spark, d):
     docs = W.table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id")
     corpus = _vectors(spark, d).join(docs, F.col("vec_id") == F.col("doc_id"), "left_semi")
     return _shown(_hits(spark, d, corpus))
 
 
-@query(f"{_HITS} SELECT {_HIT_COLUMNS}, source, lang, n_chars FROM hits JOIN documents ON id = doc_id")
+@query(f"""{_HITS} SELECT {_HIT_COLUMNS}, source, lang, n_chars, doc_id IS NOT NULL AS found
+FROM hits LEFT JOIN documents ON id = doc_id""")
 def knn_metadata(spark, d):
     return retrieval.with_documents(_shown(_hits(spark, d)), W.table(spark, d, "documents"), "doc_id", ["source", "lang", "n_chars"])
 
@@ -683,6 +743,16 @@ def ann_all_rows(spark, d):
     return _shown(retrieval.ann_join(rows, rows, 5, qid="vec_id", cid="vec_id"))
 
 
+@query(f"""WITH {O.knn(O.QUERY_VECTORS, O.ALL_VECTORS)}
+SELECT count(DISTINCT query_id) AS queries, count(*) AS hits, true AS enough FROM hits""")
+def ann_recall(spark, d):
+    """The approximate search against the exact one: its recall must reach 0.9."""
+    rows, asked = _vectors(spark, d), _asked(spark, d)
+    found = retrieval.ann_join(asked, rows, 5, qid="vec_id", cid="vec_id")
+    measured = retrieval.recall(found, _hits(spark, d))
+    return measured.select("queries", "hits", (F.col("recall") >= 0.9).alias("enough"))
+
+
 def _contexts(spark: SparkSession, d: str) -> DataFrame:
     docs = W.table(spark, d, "documents")
     titled = docs.withColumn("titulo", F.when(F.col("lang") == "en", F.col("source")))
@@ -691,7 +761,8 @@ def _contexts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CONTEXT = f"""{_HITS}, ctx AS (SELECT CAST(query_id AS BIGINT) AS query_id,
-  string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM hits JOIN documents ON id = doc_id GROUP BY query_id)"""
+  string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY rank) AS context
+  FROM hits LEFT JOIN documents ON id = doc_id GROUP BY query_id)"""
 
 
 @query(f"{_CONTEXT} SELECT * FROM ctx")
@@ -700,8 +771,8 @@ def rag_context(spark, d):
 
 
 @query(f"""{_HITS}, s AS (SELECT query_id, rank, lang, CASE WHEN lang = 'en' THEN source END AS titulo
-  FROM hits JOIN documents ON id = doc_id)
-SELECT CAST(query_id AS BIGINT) AS query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS n,
+  FROM hits LEFT JOIN documents ON id = doc_id)
+SELECT CAST(query_id AS BIGINT) AS query_id, rank AS n,
 coalesce(titulo, 'sem título') AS titulo, coalesce(lang, '') AS categoria FROM s""")
 def rag_sources(spark, d):
     return _contexts(spark, d).select("query_id", F.inline("sources"))
@@ -929,8 +1000,10 @@ def snapshot_after_expire(spark, d):
 @query(f"""SELECT event_id, CASE WHEN ts < TIMESTAMP '{SPLIT}' THEN 'changed' ELSE 'added' END AS change
 FROM events WHERE ts >= TIMESTAMP '{SPLIT}' OR value <> value * 2""")
 def snapshot_diff(spark, d):
-    table = _versioned(spark, d)
-    return relational.diff_versions(table.read(0), table.read(2), ["event_id"])
+    """Two versions of the events: the first half of the month, and the whole with amounts doubled."""
+    rows = events(spark, d)
+    new = rows.withColumn("value", F.col("value") * 2)
+    return relational.diff_versions(rows.filter(F.col("ts") < SPLIT), new, ["event_id"])
 
 
 @query("SELECT * FROM events")

@@ -88,11 +88,16 @@ def newest_file(spark: SparkSession, path: str) -> dt.datetime | None:
 
 def infer_json(spark: SparkSession, path: str, since: dt.datetime | None = None) -> T.StructType:
     """Schema of the JSON files changed after ``since``, as Spark infers it on the executors."""
-    reader = spark.read
+    return infer(spark, path, "json", since)
+
+
+def infer(spark: SparkSession, path: str, fmt: str, since: dt.datetime | None = None) -> T.StructType:
+    """All columns of the files changed after ``since``; no other file is opened."""
+    reader = spark.read.format(fmt).option("mergeSchema", "true")
     if since is not None:
         stamp = since.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
         reader = reader.option("timeZone", "UTC").option("modifiedAfter", stamp)
-    return reader.json(path).schema
+    return reader.load(path).schema
 
 
 def with_rescue(lines: DataFrame, schema: T.StructType | str, text: str = "value") -> DataFrame:
