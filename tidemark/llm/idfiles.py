@@ -63,12 +63,23 @@ def id_counts(ids: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
+
+        def add(held: list[np.ndarray]) -> None:
+            nonlocal total
+            new = np.bincount(np.concatenate([np.zeros(0, np.uint16), *held]))
+            if len(new) > len(total):
+                total, new = new.astype(np.int64), total
+            total[: len(new)] += new
+
         for batch in batches:
+            held, size = [], 0
             for ids_ in _arrays(batch):
-                new = np.bincount(ids_)
-                if len(new) > len(total):
-                    total, new = np.concatenate([total, np.zeros(len(new) - len(total), np.int64)]), new
-                total[: len(new)] += new
+                held.append(ids_)
+                size += len(ids_)
+                if size >= DECODE_IDS:
+                    add(held)
+                    held, size = [], 0
+            add(held)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 

@@ -23,7 +23,7 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 #: Ends every document.
 END_ID = 2
 #: Bytes of a worker's caches: of words of letters, and of other parts; two generations each.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 96 << 20
 #: What an entry takes besides its key and value.
 _ENTRY_BYTES = 180
 SLICE_CHARS = 8 << 20
