@@ -5,6 +5,7 @@ from conftest import plan_of, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import ranking
 from tidemark.operators.ranking import Key, ntile_global, number_rows, running_sums
 
 
@@ -46,3 +47,23 @@ def test_running_sums(spark):
     got = running_sums(df, ["id"], {"total": "x"})
     want = df.withColumn("total", F.sum("x").over(Window.orderBy("id")))
     assert rows(got, "id", "total") == rows(want, "id", "total")
+
+
+@pytest.mark.parametrize("bracket", [200_000, 5])
+def test_ends_are_selected_or_sorted(spark, monkeypatch, bracket):
+    """Skewed, tied, negative and descending values; with a small bracket the sort takes over."""
+    monkeypatch.setattr(ranking, "BRACKET_ROWS", bracket)
+    rng = random.Random(6)
+    data = [(f"k{i:05d}", rng.choice([1, 1, 1, 2, 3, 50]), rng.gauss(0, 1) ** 3, i % 365) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, f long, m double, r int").repartition(5).cache()
+    orders = [[Key("f"), "k"], [Key("m"), Key("k")], [Key("r", descending=True), "k"], [Key("m", True), "k"]]
+    got = ranking.tile_ends_many(df, 5, orders)
+    for ends, order in zip(got, orders, strict=True):
+        by = [F.desc(o.name) if isinstance(o, Key) and o.descending else F.asc(o.name if isinstance(o, Key) else o) for o in order]
+        want = df.withColumn("t", F.ntile(5).over(Window.orderBy(*by)))
+        assert rows(df.withColumn("t", ranking.tile_of(ends, order))) == rows(want)
+    selected = ranking._bracketed(df, 5, [ranking._keys(o) for o in orders])
+    # Hardly any rows share an interval of ``m``, so five are enough there.
+    assert set(selected) == ({0, 1, 2, 3} if bracket > 5 else {1, 3})
+    nulls = df.withColumn("f", F.when(F.col("r") > 9, F.col("f")))
+    assert ranking._bracketed(nulls, 5, [ranking._keys(orders[0])]) == {}

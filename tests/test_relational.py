@@ -107,3 +107,29 @@ def test_diff_moves_rows_of_differing_buckets_only(spark):
     plan = plan_of(R.diff_versions(old, new, ["id"]))
     assert plan.count("Exchange hashpartitioning(id") == 1 and "SortMergeJoin" not in plan and "LeftSemi" in plan
     assert sides[0].filter(F.col("__bucket") == bucket["__bucket"]).count() < 30
+
+
+def test_contract_is_enforced_on_write(spark, tmp_path):
+    import pytest
+
+    ddl = "id string NOT NULL, n int, day date NOT NULL"
+    good = spark.createDataFrame([("a", 1, dt.date(2024, 1, 1)), ("b", None, dt.date(2024, 1, 2))], "id string, n int, day date")
+    R.enforced(good.withColumn("extra", F.lit(1)), ddl).write.parquet(str(tmp_path / "good"))
+    assert rows(spark.read.parquet(str(tmp_path / "good"))) == rows(good)
+    bad = good.withColumn("day", F.when(F.col("id") == "a", F.col("day")))
+    assert rows(R.contract_breaks(bad, ddl), "id", "problem") == [("a", None), ("b", "day nulo")]
+    with pytest.raises(Exception, match="day: null where the contract"):
+        R.enforced(bad, ddl).write.parquet(str(tmp_path / "bad"))
+    assert not (tmp_path / "bad" / "_SUCCESS").exists()
+    for broken in (good.drop("n"), good.withColumn("n", F.col("n").cast("long"))):
+        with pytest.raises(R.ContractError):
+            R.enforced(broken, ddl)
+
+
+def test_rfm_is_written_under_its_contract(spark, small):
+    from tidemark.operators.gold import rfm
+
+    orders = W.orders_tx(spark, small)
+    from tidemark.operators.silver import cleanse
+
+    assert R.contract_gaps(rfm(cleanse(orders), "2001-08-01"), V.RFM_SCHEMA) == {"missing": [], "extra": [], "retyped": []}

@@ -82,6 +82,16 @@ def test_context_keeps_rank_order_and_default_title(spark):
     assert [tuple(s) for s in got[1].sources] == [(1, "T", ""), (2, "sem título", "x")]
 
 
+def test_index_changes_name_what_moved(spark):
+    docs = spark.createDataFrame([(i, f"word{i} common text") for i in range(10)], "doc_id long, text string")
+    model = R.embedder(64).fit(docs)
+    index = R.refresh_index(docs, spark.createDataFrame([], "doc_id long, __hash long, embedding array<float>"), model, "doc_id")
+    new = docs.filter("doc_id < 8").withColumn("text", F.when(F.col("doc_id") == 3, "new words").otherwise(F.col("text")))
+    new = new.unionByName(spark.createDataFrame([(50, "more")], docs.schema))
+    delta = R.index_changes(new, index, model, "doc_id")
+    assert rows(delta.embedded, "doc_id") == [(3,), (50,)] and rows(delta.removed, "doc_id") == [(8,), (9,)]
+
+
 def test_index_refresh_embeds_only_changes(spark):
     docs = spark.createDataFrame([(i, f"word{i} common text") for i in range(10)], "doc_id long, text string")
     model = R.embedder(64).fit(docs)

@@ -21,9 +21,11 @@ GROUNDED = (
     "Documentos:\n{context}\n\nPergunta: {question}\n\nResposta:"
 )
 RFM_REASONING = (
-    "Cliente {id_cliente}: última compra há {recency_dias} dias, {frequency} compras e R$ {monetary} em 12 meses. "
-    "RFM: R={r_score}, F={f_score}, M={m_score}, total {rfm_score}.\n"
-    "Pense passo a passo: situação do cliente, ação de retenção, oferta.\n\nConclusão:"
+    "Você recebe os números de um cliente e decide o próximo contato com ele.\n"
+    "Código: {id_cliente}\nNotas de 1 a 5: recência {r_score}, frequência {f_score}, valor {m_score} (juntas, {rfm_score})\n"
+    "Dias sem comprar: {recency_dias}\nPedidos no período: {frequency}\nGasto no período: {monetary}\n\n"
+    "Primeiro leia as notas, depois diga qual hábito mudou, por fim escolha um contato e justifique com um dos números.\n\n"
+    "Decisão:"
 )
 
 
@@ -72,15 +74,14 @@ def few_shot(
         F.transform(
             shown,
             lambda e, i: F.concat(
-                F.lit("Exemplo "), (i + 1).cast("string"), F.lit(":\nTexto: \""), e["t"],
-                F.lit(f"\"\n{answer}: "), e["l"],
+                F.lit("["), (i + 1).cast("string"), F.lit("] \""), e["t"], F.lit(f"\" => {answer}: "), e["l"],
             ),
         ),
-        "\n\n",
+        "\n",
     )
     header = first.agg(block.alias("examples")).scalar()
     return df.withColumn(out, F.concat(
-        F.lit(f"{task}\n\n"), F.coalesce(header, F.lit("")), F.lit("\n\nAgora:\nTexto: \""), F.col(text), F.lit(f"\"\n{answer}:")
+        F.lit(f"{task}\n\n"), F.coalesce(header, F.lit("")), F.lit("\n[?] \""), F.col(text), F.lit(f"\" => {answer}:")
     ))
 
 

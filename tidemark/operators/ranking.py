@@ -14,7 +14,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,12 +91,9 @@ def _after_row(keys: list[Key], row: Sequence[object]) -> Column:
     return result
 
 
-def tile_ends(df: DataFrame, n: int, order: Sequence[Key | str]) -> list[tuple]:
-    """Key values of the last row of every tile but the final one (at most ``n - 1``)."""
-    keys = _keys(order)
-    placed = _positioned(df.select(*[k.name for k in keys]), keys)
-    sizes = _part_sizes(placed)
-    base, extra = divmod(sum(size for _, size in sizes), n)
+def _last_rows(total: int, n: int) -> list[int]:
+    """The ranks of the last row of every tile but the final one, while tiles have rows."""
+    base, extra = divmod(total, n)
     ends, end = [], 0
     for tile in range(1, n):
         width = base + (1 if tile <= extra else 0)
@@ -104,6 +101,19 @@ def tile_ends(df: DataFrame, n: int, order: Sequence[Key | str]) -> list[tuple]:
             break
         end += width
         ends.append(end)
+    return ends
+
+
+def tile_ends(df: DataFrame, n: int, order: Sequence[Key | str]) -> list[tuple]:
+    """Key values of the last row of every tile but the final one (at most ``n - 1``)."""
+    return tile_ends_many(df, n, [order])[0]
+
+
+def _sorted_ends(df: DataFrame, n: int, keys: list[Key]) -> list[tuple]:
+    """The ends from a sort of all keys."""
+    placed = _positioned(df.select(*[k.name for k in keys]), keys)
+    sizes = _part_sizes(placed)
+    ends = _last_rows(sum(size for _, size in sizes), n)
     wanted, seen = [], 0
     for part, size in sizes:
         wanted += [(part << _ROW_BITS) + e - seen - 1 for e in ends if seen < e <= seen + size]
@@ -123,11 +133,77 @@ def tile_of(ends: Sequence[tuple], order: Sequence[Key | str]) -> Column:
     return tile
 
 
+#: Ranks of approximate percentiles are off by one in so many rows at most.
+ACCURACY = 10_000
+#: Rows around an edge that one task ranks.
+BRACKET_ROWS = 200_000
+
+
+def _bracketed(df: DataFrame, n: int, orders: Sequence[list[Key]]) -> dict[int, list[tuple]]:
+    """The ends of those orders that can do without a sort, by their place.
+
+    Approximate percentiles give an interval of the first key around every end, an exact count of the rows before it
+    the rank within, and only the rows inside are ranked. An order is left out if its first key is no number or has
+    nulls, if an interval misses its end, or if too many rows share it.
+    """
+    numeric = (T.IntegerType, T.LongType, T.ShortType, T.DoubleType, T.FloatType)
+    chosen = {i: keys for i, keys in enumerate(orders) if isinstance(df.schema[keys[0].name].dataType, numeric)}
+    if not chosen:
+        return {}
+    shares = [min(1.0, max(0.0, t / n + side * 2 / ACCURACY)) for t in range(1, n) for side in (-1, 1)]
+    around = {
+        i: F.percentile_approx(keys[0].name, [1 - x for x in reversed(shares)] if keys[0].descending else shares, ACCURACY)
+        for i, keys in chosen.items()
+    }
+    seen = df.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(keys[0].name).alias(f"n{i}") for i, keys in chosen.items()],
+        *[a.alias(f"p{i}") for i, a in around.items()],
+    ).first()
+    ends = _last_rows(seen["n"], n)
+    if len(ends) < n - 1:
+        return {}
+    inside, before = {}, []
+    for i, keys in chosen.items():
+        if seen[f"n{i}"] == seen["n"]:
+            c, marks = F.col(keys[0].name), seen[f"p{i}"]
+            for t in range(n - 1):
+                at = n - 2 - t if keys[0].descending else t
+                low, high = F.lit(marks[2 * at]), F.lit(marks[2 * at + 1])
+                inside[i, t] = (c >= low) & (c <= high)
+                before += [
+                    F.count_if(c > high if keys[0].descending else c < low).alias(f"b{i}_{t}"), F.count_if(inside[i, t]).alias(f"w{i}_{t}")
+                ]
+    if not inside:
+        return {}
+    counts = df.agg(*before).first()
+    fits = lambda i, t: 0 < ends[t] - counts[f"b{i}_{t}"] <= counts[f"w{i}_{t}"] <= BRACKET_ROWS
+    good = {i for i in chosen if all((i, t) in inside and fits(i, t) for t in range(n - 1))}
+    found: dict[int, list[tuple]] = {}
+    for i in good:
+        keys = chosen[i]
+        tagged = df.select(*[k.name for k in keys], F.explode(F.array_compact(F.array(*[
+            F.when(inside[i, t], F.lit(t)) for t in range(n - 1)
+        ]))).alias("__tile"))
+        ranked = tagged.withColumn("__rank", F.row_number().over(Window.partitionBy("__tile").orderBy(*[k.ordering() for k in keys])))
+        last = F.element_at(F.array(*[F.lit(ends[t] - counts[f"b{i}_{t}"]) for t in range(n - 1)]), F.col("__tile") + 1)
+        rows = ranked.filter(F.col("__rank") == last).orderBy("__tile").collect()  # n - 1 rows
+        found[i] = [tuple(r[k.name] for k in keys) for r in rows]
+    return found
+
+
 def tile_ends_many(df: DataFrame, n: int, orders: Sequence[Sequence[Key | str]]) -> list[list[tuple]]:
-    """:func:`tile_ends` for several orders; the sorts are independent and run side by side."""
-    one = inheritable_thread_target(df.sparkSession)(lambda order: tile_ends(df, n, order))
-    with ThreadPool(len(orders)) as pool:
-        return pool.map(one, orders)
+    """:func:`tile_ends` for several orders. Give a stored frame: it is read some times.
+
+    Ends are selected without a sort where that is possible; other orders are sorted, side by side.
+    """
+    every = [_keys(order) for order in orders]
+    found = _bracketed(df, n, every) if n > 1 else {}
+    left = [i for i in range(len(every)) if i not in found]
+    if left:
+        one = inheritable_thread_target(df.sparkSession)(lambda i: _sorted_ends(df, n, every[i]))
+        with ThreadPool(len(left)) as pool:
+            found |= zip(left, pool.map(one, left), strict=True)
+    return [found[i] for i in range(len(every))]
 
 
 def ntile_global(df: DataFrame, n: int, order: Sequence[Key | str], out: str) -> DataFrame:

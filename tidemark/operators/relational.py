@@ -158,6 +158,40 @@ def contract_gaps(df: DataFrame, schema: T.StructType | str) -> dict[str, list[s
     }
 
 
+def contract_breaks(df: DataFrame, schema: T.StructType | str, out: str = "problem") -> DataFrame:
+    """Rows with the first declared column that must not be null and is: what a write would refuse."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    broken = F.lit(None).cast("string")
+    for f in reversed([f for f in schema if not f.nullable]):
+        broken = F.when(F.col(f.name).isNull(), f"{f.name} nulo").otherwise(broken)
+    return df.withColumn(out, broken)
+
+
+class ContractError(RuntimeError):
+    """Rows or columns that a table's contract does not allow."""
+
+
+def enforced(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The frame in the contract's columns, order and types, for a write.
+
+    A missing or retyped column is an error at once, a null in a column declared NOT NULL when the row is written: the
+    job then fails as a whole, and no part of it is committed.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    gaps = contract_gaps(df, schema)
+    if gaps["missing"] or gaps["retyped"]:
+        raise ContractError(f"missing columns {gaps['missing']}, of another type {gaps['retyped']}")
+    checked = []
+    for f in schema:
+        value = F.col(f.name)
+        if not f.nullable:
+            value = F.coalesce(value, F.raise_error(F.lit(f"{f.name}: null where the contract has NOT NULL")).cast(f.dataType))
+        checked.append(value.alias(f.name))
+    return df.select(*checked)
+
+
 def pii_access(df: DataFrame, actions: Sequence[str], tables: Sequence[str]) -> DataFrame:
     """Reads of the given tables in an access log with nested identity and request, newest first."""
     return (

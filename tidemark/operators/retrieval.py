@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -53,19 +54,42 @@ def embed(df: DataFrame, model: PipelineModel, out: str = "embedding") -> DataFr
     return made.drop("__words", "__tf", "__tfidf", "__unit")
 
 
-def refresh_index(docs: DataFrame, index: DataFrame, model: PipelineModel, key: str, text: str = "text") -> DataFrame:
-    """The index for the present documents: only new or changed texts are embedded.
+class IndexChanges(NamedTuple):
+    """``embedded``: (key, __hash, embedding) of new and changed texts; ``removed``: keys to take out."""
 
-    ``index`` carries ``key``, ``__hash`` (of the text) and ``embedding``.
-    """
+    embedded: DataFrame
+    removed: DataFrame
+
+
+def _moved(docs: DataFrame, index: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(hashed documents, what the index misses, what it holds in vain), the last two as (key, __hash)."""
     hashed = docs.select(key, text, F.xxhash64(text).alias("__hash"))
     # Ids and hashes are compared alone; texts and vectors are only filtered by the outcome.
     wanted, held, same = hashed.select(key, "__hash"), index.select(key, "__hash"), [key, "__hash"]
-    missing = stable(wanted.join(held, same, "left_anti"))
-    stale = stable(held.join(wanted, same, "left_anti"))
-    kept = index.join(small(stale), same, "left_anti")
-    fresh = embed(hashed.join(small(missing), same, "left_semi"), model).drop(text)
-    return kept.select(key, "__hash", "embedding").unionByName(fresh.select(key, "__hash", "embedding"))
+    return hashed, stable(wanted.join(held, same, "left_anti")), stable(held.join(wanted, same, "left_anti"))
+
+
+def _embedded(hashed: DataFrame, missing: DataFrame, model: PipelineModel, key: str, text: str) -> DataFrame:
+    fresh = embed(hashed.join(small(missing), [key, "__hash"], "left_semi"), model).drop(text)
+    return fresh.select(key, "__hash", "embedding")
+
+
+def index_changes(docs: DataFrame, index: DataFrame, model: PipelineModel, key: str, text: str = "text") -> IndexChanges:
+    """What an index needs to follow the present documents: only new or changed texts are embedded.
+
+    ``index`` carries ``key``, ``__hash`` (of the text) and ``embedding``. A changed text is embedded, not removed.
+    """
+    hashed, missing, stale = _moved(docs, index, key, text)
+    return IndexChanges(
+        _embedded(hashed, missing, model, key, text), stale.select(key).join(small(missing.select(key)), key, "left_anti")
+    )
+
+
+def refresh_index(docs: DataFrame, index: DataFrame, model: PipelineModel, key: str, text: str = "text") -> DataFrame:
+    """The whole index for the present documents, of which only the changes are computed."""
+    hashed, missing, stale = _moved(docs, index, key, text)
+    kept = index.join(small(stale), [key, "__hash"], "left_anti")
+    return kept.select(key, "__hash", "embedding").unionByName(_embedded(hashed, missing, model, key, text))
 
 
 # --- exact and approximate search -----------------------------------------------------

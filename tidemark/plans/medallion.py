@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import values as V
 from tidemark.operators import churn, gold, quality, rules
-from tidemark.operators.relational import dedup_by_ingestion, union_sources
+from tidemark.operators.relational import dedup_by_ingestion, enforced, union_sources
 from tidemark.operators.silver import SILVER_VERSIONS, cleanse
 from tidemark.plans.maintenance import maintain
 from tidemark.session import has_rows_stored
@@ -178,7 +178,8 @@ class Lakehouse:
             sinks.overwrite(revenue, target, ["dt_ref"])
         else:
             sinks.replace_slice(revenue, target, "dt_ref", ref)
-        sinks.replace_slice(gold.rfm(year, ref), self.path("gold", "rfm_clientes"), "dt_calculo", ref)
+        rfm = enforced(gold.rfm(year, ref), V.RFM_SCHEMA)
+        sinks.replace_slice(rfm, self.path("gold", "rfm_clientes"), "dt_calculo", ref)
         sinks.overwrite(gold.kpis_of(self.monthly_totals(full), ref), self.path("gold", "kpis_executivos"))
 
     def monthly_totals(self, full: bool = False) -> DataFrame:

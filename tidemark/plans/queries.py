@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,6 +162,21 @@ def ingest_stream_quarantine(spark, d):
     return sinks.read_merged(spark, f"{_ingested(spark, d)}/rejected").drop("batch_id")
 
 
+@query("""SELECT event_id, 'aws' AS _cloud_origem, true AS from_a_file, true AS in_time,
+event_id % 2 AS part FROM events""")
+def ingest_lineage(spark, d):
+    """Events written to two folders and read back with their lineage: the file named is the one that holds the row."""
+    root = run_dir(spark, "lineage")
+    rows = events(spark, d).select("event_id", (F.col("event_id") % 2).alias("part"))
+    rows.write.partitionBy("part").parquet(f"{root}/raw")
+    known = files.with_lineage(spark.read.parquet(f"{root}/raw"), "aws")
+    return known.select(
+        "event_id", "_cloud_origem", F.col("_source_file").rlike(r"/raw/part=\d/[^/]+\.parquet$").alias("from_a_file"),
+        F.col("_ingestion_time").between(F.lit("2024-01-01").cast("timestamp"), F.current_timestamp()).alias("in_time"),
+        F.regexp_extract("_source_file", r"part=(\d)", 1).cast("long").alias("part"),
+    )
+
+
 @query("""SELECT event_id, CASE event_type WHEN 'view' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
 CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN NULL
   WHEN 'error' THEN '{"k":"x' || json_extract_string(props, '$.k') || '"}'
@@ -415,6 +431,14 @@ def gold_kpis_from_raw_files(spark, d):
     return gold.monthly_kpis(gold.approved(lake.silver.current()), REF)
 
 
+@query(f"""{O.SILVER_ORDERS}, {O.rfm('ok', REF)} SELECT CASE WHEN segmento <> 'Regular' THEN id_cliente END AS id_cliente,
+rfm_score, segmento, CASE WHEN segmento = 'Regular' THEN 'id_cliente nulo' END AS falha FROM rfm""")
+def gold_rfm_contract(spark, d):
+    """Rows of the RFM table under its contract, after the ids of one segment were blanked: what a write would refuse."""
+    rows = rfm_frame(spark, d).withColumn("id_cliente", F.when(F.col("segmento") != "Regular", F.col("id_cliente")))
+    return relational.contract_breaks(rows, V.RFM_SCHEMA, "falha").select("id_cliente", "rfm_score", "segmento", "falha")
+
+
 @query(f"{O.SILVER_ORDERS}, {O.KPIS} SELECT * FROM kpis")
 def gold_kpis_from_states(spark, d):
     """KPIs from stored monthly totals, of which the second of two batches of orders renews only its months."""
@@ -491,6 +515,20 @@ def dq_gate_failures(spark, d):
     return quality.failures(summary).select("tabela", "checks_falha", "pct_qualidade")
 
 
+@query(f"""{_SILVER_CURRENT}, s AS ({O.checks(O.SILVER_CHECKS, 'cur')}),
+g AS ({O.summary('silver.transacoes', '2024-06-30 12:00:00', 95)} FROM s)
+SELECT tabela, total_checks, checks_ok, checks_falha, falhas_json, CAST(2 AS BIGINT) AS execucoes FROM g""")
+def dq_results_appended(spark, d):
+    """The log of two runs of one suite."""
+    path = run_dir(spark, "results")
+    summary = quality.summarise(_silver_results(spark, d), "silver.transacoes", 95, AT)
+    rows = spark.createDataFrame(summary.collect(), summary.schema)  # one row per table
+    for _ in range(2):
+        sinks.append_results(rows, path)
+    kept = ["tabela", "total_checks", "checks_ok", "checks_falha", "falhas_json"]
+    return spark.read.parquet(path).groupBy(*kept).agg(F.count(F.lit(1)).alias("execucoes"))
+
+
 # --- churn ----------------------------------------------------------------------------
 
 _FEATURES = """SELECT id_cliente, recency_dias, frequency, monetary, r_score, f_score, m_score, rfm_score, segmento,
@@ -524,6 +562,17 @@ def churn_category_index(spark, d):
     return churn.index_col(rfm_frame(spark, d).select("id_cliente", "segmento"))
 
 
+@query(f"""{O.SILVER_ORDERS}, {O.rfm('ok', REF)} SELECT id_cliente, CAST(recency_dias AS DOUBLE) AS f0,
+CAST(frequency AS DOUBLE) AS f1, monetary AS f2, CAST(r_score AS DOUBLE) AS f3, CAST(f_score AS DOUBLE) AS f4,
+CAST(m_score AS DOUBLE) AS f5, CAST(rfm_score AS DOUBLE) AS f6,
+CAST(dense_rank() OVER (ORDER BY segmento) - 1 AS DOUBLE) AS f7 FROM rfm""")
+def churn_assembled(spark, d):
+    """The feature vector of every customer, place by place."""
+    rows = churn.assemble(churn.index_col(rfm_frame(spark, d)))
+    vector = vector_to_array("features")
+    return rows.select("id_cliente", *[vector[i].alias(f"f{i}") for i in range(len(V.FEATURES))])
+
+
 PARTS = {"train": 0.68, "val": 0.12, "test": 0.2}
 
 
@@ -667,12 +716,18 @@ def churn_importance(spark, d):
     return churn.permutation_importance(model, test, names)
 
 
-@query()
+@query("""SELECT 'churn_predictor' AS name, CAST(1 AS INTEGER) AS version, 'None' AS stage,
+TIMESTAMP '2024-06-30 12:00:00' AS trained_at, true AS is_measured, true AS gives_scores, CAST(5 AS BIGINT) AS examples""")
 def churn_registered(spark, d):
     train, val, test = _stored_parts(spark, d)
     model, measured = churn.fit_final(train, val, test, _PARAMS)
     path = run_dir(spark, "model")
-    return churn.register(spark, model, path, "churn_predictor", 1, measured.first()["auc"], AT, test).drop("path")
+    row = churn.register(spark, model, path, "churn_predictor", 1, measured.first()["auc"], AT, test)
+    return row.select(
+        "name", "version", "stage", F.col("trained_at").cast("timestamp_ntz").alias("trained_at"),
+        F.col("auc").between(0, 1).alias("is_measured"), F.col("output_schema").contains('"score"').alias("gives_scores"),
+        F.size(F.from_json("input_example", "array<map<string, string>>")).cast("long").alias("examples"),
+    )
 
 
 # --- retrieval ------------------------------------------------------------------------
@@ -798,6 +853,15 @@ def _fitted(docs: DataFrame):
     return retrieval.embedder(256).fit(docs)
 
 
+@query("SELECT doc_id, 256 AS width, true AS is_unit FROM documents")
+def embed_norms(spark, d):
+    """Width and length of every embedding: one, or zero for a text whose words are in all texts or that has none."""
+    docs = W.table(spark, d, "documents")
+    made = retrieval.embed(docs, _fitted(docs))
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    return made.select("doc_id", F.size("embedding").alias("width"), ((F.abs(norm - 1) < 1e-4) | (norm == 0)).alias("is_unit"))
+
+
 @query()
 def embed_documents(spark, d):
     docs = W.table(spark, d, "documents")
@@ -822,6 +886,22 @@ def rag_answers(spark, d):
     return asked.select("query_id", "sources", F.substring_index(sources, "\n", 1).alias("resposta"))
 
 
+@query("""SELECT doc_id, 'embedded' AS change FROM documents WHERE lang = 'en' AND upper(text) <> text AND doc_id % 7 > 0
+UNION ALL SELECT doc_id, 'removed' FROM documents WHERE doc_id % 7 = 0""")
+def index_changes(spark, d):
+    """What an index of all documents needs after the texts of one language changed and some documents went."""
+    docs = W.table(spark, d, "documents").select("doc_id", "text", "lang")
+    model = _fitted(docs)
+    path = run_dir(spark, "index")
+    empty = spark.createDataFrame([], "doc_id long, __hash long, embedding array<float>")
+    sinks.overwrite(retrieval.refresh_index(docs, empty, model, "doc_id"), path)
+    changed = docs.filter(F.col("doc_id") % 7 > 0).withColumn(
+        "text", F.when(F.col("lang") == "en", F.upper("text")).otherwise(F.col("text")))
+    delta = retrieval.index_changes(changed, spark.read.parquet(path), model, "doc_id")
+    return delta.embedded.select("doc_id", F.lit("embedded").alias("change")).unionByName(
+        delta.removed.select("doc_id", F.lit("removed").alias("change")))
+
+
 @query()
 def index_refresh(spark, d):
     """An index of all documents brought up to date after the texts of one language changed."""
@@ -850,10 +930,9 @@ def prompt_zero_shot(spark, d):
 @query(f"""WITH picked AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY doc_id) AS turn FROM labels),
 ex AS (SELECT turn, quality, text FROM picked JOIN documents USING (doc_id) WHERE turn <= 2 ORDER BY turn, quality LIMIT 3),
 numbered AS (SELECT *, row_number() OVER (ORDER BY turn, quality) AS i FROM ex),
-block AS (SELECT string_agg('Exemplo ' || i || ':' || chr(10) || 'Texto: "' || text || '"' || chr(10) || 'Qualidade: '
-  || quality, chr(10) || chr(10) ORDER BY i) AS b FROM numbered)
-SELECT item_id, '{_TASK}' || chr(10) || chr(10) || b || chr(10) || chr(10) || 'Agora:' || chr(10) || 'Texto: "' || text
-  || '"' || chr(10) || 'Qualidade:' AS prompt FROM benchmark, block""")
+block AS (SELECT string_agg('[' || i || '] "' || text || '" => Qualidade: ' || quality, chr(10) ORDER BY i) AS b FROM numbered)
+SELECT item_id, '{_TASK}' || chr(10) || chr(10) || b || chr(10) || '[?] "' || text || '" => Qualidade:' AS prompt
+FROM benchmark, block""")
 def prompt_few_shot(spark, d):
     docs = W.table(spark, d, "documents").select("doc_id", "text")
     picked = prompts.pick_examples(W.table(spark, d, "labels"), "quality", [F.asc("doc_id")], 2)
@@ -883,7 +962,7 @@ def prompt_step_by_step(spark, d):
     return prompts.step_by_step(rfm_frame(spark, d)).select("id_cliente", "prompt")
 
 
-_PROFILE = "- Última compra: {recency_dias} dias\n- Compras: {frequency}\n- RFM: {rfm_score}"
+_PROFILE = "{frequency} pedidos; o mais novo tem {recency_dias} dias; notas {rfm_score}."
 _JSON_HEAD = _sql_text(f"Responda apenas com um objeto JSON neste formato:\n{prompts.answer_layout()}\n\nPerfil:\n")
 
 
