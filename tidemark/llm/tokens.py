@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +39,18 @@ _BYTE_SIMPLE = re.compile(rf" ?[a-zA-Z{_LATIN}]+")
 _WORD_SIMPLE = re.compile(rf"[a-z{_LATIN}]+")
 _SIGNS = frozenset(".,")
 _WORD_PARTS = re.compile(rf"{_CONTRACTIONS}|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+")
+#: White space other than the space and the line feed.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _RUNS = re.compile(r" \s|\s ")
 
 
+def _joins_spaces(text: str) -> bool:
+    """Whether a space stands beside other white space."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return True
+    return _OTHER_SPACE.search(text) is not None and _RUNS.search(text) is not None
+
+
 def vocabulary_path(vocabulary: str) -> str:
     """The file itself if a path is given, else the installed public file of that name."""
     if os.sep in vocabulary:
@@ -58,6 +67,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Cache:
     """Two generations of at most ``limit`` bytes; an entry used again moves to the young one."""
 
@@ -97,85 +110,104 @@ class Encoder:
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.letters = byte_letters()
-        self.space = self.letters[32]
+        self.alphabet = np.array([ord(self.letters[b]) for b in range(256)], "<u4")
         self.simple = _BYTE_SIMPLE if self.byte_level else _WORD_SIMPLE
         self.words, self.parts = _Cache(cache * 3 // 8), _Cache(cache // 8)
         self.model = self.library.model
-        self.signs = {sign: self._tokenize(sign) for sign in _SIGNS}
+        self.signs = dict(zip(_SIGNS, self._tokenize(list(_SIGNS)), strict=True))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _tokenize(self, part: str) -> bytes:
-        """The ids of a part the vocabulary's pattern gives, by the library's model."""
-        mapped = part.replace(" ", self.space) if part.isascii() and part.isprintable() else (
-            part.encode().decode("latin-1").translate(self.letters))
-        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
-
-    def _part(self, part: str) -> bytes:
-        value = self.parts.get(part)
-        if value is None:
-            value = self._tokenize(part)
-            self.parts.put(part, value)
-        return value
-
-    def _piece(self, piece: str) -> bytes:
-        if not _PLAIN.fullmatch(piece):
-            return self._whole(piece)
-        parts = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
-        return self._part(parts[0]) if len(parts) == 1 else b"".join([self._part(p) for p in parts])
-
-    def _word(self, word: str) -> bytes | None:
-        """The ids of a word of letters alone, which a sign behind it does not change; None for any other piece."""
-        value = self.words.get(word)
-        if value is None:
-            letters = word if self.byte_level else word.lower()
-            if not self.simple.fullmatch(letters):
-                return None
-            value = self._tokenize(letters)
-            self.words.put(word, value)
-        return value
+    def _tokenize(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts the vocabulary's pattern gives, by the library's model.
+
+        All are mapped to byte letters at once, divided by a byte that UTF-8 never uses.
+        """
+        raw = np.frombuffer(b"\xff".join([p.encode() for p in parts]), np.uint8)
+        mapped = self.alphabet[raw].tobytes().decode("utf-32-le").split(self.letters[0xFF]) if parts else []
+        tokenize, code = self.model.tokenize, self.code
+        return [array(code, [t.id for t in tokenize(m)]).tobytes() for m in mapped]
+
+    def _lookup(self, cache: _Cache, keys: Iterable[str], letters: Callable[[str], str]) -> dict[str, bytes]:
+        """The ids of all keys; ``letters`` gives the part that a key not yet known stands for."""
+        found, missing = {}, []
+        young, get = cache.young, cache.get
+        for key in keys:
+            value = young.get(key) or get(key)
+            if value is None:
+                missing.append(key)
+            else:
+                found[key] = value
+        for key, value in zip(missing, self._tokenize([letters(key) for key in missing]), strict=True):
+            found[key] = value
+            cache.put(key, value)
+        return found
+
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that are more than a word of letters."""
+        plain, out = {}, {}
+        for piece in pieces:
+            if not _PLAIN.fullmatch(piece):
+                out[piece] = self._whole(piece)
+            else:
+                plain[piece] = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
+        parts = self._lookup(self.parts, dict.fromkeys(p for ps in plain.values() for p in ps), str)
+        for piece, ps in plain.items():
+            out[piece] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+        return out
 
     def _cached(self, pieces: list[str]) -> list[bytes]:
-        out, words = [], self.words
+        """The ids of every piece. A word of letters alone is not changed by a sign behind it."""
+        out: list[bytes] = []
+        words, others = {}, []
+        waiting: list[tuple[int, str, bytes]] = []
+        young, get, signs, simple, lower = self.words.young, self.words.old.get, self.signs, self.simple.fullmatch, not self.byte_level
         for piece in pieces:
-            word, tail = (piece[:-1], self.signs[piece[-1]]) if piece and piece[-1] in _SIGNS else (piece, b"")
-            value = words.young.get(word)
+            tail = signs.get(piece[-1:])
+            word = piece[:-1] if tail else piece
+            value = young.get(word) or get(word)
             if value is None:
-                value = self._word(word)
-                if value is None:
-                    value, tail = self._piece(piece), b""
-            out.append(value + tail if tail else value)
+                if word in words or simple(word.lower() if lower else word):
+                    words[word] = None
+                    waiting.append((len(out), word, tail))
+                else:
+                    others.append((len(out), piece))
+                out.append(b"")
+            else:
+                out.append(value + tail if tail else value)
+        known = self._lookup(self.words, words, str.lower if lower else str)
+        for i, word, tail in waiting:
+            out[i] = known[word] + tail if tail else known[word]
+        rest = self._pieces([piece for _, piece in others])
+        for i, piece in others:
+            out[i] = rest[piece]
         return out
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole: dict[int, bytes] = {}
         for i, t in enumerate(texts):
-            if (self.byte_level and _RUNS.search(t)) or (self.special and self.special.search(t)):
+            if (self.byte_level and _joins_spaces(t)) or (self.special and self.special.search(t)):
                 whole[i], texts[i] = self._whole(t), ""
         words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         starts = words.offsets.to_numpy().astype(np.int64)
         coded = words.values.dictionary_encode()
         index = coded.indices.to_numpy().astype(np.int64)
         if self.byte_level:
-            pieces = self._cached([" " + w for w in coded.dictionary.to_pylist()])
+            pieces = self._cached([" " + w for w in _strings(coded.dictionary)])
             first = index[starts[:-1]]
-            names = coded.dictionary.take(pa.array(first)).to_pylist()
+            names = _strings(coded.dictionary.take(pa.array(first)))
             pieces += [whole[i] if i in whole else b for i, b in enumerate(self._cached(names))]
             index[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
         else:
-            pieces = self._cached(coded.dictionary.to_pylist())
+            pieces = self._cached(_strings(coded.dictionary))
             at = np.fromiter(whole, np.int64, len(whole))
             index[starts[at]] = len(pieces) + np.arange(len(at))  # the one piece of an emptied text
             pieces += whole.values()
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
-        flat = np.frombuffer(b"".join(pieces), self.kind)
-        begins = np.cumsum(sizes) - sizes
-        lengths = sizes[index]
-        ends = np.cumsum(lengths)
-        source = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - begins[index], lengths)
-        bounds = np.r_[0, ends][starts]
-        return flat[source], np.diff(bounds)
+        taken = pa.array(pieces, pa.large_binary()).take(pa.array(index))
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(index) + 1) // self.kind.itemsize
+        flat = np.frombuffer(taken.buffers()[2] or b"", self.kind, ends[-1])
+        return flat, np.diff(ends[starts])
 
     def encode(self, texts: Iterable[str | None]):
         """The id array of every text, in order."""
