@@ -192,3 +192,28 @@ def test_hits_without_a_document_stay(spark):
     assert rows(got, "rank", "text", "found") == [(1, "seven", True), (2, None, False), (3, "eight", True)]
     context = R.build_context(got, separator="|").first()
     assert context.context == "seven||eight" and [s.n for s in context.sources] == [1, 2, 3]
+
+
+def test_neighbouring_cells_share_bins():
+    assert C.bin_cells([30, 30, 30, 0, 250, 40, 70], [1, 1, 1, 0, 3, 1, 1], 100).tolist() == [0, 0, 0, 0, 1, 4, 5]
+
+
+def test_a_query_goes_to_a_bin_once_and_few_hits_leave_it(spark):
+    """What is shuffled does not grow with cells asked: one question per bin, ``k`` hits back."""
+    m = clustered_vectors(3000, 16, 9, 21)
+    q, c = frame(spark, m, "query_id"), frame(spark, m)
+    seen, found = [], R.search_bins
+
+    def counting(asked, *rest):
+        hits = found(asked, *rest)
+        seen.append((asked.count(), asked.select(F.sum(F.size("cells"))).first()[0], hits.count()))
+        return hits
+
+    R.search_bins = counting
+    try:
+        got = R.ann_join(q, c, 3, cell_rows=16)
+        assert R.recall(got, R.knn_join(q, c, 3)).first()["recall"] >= 0.9
+    finally:
+        R.search_bins = found
+    asked, cells, hits = seen[0]
+    assert asked <= 2 * C.MIN_BINS * len(m) < cells / 2 and hits <= 3 * asked

@@ -15,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEARN_ROWS = 50_000
 #: Scores held at once.
 STRIP = 4_000_000
+#: Questions (a query and a part it asks) made at once.
+ASKED_ROWS = 200_000
+#: Bins of a search that gathers cells, at least, so that small and large corpora ask alike.
+MIN_BINS = 8
 HITS = "query_id long, id long, score double"
 #: Slack of the bounds, far above rounding.
 _SLACK = 1e-9
@@ -52,6 +57,22 @@ def first_k(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple
     return q[keep], ids[keep], scores[keep]
 
 
+def best(scores: np.ndarray, k: int, order: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Marks the ``k`` best of every row; of those that tie with the last one, the first in ``order``."""
+    n = scores.shape[1]
+    if n <= k:
+        return np.ones(scores.shape, bool)
+    floor = np.partition(scores, n - k, axis=1)[:, [n - k]]
+    chosen = scores >= floor
+    crowded = np.flatnonzero(np.count_nonzero(chosen, axis=1) > k)
+    if len(crowded):
+        above, tied = scores[crowded] > floor[crowded], (scores[crowded] == floor[crowded])[:, order]
+        left = k - np.count_nonzero(above, axis=1)
+        above[:, order] |= tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= left[:, None])
+        chosen[crowded] = above
+    return chosen
+
+
 def search(queries: np.ndarray, corpus: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query row, id, score) of the k best corpus rows per query row.
 
@@ -59,12 +80,12 @@ def search(queries: np.ndarray, corpus: np.ndarray, ids: np.ndarray, k: int) ->
     """
     n = len(corpus)
     strip = max(1, STRIP // max(1, n))
-    found = []
+    found, by_id = [], np.argsort(ids, kind="stable")
     for start in range(0, len(queries), strip):
-        scores = np.round(queries[start:start + strip] @ corpus.T, 12)
+        scores = queries[start:start + strip] @ corpus.T
+        np.round(scores, 12, out=scores)
         if n > k:
-            floor = np.partition(scores, n - k, axis=1)[:, n - k]
-            row, at = np.nonzero(scores >= floor[:, None])
+            row, at = np.nonzero(best(scores, k, by_id))
         else:
             row, at = (a.ravel() for a in np.indices(scores.shape))
         found.append(first_k(row + start, ids[at], scores[row, at], k))
@@ -172,12 +193,29 @@ def _axis(x: np.ndarray) -> np.ndarray:
 
 
 class Cells(NamedTuple):
-    """A corpus in cells: ``rows`` (cell, part, id, cv), the tree, and of every cell its radius and number of parts."""
+    """A corpus in cells: ``rows`` (cell, part, bin, id, cv), the tree, and of every cell its radius, its number of
+    parts and its first bin."""
 
     rows: DataFrame
     tree: CellTree
     radii: np.ndarray
     parts: np.ndarray
+    bins: np.ndarray
+
+
+def bin_cells(sizes: Sequence[int], parts: Sequence[int], rows_per_bin: int) -> np.ndarray:
+    """The first bin of every cell.
+
+    Neighbouring cells share a bin up to ``rows_per_bin`` rows; a cell of several parts has a bin for each.
+    """
+    bins, now, held = np.zeros(len(sizes), np.int64), 0, 0
+    for cell, (n, p) in enumerate(zip(sizes, parts, strict=True)):
+        if held and held + n > rows_per_bin:
+            now, held = now + 1, 0
+        bins[cell], held = now, held + n
+        if p > 1:
+            now, held = now + p, 0
+    return bins
 
 
 def in_cells(corpus: DataFrame, n: int, rows_per_cell: int, cells: int | None = None, seed: int = 42) -> Cells:
@@ -203,29 +241,30 @@ def in_cells(corpus: DataFrame, n: int, rows_per_cell: int, cells: int | None =
 
     placed = stable(corpus.withColumn("at", place("cv")).select("id", "cv", "at.cell", "at.angle"))
     sizes = placed.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    radii, parts = np.full(tree.cells + 1, -1.0), np.zeros(tree.cells + 1, np.int64)
+    radii, parts, held = np.full(tree.cells + 1, -1.0), np.zeros(tree.cells + 1, np.int64), np.zeros(tree.cells + 1, np.int64)
     for r in sizes:  # one row per cell
-        radii[r["cell"]], parts[r["cell"]] = r["radius"], -(-r["n"] // rows_per_cell)
-    numbers = spark.createDataFrame([(i, int(p)) for i, p in enumerate(parts) if p], "cell int, parts long")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-    rows = placed.join(F.broadcast(numbers), "cell").select("cell", part, "id", "cv")  # one row per cell
-    return Cells(rows, tree, radii, parts)
+        radii[r["cell"]], parts[r["cell"]], held[r["cell"]] = r["radius"], -(-r["n"] // rows_per_cell), r["n"]
+    bins = bin_cells(held, parts, min(rows_per_cell, -(-n // MIN_BINS)))
+    numbers = spark.createDataFrame(
+        [(i, int(p), int(b)) for i, (p, b) in enumerate(zip(parts, bins, strict=True)) if p], "cell int, parts long, first int"
+    )
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    rows = placed.join(F.broadcast(numbers), "cell").withColumn("part", part)  # one row per cell
+    return Cells(rows.select("cell", "part", (F.col("first") + F.col("part")).alias("bin"), "id", "cv"), tree, radii, parts, bins)
 
 
-def _runs(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+def _runs(batch: pd.DataFrame, names: Sequence[str] = ("cell", "part", "side")) -> Iterator[pd.DataFrame]:
     """Rows of a batch by cell, part and side, which lie together."""
-    keys = batch[["cell", "part", "side"]].to_numpy()
+    keys = batch[list(names)].to_numpy()
     cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
     for start, end in zip([0, *cuts], [*cuts, len(batch)], strict=True):
         yield batch.iloc[start:end]
 
 
-def search_cells(
-    asked: DataFrame, corpus: DataFrame, k: int, decode: Callable[[Sequence, int], np.ndarray] = lambda v, cell: unit(v)
-) -> DataFrame:
+def search_cells(asked: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """The ``k`` best rows of every (cell, part) that a query asks.
 
-    ``asked``: cell, part, query_id, qv; ``corpus``: cell, part, id, cv. ``decode`` makes unit vectors of a cell's cv.
+    ``asked``: cell, part, query_id, qv; ``corpus``: cell, part, id, cv.
     """
     here = corpus.select("cell", "part", F.lit(0).alias("side"), "id", "cv", F.lit(None).cast(dict(asked.dtypes)["qv"]).alias("qv"))
     there = asked.select(
@@ -246,7 +285,7 @@ def search_cells(
                     now, ids, held, vectors = (cell, number), [], [], None
                 if side == 0:
                     ids.append(part["id"].to_numpy())
-                    held.append(decode(part["cv"], int(cell)))
+                    held.append(unit(part["cv"]))
                 elif ids:
                     if vectors is None:
                         vectors, names = np.concatenate(held), np.concatenate(ids)
@@ -257,6 +296,84 @@ def search_cells(
     return placed.mapInPandas(run, HITS)
 
 
+def _in_bin(
+    queries: np.ndarray, cells: pd.Series, k: int, wanted: int, vectors: np.ndarray, coded: np.ndarray, members: dict[int, np.ndarray]
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query row, place, score) of the ``k`` best rows that the cells of each query hold, in strips of bounded size.
+
+    Places are in the order of ids, so they settle ties.
+    """
+    lens = cells.str.len().to_numpy()
+    ends, chosen = np.cumsum(lens), np.concatenate(cells.to_list())
+    of = np.repeat(np.arange(len(lens)), lens)
+    slots = (np.arange(len(chosen)) - np.repeat(ends - lens, lens)) * wanted
+    width = lens.max() * wanted
+    for cut in strips(len(lens), width, STRIP):
+        mine = slice(ends[cut.start] - lens[cut.start], ends[cut.stop - 1])
+        cell, row, slot, q = chosen[mine], of[mine] - cut.start, slots[mine], queries[cut]
+        scores, places = np.full((len(q), width), -np.inf), np.zeros((len(q), width), np.int32)
+        for c in np.unique(cell):
+            here = np.flatnonzero(cell == c)
+            dots = np.round(q[row[here]] @ coded[members[c]].T, 12)
+            dots[np.isnan(dots)] = -np.inf
+            keep = best(dots, wanted)
+            n = min(wanted, len(members[c]))
+            at = row[here][:, None], slot[here][:, None] + np.arange(n)
+            scores[at] = dots[keep].reshape(-1, n)
+            places[at] = members[c][np.nonzero(keep)[1]].reshape(-1, n)
+        row, at = np.nonzero(best(scores, wanted) & (scores > -np.inf))
+        place = places[row, at]
+        exact = np.round(np.einsum("nd,nd->n", q[row], vectors[place]), 12)
+        row, place, exact = first_k(row, place, exact, k)
+        yield row + cut.start, place, exact
+
+
+def search_bins(
+    asked: DataFrame, corpus: DataFrame, k: int, wanted: int, decode: Callable[[Sequence, np.ndarray], np.ndarray]
+) -> DataFrame:
+    """The ``k`` best rows of every bin among the cells that a query asks there.
+
+    ``asked``: bin, cells, query_id, qv; ``corpus``: bin, cell, id, cv, code. ``decode`` makes vectors of codes and their
+    cells: by these the ``wanted`` best of a bin are found, which are then scored by cv.
+    """
+    kinds = dict(asked.dtypes)
+    here = corpus.select(
+        "bin", F.lit(0).alias("side"), "id", "cell", "cv", "code",
+        *[F.lit(None).cast(kinds[c]).alias(c) for c in ("cells", "qv")],
+    )
+    there = asked.select("bin", F.lit(1).alias("side"), F.col("query_id").alias("id"), "cells", "qv")
+    rows = here.unionByName(there, allowMissingColumns=True)
+    placed = rows.repartition("bin").sortWithinPartitions("bin", "side")
+
+    def of_bin(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        """Ids, vectors and decoded vectors by id, and the rows of every cell."""
+        ids, cells, vectors, coded = (np.concatenate(part) for part in zip(*held))
+        by_id = np.argsort(ids, kind="stable")
+        cells = cells[by_id]
+        return ids[by_id], vectors[by_id], coded[by_id], {c: np.flatnonzero(cells == c) for c in np.unique(cells)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, at = None, [], None
+        for batch in batches:
+            if batch.empty:
+                continue
+            for part in _runs(batch, ("bin", "side")):
+                number, side = part[["bin", "side"]].iloc[0]
+                if number != now:
+                    now, held, at = number, [], None
+                if side == 0:
+                    cells = part["cell"].to_numpy().astype(np.int64)
+                    held.append((part["id"].to_numpy(), cells, unit(part["cv"]), decode(part["code"], cells)))
+                    continue
+                if at is None:
+                    at, held = of_bin(held), []
+                ids, vectors, coded, members = at
+                names = part["id"].to_numpy()
+                for row, place, score in _in_bin(unit(part["qv"]), part["cells"], k, wanted, vectors, coded, members):
+                    yield pd.DataFrame({"query_id": names[row], "id": ids[place], "score": score})
+
+    return placed.mapInPandas(run, HITS)
+
 
 def ask_cells(queries: DataFrame, choose: Callable[[np.ndarray, pd.DataFrame], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]) -> DataFrame:
     """(cell, part, query_id, qv): one row for every part a query asks.
@@ -265,20 +382,46 @@ def ask_cells(queries: DataFrame, choose: Callable[[np.ndarray, pd.DataFrame], I
     (row, cell, part) arrays of bounded size.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.empty:
-                for row, cell, part in choose(unit(batch["qv"]), batch):
-                    of = batch.iloc[row]
-                    yield pd.DataFrame({
-                        "cell": cell.astype(np.int32), "part": part.astype(np.int32),
-                        "query_id": of["query_id"].to_numpy(), "qv": of["qv"].to_numpy(),
-                    })
+            if batch.num_rows:
+                asks = batch.to_pandas()
+                for row, cell, part in choose(unit(asks["qv"]), asks):
+                    of = batch.select(["query_id", "qv"]).take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell, pa.int32()), pa.array(part, pa.int32()), *of.columns], ["cell", "part", "query_id", "qv"]
+                    )
 
-    return queries.mapInPandas(run, f"cell int, part int, query_id long, qv {dict(queries.dtypes)['qv']}")
+    return queries.mapInArrow(run, f"cell int, part int, query_id long, qv {dict(queries.dtypes)['qv']}")
 
 
-def strips(n: int, width: int, held: int = 200_000) -> Iterator[slice]:
+def ask_bins(
+    queries: DataFrame, choose: Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]], bins: Callable[[], np.ndarray]
+) -> DataFrame:
+    """(bin, cells, query_id, qv): one row for every bin in which a query asks cells, with these.
+
+    ``choose`` gets unit vectors and gives (row, cell, part) arrays of bounded size, all of a row together; ``bins``
+    gives the first bin of every cell.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                for row, cell, part in choose(unit(batch.column("qv").to_pandas())):
+                    number = bins()[cell] + part
+                    order = np.lexsort((cell, number, row))
+                    row, cell, number = row[order], cell[order], number[order]
+                    opens = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(number, prepend=-1))
+                    cells = pa.ListArray.from_arrays(pa.array([*opens, len(row)], pa.int32()), pa.array(cell, pa.int32()))
+                    of = batch.select(["query_id", "qv"]).take(pa.array(row[opens]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(number[opens], pa.int32()), cells, *of.columns], ["bin", "cells", "query_id", "qv"]
+                    )
+
+    return queries.mapInArrow(run, f"bin int, cells array<int>, query_id long, qv {dict(queries.dtypes)['qv']}")
+
+
+def strips(n: int, width: int, held: int = ASKED_ROWS) -> Iterator[slice]:
     """Rows 0 .. n in slices of about ``held`` / ``width``."""
     step = max(1, held // max(1, width))
     for start in range(0, n, step):
