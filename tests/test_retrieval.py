@@ -217,3 +217,14 @@ def test_a_query_goes_to_a_bin_once_and_few_hits_leave_it(spark):
         R.search_bins = found
     asked, cells, hits = seen[0]
     assert asked <= 2 * C.MIN_BINS * len(m) < cells / 2 and hits <= 3 * asked
+
+
+def test_ties_of_many_copies_take_no_more_than_k_places():
+    scores = np.tile([0.5, 1.0, 0.5, 0.5, 0.1], (3, 1))
+    assert C.best(scores, 3).tolist() == [[True, True, True, False, False]] * 3
+    assert C.best(scores, 3, np.array([4, 3, 2, 1, 0])).tolist() == [[False, True, True, True, False]] * 3
+
+
+def test_questions_leave_in_small_strips():
+    """A batch of queries that all ask every cell is not copied out at once."""
+    assert max(at.stop - at.start for at in C.strips(10_000, 40)) * 40 <= 20_000

@@ -29,9 +29,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Rows the tree is learned from, at most on average.
 LEARN_ROWS = 50_000
 #: Scores held at once.
-STRIP = 4_000_000
+STRIP = 1_000_000
 #: Questions (a query and a part it asks) made at once.
-ASKED_ROWS = 200_000
+ASKED_ROWS = 20_000
 #: Bins of a search that gathers cells, at least, so that small and large corpora ask alike.
 MIN_BINS = 8
 HITS = "query_id long, id long, score double"
