@@ -207,3 +207,18 @@ def test_time_bounds_reach_the_scan(spark, small):
 
     plan = plan_of(read_since(W.table(spark, small, "events"), "ts", T(10), T(15)))
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+def test_fields_are_looked_through_only_where_something_does_not_fit(spark):
+    lines = spark.createDataFrame(
+        [(0, '{"k": 1, "s": "a"}'), (1, '{"k": "x", "s": "a"}'), (2, '{"k": 1, "n": 2}'), (3, '{"k": null}'), (4, "{}"), (5, "[1]")],
+        "i int, value string",
+    )
+    out = files.with_rescue(lines, "k bigint, s string")
+    got = [(r.k, r.s, r._rescue, r._corrupt) for r in out.orderBy("i").collect()]
+    assert got == [
+        (1, "a", None, None), (None, "a", '{"k":"x"}', None), (1, None, '{"n":"2"}', None),
+        (None, None, None, None), (None, None, None, None), (None, None, None, "[1]"),
+    ]
+    # The fields of a line are filtered in one place, under the condition, and by names made before.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("map_filter(") == 1

@@ -123,13 +123,15 @@ def with_rescue(lines: DataFrame, schema: T.StructType | str, text: str = "value
         F.when(F.col(f"__typed.{n}").isNull() & F.col("__raw")[n].isNotNull(), F.lit(n)) for n in names
     ]
     known = F.array(*[F.lit(n) for n in names])
-    bad = F.array_compact(F.array(*misfits))
-    kept = F.map_filter("__raw", lambda k, _: ~F.array_contains(known, k) | F.array_contains(bad, k))
+    # Most lines fit: what does not is named once per line, and fields are looked through only where there is something.
+    parsed = parsed.withColumn("__bad", F.array_compact(F.array(*misfits)))
+    unknown = F.size(F.array_except(F.map_keys("__raw"), known)) > 0
+    kept = F.map_filter("__raw", lambda k, _: ~F.array_contains(known, k) | F.array_contains("__bad", k))
     others = [c for c in lines.columns if c != text]
     return parsed.select(
         *[F.col(f"__typed.{n}").alias(n) for n in names],
         *others,
-        F.when(F.size(kept) > 0, F.to_json(kept)).alias(RESCUE),
+        F.when(unknown | (F.size("__bad") > 0), F.to_json(kept)).alias(RESCUE),
         F.when(F.col("__raw").isNull() & F.col(text).isNotNull(), F.col(text)).alias(CORRUPT),
     )
 
