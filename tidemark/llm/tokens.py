@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, with distinct words encoded once.
 
-Texts are cut at spaces, where both vocabularies always cut, and each distinct piece of a batch is looked up in
-a bounded cache. Pieces of plain Latin letters, digits and ASCII signs are split here by the vocabulary's own
-pattern and go to the library's model; all others, and texts with runs of white space where the byte vocabulary
+Texts are cut where both vocabularies always cut: at spaces, between a letter or digit and an ASCII sign behind it, and
+around a line feed between signs or letters. The places are found on the bytes of a slice of texts, and each distinct piece is
+looked up among the known ones, of which a bounded number is kept. Pieces of plain Latin letters, digits and ASCII signs are split here by the vocabulary's
+own pattern and go to the library's model; all others, and texts with runs of white space where the byte vocabulary
 joins spaces, go through the library whole. The strings of special tokens are special ids, as the library's plain
 call gives them (such texts go through the library whole too), or ordinary text if asked for.
 """
@@ -22,10 +23,8 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Ends every document.
 END_ID = 2
-#: Bytes of a worker's caches: of words of letters, and of other parts; two generations each.
-CACHE_BYTES = 96 << 20
-#: What an entry takes besides its key and value.
-_ENTRY_BYTES = 180
+#: Bytes of the pieces that a worker knows, with their ids.
+CACHE_BYTES = 16 << 20
 SLICE_CHARS = 8 << 20
 
 _LATIN = "À-ÖØ-öø-ÿ"
@@ -34,13 +33,12 @@ _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_PARTS = re.compile(
     rf"{_CONTRACTIONS}| ?[a-zA-Z{_LATIN}]+| ?[0-9]+| ?[^\sa-zA-Z0-9{_LATIN}]+|\s+(?!\S)|\s+"
 )
-#: Nearly all pieces: letters with at most a full stop or comma behind them.
+#: Nearly all pieces.
 _BYTE_SIMPLE = re.compile(rf" ?[a-zA-Z{_LATIN}]+")
 _WORD_SIMPLE = re.compile(rf"[a-z{_LATIN}]+")
-_SIGNS = frozenset(".,")
 _WORD_PARTS = re.compile(rf"{_CONTRACTIONS}|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+")
 #: White space other than the space and the line feed.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_OTHER_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _RUNS = re.compile(r" \s|\s ")
 
 
@@ -48,7 +46,30 @@ def _joins_spaces(text: str) -> bool:
     """Whether a space stands beside other white space."""
     if "  " in text or " \n" in text or "\n " in text:
         return True
-    return _OTHER_SPACE.search(text) is not None and _RUNS.search(text) is not None
+    return any(c in text for c in _OTHER_SPACES) and _RUNS.search(text) is not None
+
+
+#: Classes of bytes that pieces are cut by. 0xC3 leads the Latin letters beyond ASCII, and two signs.
+_SPACE, _LETTER, _SIGN, _LINE, _LEAD = range(1, 6)
+_CLASSES = bytes(
+    _LETTER if chr(b).isalnum() and b < 128 else _SIGN if 32 < b < 127 else {32: _SPACE, 10: _LINE, 0xC3: _LEAD}.get(b, 0)
+    for b in range(256)
+)
+
+
+def _cuts(raw: np.ndarray) -> np.ndarray:
+    """By byte of UTF-8, whether a piece begins there; the texts' own beginnings are left to the caller."""
+    kind = np.frombuffer(raw.tobytes().translate(_CLASSES), np.uint8)
+    cut = kind == _SPACE
+    cut[1:] |= (kind[:-1] == _LETTER) & (kind[1:] == _SIGN)
+    lead = np.flatnonzero(kind[:-2] == _LEAD)
+    late = raw[lead + 1]
+    cut[lead[(late != 0x97) & (late != 0xB7) & (kind[lead + 2] == _SIGN)] + 2] = True
+    line = np.flatnonzero(kind[1:-1] == _LINE) + 1
+    before, behind = kind[line - 1], kind[line + 1]
+    line = line[((before == _LETTER) | (before == _SIGN)) & ((behind == _LETTER) | (behind == _SIGN))]
+    cut[line] = cut[line + 1] = True
+    return cut
 
 
 def vocabulary_path(vocabulary: str) -> str:
@@ -71,25 +92,33 @@ def _strings(values: pa.Array) -> list[str]:
     return values.to_numpy(zero_copy_only=False).tolist()
 
 
-class _Cache:
-    """Two generations of at most ``limit`` bytes; an entry used again moves to the young one."""
+def _sizes(values: pa.Array) -> np.ndarray:
+    return pc.binary_length(values).to_numpy()
 
-    def __init__(self, limit: int) -> None:
-        self.limit, self.size, self.young, self.old = limit, 0, {}, {}
 
-    def get(self, key: str) -> bytes | None:
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
+class _Known:
+    """Pieces with their ids as bytes, of at most ``limit`` bytes. Where they would be more, those used last stay, as far as they fit."""
 
-    def put(self, key: str, value: bytes) -> None:
-        size = len(key) + len(value) + _ENTRY_BYTES
-        if self.size + size > self.limit:
-            self.old, self.young, self.size = self.young, {}, 0
-        if size <= self.limit:
-            self.young[key] = value
-            self.size += size
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.names, self.values = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def values_of(self, pieces: pa.Array, make: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        """The value of every piece; ``make`` gives those of distinct new ones."""
+        before = len(self.names)
+        coded = pa.concat_arrays([self.names, pieces]).dictionary_encode()
+        codes, names = coded.indices.slice(before), coded.dictionary
+        values = pa.concat_arrays([self.values, pa.array(make(_strings(names.slice(before))), pa.large_binary())])
+        taken = values.take(codes)
+        if names.nbytes + values.nbytes > self.limit:
+            used = np.zeros(len(names), bool)
+            used[codes.to_numpy()] = True
+            used = np.flatnonzero(used)
+            sizes = 16 + (_sizes(names) + _sizes(values))[used]
+            used = pa.array(used[np.cumsum(sizes) <= self.limit // 2])
+            names, values = names.take(used), values.take(used)
+        self.names, self.values = names, values
+        return taken
 
 
 class Encoder:
@@ -112,9 +141,8 @@ class Encoder:
         self.letters = byte_letters()
         self.alphabet = np.array([ord(self.letters[b]) for b in range(256)], "<u4")
         self.simple = _BYTE_SIMPLE if self.byte_level else _WORD_SIMPLE
-        self.words, self.parts = _Cache(cache * 3 // 8), _Cache(cache // 8)
+        self.known = _Known(cache)
         self.model = self.library.model
-        self.signs = dict(zip(_SIGNS, self._tokenize(list(_SIGNS)), strict=True))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -129,85 +157,44 @@ class Encoder:
         tokenize, code = self.model.tokenize, self.code
         return [array(code, [t.id for t in tokenize(m)]).tobytes() for m in mapped]
 
-    def _lookup(self, cache: _Cache, keys: Iterable[str], letters: Callable[[str], str]) -> dict[str, bytes]:
-        """The ids of all keys; ``letters`` gives the part that a key not yet known stands for."""
-        found, missing = {}, []
-        young, get = cache.young, cache.get
-        for key in keys:
-            value = young.get(key) or get(key)
-            if value is None:
-                missing.append(key)
-            else:
-                found[key] = value
-        for key, value in zip(missing, self._tokenize([letters(key) for key in missing]), strict=True):
-            found[key] = value
-            cache.put(key, value)
-        return found
-
-    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of pieces that are more than a word of letters."""
-        plain, out = {}, {}
-        for piece in pieces:
-            if not _PLAIN.fullmatch(piece):
-                out[piece] = self._whole(piece)
-            else:
-                plain[piece] = _BYTE_PARTS.findall(piece) if self.byte_level else _WORD_PARTS.findall(piece.lower())
-        parts = self._lookup(self.parts, dict.fromkeys(p for ps in plain.values() for p in ps), str)
-        for piece, ps in plain.items():
-            out[piece] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
-        return out
-
-    def _cached(self, pieces: list[str]) -> list[bytes]:
-        """The ids of every piece. A word of letters alone is not changed by a sign behind it."""
-        out: list[bytes] = []
-        words, others = {}, []
-        waiting: list[tuple[int, str, bytes]] = []
-        young, get, signs, simple, lower = self.words.young, self.words.old.get, self.signs, self.simple.fullmatch, not self.byte_level
-        for piece in pieces:
-            tail = signs.get(piece[-1:])
-            word = piece[:-1] if tail else piece
-            value = young.get(word) or get(word)
-            if value is None:
-                if word in words or simple(word.lower() if lower else word):
-                    words[word] = None
-                    waiting.append((len(out), word, tail))
-                else:
-                    others.append((len(out), piece))
-                out.append(b"")
+    def _encode_new(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces: words of letters by the model, others by their parts or through the library whole."""
+        if not self.byte_level:
+            pieces = [p.removeprefix(" ") for p in pieces]
+        texts = pieces if self.byte_level else [p.lower() for p in pieces]
+        out: list[bytes] = [b""] * len(pieces)
+        simple, find = self.simple.fullmatch, (_BYTE_PARTS if self.byte_level else _WORD_PARTS).findall
+        words, split = [], {}
+        for i, text in enumerate(texts):
+            if simple(text):
+                words.append(i)
+            elif _PLAIN.fullmatch(pieces[i]):
+                split[i] = find(text)
             else:
-                out.append(value + tail if tail else value)
-        known = self._lookup(self.words, words, str.lower if lower else str)
-        for i, word, tail in waiting:
-            out[i] = known[word] + tail if tail else known[word]
-        rest = self._pieces([piece for _, piece in others])
-        for i, piece in others:
-            out[i] = rest[piece]
+                out[i] = self._whole(pieces[i])
+        for i, value in zip(words, self._tokenize([texts[i] for i in words]), strict=True):
+            out[i] = value
+        distinct = list(dict.fromkeys(p for ps in split.values() for p in ps))
+        parts = dict(zip(distinct, self._tokenize(distinct), strict=True))
+        for i, ps in split.items():
+            out[i] = b"".join([parts[p] for p in ps])
         return out
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        whole: dict[int, bytes] = {}
-        for i, t in enumerate(texts):
-            if (self.byte_level and _joins_spaces(t)) or (self.special and self.special.search(t)):
-                whole[i], texts[i] = self._whole(t), ""
-        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        starts = words.offsets.to_numpy().astype(np.int64)
-        coded = words.values.dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
-        if self.byte_level:
-            pieces = self._cached([" " + w for w in _strings(coded.dictionary)])
-            first = index[starts[:-1]]
-            names = _strings(coded.dictionary.take(pa.array(first)))
-            pieces += [whole[i] if i in whole else b for i, b in enumerate(self._cached(names))]
-            index[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
-        else:
-            pieces = self._cached(_strings(coded.dictionary))
-            at = np.fromiter(whole, np.int64, len(whole))
-            index[starts[at]] = len(pieces) + np.arange(len(at))  # the one piece of an emptied text
-            pieces += whole.values()
-        taken = pa.array(pieces, pa.large_binary()).take(pa.array(index))
-        ends = np.frombuffer(taken.buffers()[1], np.int64, len(index) + 1) // self.kind.itemsize
+        """The ids of all texts one after another, and where they end."""
+        joined = pa.array(texts, pa.large_string())
+        bounds = np.frombuffer(joined.buffers()[1], np.int64, len(texts) + 1)
+        data = joined.buffers()[2]
+        raw = np.frombuffer(data or b"", np.uint8, bounds[-1])
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[:-1] = _cuts(raw)
+        begins[bounds] = True
+        at = np.flatnonzero(begins)
+        words = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data)
+        taken = self.known.values_of(words, self._encode_new)
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(words) + 1) // self.kind.itemsize
         flat = np.frombuffer(taken.buffers()[2] or b"", self.kind, ends[-1])
-        return flat, np.diff(ends[starts])
+        return flat, ends[np.searchsorted(at, bounds[1:])]
 
     def encode(self, texts: Iterable[str | None]):
         """The id array of every text, in order."""
@@ -224,11 +211,15 @@ class Encoder:
             yield from self._split(held)
 
     def _split(self, texts: list[str]):
-        ids, sizes = self._slice(texts)
-        end = 0
-        for n in sizes.tolist():
-            yield ids[end:end + n]
-            end += n
+        whole = {
+            i for i, t in enumerate(texts)
+            if (self.byte_level and _joins_spaces(t)) or (self.special and self.special.search(t))
+        }
+        ids, ends = self._slice(["" if i in whole else t for i, t in enumerate(texts)])
+        at = 0
+        for i, end in enumerate(ends.tolist()):
+            yield np.frombuffer(self._whole(texts[i]), self.kind) if i in whole else ids[at:end]
+            at = end
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
