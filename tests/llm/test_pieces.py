@@ -1,5 +1,6 @@
 import itertools
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -75,3 +76,36 @@ def test_frames(spark, small):
     assert pieces.encode(df.where("false")).count() == 0
     whole = QUERIES["op5_sampled_pieces"](spark, small).collect()
     assert len(whole) == spark.read.parquet(f"{small}/documents.parquet").count() and all(r["lossless"] for r in whole)
+
+
+def test_rows_do_not_depend_on_others_when_cold():
+    """Weights of rare characters that vanish stay with their own word."""
+    s = pieces.Sampler(temperature=0.02)
+    alone = s.encode(["house there"], [1])[0]
+    assert np.array_equal(s.encode(["\U0001F469 中文", "house there"], [0, 1])[1], alone)
+
+
+def test_words_are_cut_on_bytes(sample):
+    texts = ["", "a", " a", "a  b ", "x\n y", "é 中  🎉", " ", "   ", "a b\tc"]
+    docs = [(" " + t).encode() if t else b"" for t in texts]
+    word, per_doc, points, lengths = sample._words(docs)
+    starts = np.cumsum(lengths) - lengths
+    names = ["".join(map(chr, points[a:a + n].tolist())) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+    got = iter([names[w] for w in word.tolist()])
+    for t, n in zip(texts, per_doc.tolist(), strict=True):
+        want = re.findall("▁*[^▁]+|▁+", "▁" + t.replace(" ", "▁")) if t else []
+        assert [next(got) for _ in range(n)] == want
+    assert len(set(names)) == len(names)
+
+
+def test_spaces_beside_space_signs_are_words(sample):
+    docs = [(" " + t).encode() for t in ("a▁b ▁  c", "  a")]
+    word, per_doc, points, lengths = sample._words(docs)
+    assert per_doc.tolist() == [9, 1] and lengths[word].tolist() == [1] * 9 + [4]
+
+
+def test_decoding_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "DECODE_IDS", 7)
+    rows = [(i, "some text " * (i % 5)) for i in range(40)] + [(99, None)]
+    got = pieces.decode(pieces.encode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))).collect()
+    assert sorted((r["doc_id"], r["decoded"]) for r in got) == sorted((i, t or "") for i, t in rows)

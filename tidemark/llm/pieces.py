@@ -1,8 +1,8 @@
 """SentencePiece encoding by forward filtering and backward sampling over the piece lattice, and decoding.
 
 No piece of such a vocabulary has a space behind another character, so the lattice of a text falls apart into
-those of its words (with the spaces before them). The distinct words of a batch are filtered forward together,
-place by place: the sum of the weights of all segmentations of every prefix. Segmentations are then drawn
+those of its words (with the spaces before them). Words are cut on the bytes of a slice of texts and its distinct ones
+found by a dictionary encoding; they are filtered forward together, place by place: the sum of the weights of all segmentations of every prefix. Segmentations are then drawn
 backward, again all together: at each place one arc is chosen by its share of the prefix sum. The random numbers are a hash of the
 row's key, the word's number in the row and the step, so a row's segmentation depends on nothing else.
 
@@ -33,13 +33,15 @@ VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 SEED = 42
 #: Characters of text sampled together.
-SLICE_CHARS = 1 << 20
-#: First bits of a hash by which most strings that are no piece are passed over.
-FILTER_BITS = 18
+SLICE_CHARS = 1 << 19
+#: Ids decoded together.
+DECODE_IDS = 1 << 20
+#: First bits of a hash by which a table of pieces is entered.
+ENTRY_BITS = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-#: Stands for a space sign of the text itself while words are split.
-_LITERAL = chr(0xDC81)
+#: Stands for a space sign of the text itself among the characters of words; no character has this number.
+_LITERAL = 0x120000
+_SIGN = SPACE.encode()
 
 
 class Lattices(NamedTuple):
@@ -77,6 +79,23 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+def _word_starts(docs: list[bytes], raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """By byte of the texts joined, whether a word begins there: at the first of some spaces.
+
+    In a text that has space signs of its own, every space and every sign is a word.
+    """
+    space = raw == 32
+    starts = np.r_[space, False]
+    starts[1:-1] &= ~space[:-1]
+    starts[bounds] = True
+    for i, doc in enumerate(docs):
+        if _SIGN in doc:
+            at = np.flatnonzero(space[bounds[i]:bounds[i + 1]]) + bounds[i]
+            signs = np.array([m.start() for m in re.finditer(_SIGN, doc)]) + bounds[i]
+            starts[np.r_[at, at + 1, signs, signs + len(_SIGN)]] = True
+    return starts
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatters 64-bit integers (a finalizer of multiplications and shifts)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -105,7 +124,8 @@ class Sampler:
                 self.pieces[piece] = (i, math.exp(-math.log(rank + 2) / temperature))
                 self.texts.append(piece.replace(SPACE, " ").encode())
                 rank += 1
-        self.byte_weight = math.exp(-math.log(rank + 2) / temperature)
+        #: Of characters by their bytes.
+        self.byte_weights = math.exp(-math.log(rank + 2) / temperature) ** np.arange(5)
         self.longest = max(map(len, self.pieces), default=1)
         self.seed = np.uint64(seed)
         self.weights = np.zeros(len(self.texts))
@@ -120,111 +140,117 @@ class Sampler:
             with np.errstate(over="ignore"):
                 for k in range(n):
                     hashes = hashes * _ODD + points[:, k] + np.uint64(1)
+                hashes *= _ODD  # fills the first bits also for one character
             order = np.argsort(hashes)
             ids = np.array([self.pieces[p][0] for p in same], np.int64)
-            there = np.zeros(1 << FILTER_BITS, bool)
-            there[hashes >> np.uint64(64 - FILTER_BITS)] = True
-            self.tables[n] = hashes[order], ids[order], points[order], there
+            entries = np.bincount((hashes >> np.uint64(64 - ENTRY_BITS)).astype(np.int64), minlength=1 << ENTRY_BITS)
+            entry = np.r_[0, np.cumsum(entries)].astype(np.int32)
+            self.tables[n] = hashes[order], ids[order], points[order], entries > 0, entry
         self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)], np.int64)
 
-    def _arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """(begin, length, piece) of all arcs over the words joined; piece -1: the bytes of one character."""
-        points = _points("".join(words))
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
-        hashes = np.zeros(len(points), np.uint64)
-        begins, sizes, ids = [], [], []
+    def _found(self, n: int, hashes: np.ndarray, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of ``at`` where a piece of ``n`` characters begins, ascending, and its id."""
+        keys, pieces, spelled, there, entry = self.tables[n]
+        prefix = (hashes >> np.uint64(64 - ENTRY_BITS)).astype(np.int64)
+        left = np.flatnonzero(there[prefix])
+        at, hashes, prefix = at[left], hashes[left], prefix[left]
+        row, left = np.full(len(at), -1, np.int64), np.arange(len(at))
+        here, end = entry[prefix], entry[prefix + 1]
+        while len(left):
+            hit = keys[here[left]] == hashes[left]
+            row[left[hit]] = here[left[hit]]
+            here += 1
+            left = left[~hit]
+            left = left[here[left] < end[left]]
+        found = np.flatnonzero(row >= 0)
+        at, row = at[found], row[found]
+        same = np.ones(len(at), bool)
+        for c in range(n):
+            same &= points[at + c] == spelled[row, c]
+        return at[same], pieces[row[same]]
+
+    def _arcs(self, points: np.ndarray, left: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(begins, pieces) of the arcs of every length; piece -1: the bytes of one character. ``left``: to the word's end."""
+        hashes, at = np.zeros(len(points), np.uint64), np.arange(len(points))
+        out = []
         for n in range(1, self.longest + 1):
-            if n > len(points):
-                break
+            if n > 1:
+                fits = left >= n
+                at, left, hashes = at[fits], left[fits], hashes[fits]
             with np.errstate(over="ignore"):
-                hashes = hashes[:len(points) - n + 1] * _ODD + points[n - 1:] + np.uint64(1)
-            if n not in self.tables:
-                continue
-            keys, pieces, spelled, there = self.tables[n]
-            open_ = np.flatnonzero((left[:len(hashes)] >= n) & there[hashes >> np.uint64(64 - FILTER_BITS)])
-            k = np.minimum(np.searchsorted(keys, hashes[open_]), len(keys) - 1)
-            hit = keys[k] == hashes[open_]
-            at, k = open_[hit], k[hit]
-            same = np.ones(len(at), bool)
-            for c in range(n):
-                same &= points[at + c] == spelled[k, c]
-            at, k = at[same], k[same]
+                hashes = hashes * _ODD + points[at + (n - 1)] + np.uint64(1)
+                scattered = hashes * _ODD
+            begin, piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if n in self.tables and len(at):
+                begin, piece = self._found(n, scattered, points, at)
             if n == 1:
-                bare = np.ones(len(points), bool)
-                bare[at] = False
-                none = np.flatnonzero(bare)
-                begins.append(none)
-                sizes.append(np.ones(len(none), np.int64))
-                ids.append(np.full(len(none), -1, np.int64))
-            begins.append(at)
-            sizes.append(np.full(len(at), n, np.int64))
-            ids.append(pieces[k])
-        return points, lengths, np.concatenate(begins), np.concatenate(sizes), np.concatenate(ids)
-
-    def lattices(self, words: list[str]) -> Lattices:
-        """Forward filtering of all words: arcs in order of the place and word where they end."""
-        points, lengths, begin, size, piece = self._arcs(words)
+                singles = np.full(len(points), -1, np.int64)
+                singles[begin] = piece
+                begin, piece = at, singles
+            out.append((begin, piece))
+        return out
+
+    def lattices(self, points: np.ndarray, lengths: np.ndarray) -> Lattices:
+        """Forward filtering of words, given by their characters joined: arcs in order of the place and word where they end."""
         first = np.cumsum(lengths) - lengths
-        owner = np.repeat(np.arange(len(words)), lengths)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
         inner = np.arange(len(points)) - first[owner]
-        spelled = np.where(points == ord(_LITERAL), ord(SPACE), points)
+        spelled = np.where(points == _LITERAL, ord(SPACE), points)
         width = 1 + (spelled > 0x7F).astype(np.int64) + (spelled > 0x7FF) + (spelled > 0xFFFF)
-        end = begin + size - 1
-        weight = np.where(piece >= 0, self.weights[piece], self.byte_weight ** width[end])
-        order = np.lexsort((begin, end, inner[end]))
-        begin, piece, end, weight = begin[order], piece[order], end[order], weight[order]
-        new = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])
-        counts = np.diff(np.r_[new, len(end)])
-        last = end[new]
-        steps = np.flatnonzero(np.r_[True, inner[last[1:]] != inner[last[:-1]], True])
-        total, before = np.zeros(len(points)), np.ones(len(words))
-        share = np.empty(len(end))
+        last = np.argsort(inner.astype(np.uint16) if lengths.max() < 1 << 16 else inner, kind="stable")
+        rank = np.empty(len(points), np.int64)
+        rank[last] = np.arange(len(points))
+        arcs = self._arcs(points, lengths[owner] - inner)
+        counts = np.zeros(len(points), np.int64)
+        for n, (at, _) in enumerate(arcs):
+            counts[rank[at + n]] += 1
+        new = np.r_[0, np.cumsum(counts)]
+        free, begin, piece = new[:-1].copy(), np.empty(new[-1], np.int64), np.empty(new[-1], np.int64)
+        # Longer arcs begin earlier; arcs of one length end at different places.
+        for n, (at, pieces) in reversed(list(enumerate(arcs))):
+            node = rank[at + n]
+            to = free[node]
+            begin[to], piece[to] = at, pieces
+            free[node] = to + 1
+        weight = self.weights[piece]
+        bare = np.flatnonzero(piece < 0)
+        weight[bare] = self.byte_weights[width[begin[bare]]]
+        inside = inner[begin]
+        # The sums of all nodes, and behind them the words' beginnings.
+        total = np.r_[np.zeros(len(points)), np.ones(len(lengths))]
+        source = np.where(inside > 0, rank[begin - 1], len(points) + owner[begin])
+        reach = np.empty(len(begin))
+        steps = np.flatnonzero(np.r_[True, np.diff(inner[last]) != 0, True])
         for a, z in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
-            low, high = int(new[a]), int(new[a]) + int(counts[a:z].sum())
-            at = begin[low:high]
-            part = weight[low:high] * np.where(inner[at] > 0, total[at - 1], before[owner[at]])
+            low, high = int(new[a]), int(new[z])
+            part = weight[low:high] * total[source[low:high]]
             sums = np.add.reduceat(part, new[a:z] - low)
-            share[low:high] = part / np.repeat(sums, counts[a:z])
-            total[last[a:z]] = sums
+            reach[low:high] = part / np.repeat(sums, counts[a:z])
+            total[a:z] = sums
             faint = last[a:z][sums < 1e-200]
             if len(faint):
                 # Kept in range: only shares within a place matter.
                 for k in range(self.longest):
                     near = faint[inner[faint] >= k] - k
-                    total[near] *= 1e200
+                    total[rank[near]] *= 1e200
                 early = faint[inner[faint] < self.longest]
-                before[owner[early]] *= 1e200
-        node = np.repeat(np.arange(len(new)), counts)
-        summed = np.cumsum(share)
-        reach = summed - (summed - share)[new][node]
-        rank = np.empty(len(points), np.int64)
-        rank[last] = np.arange(len(new))
-        return Lattices(first, lengths, rank, new, counts, begin, inner[begin], piece, reach, spelled, width)
-
-    def _words(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if SPACE in text or _LITERAL in text:
-            return self._rare_words(text)
-        return _WORD.findall(SPACE + text.replace(" ", SPACE))
-
-    @staticmethod
-    def _rare_words(text: str) -> list[str]:
-        """As for other texts, with the signs that stand for something here as words of their own."""
-        out = []
-        for part in re.split(f"([{SPACE}{_LITERAL}])", SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)):
-            out += [part] if part == _LITERAL else _WORD.findall(part)
-        return out
+                total[len(points) + owner[early]] *= 1e200
+        new = new[:-1]
+        # Shares are added up within a node alone, so they are the same in any company.
+        node = np.flatnonzero(counts > 1)
+        for k in range(1, int(counts.max())):
+            node = node[counts[node] > k]
+            reach[new[node] + k] += reach[new[node] + k - 1]
+        return Lattices(first, lengths, rank, new, counts, begin, inside, piece, reach, spelled, width)
 
     def encode(self, texts: list[str | None], keys: list[int | None]) -> list[np.ndarray]:
         """The ids of a sampled segmentation of every text."""
         out: list[np.ndarray] = []
-        held: list[list[str]] = []
+        held: list[bytes] = []
         names: list[int] = []
         size = 0
         for text, key in zip(texts, keys, strict=True):
-            held.append(self._words(text or ""))
+            held.append((" " + text).encode("utf-8", "surrogatepass") if text else b"")
             names.append((key or 0) & 0xFFFFFFFFFFFFFFFF)
             size += len(text or "")
             if size >= SLICE_CHARS:
@@ -232,13 +258,27 @@ class Sampler:
                 held, names, size = [], [], 0
         return out + self._sample(held, names) if held else out
 
-    def _sample(self, docs: list[list[str]], keys: list[int]) -> list[np.ndarray]:
-        per_doc = np.fromiter(map(len, docs), np.int64, len(docs))
-        index: dict[str, int] = {}
-        word = np.fromiter((index.setdefault(w, len(index)) for d in docs for w in d), np.int64, int(per_doc.sum()))
-        if not index:
+    def _words(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of all texts as numbers of distinct ones, their number per text, the distinct ones' characters and lengths."""
+        bounds = np.cumsum([0, *map(len, docs)])
+        data = b"".join(docs)
+        at = np.flatnonzero(_word_starts(docs, np.frombuffer(data, np.uint8), bounds))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        _, ends, spelled = coded.dictionary.buffers()
+        spelled = spelled.to_pybytes()
+        characters = np.cumsum(np.r_[0, (np.frombuffer(spelled, np.uint8) & 0xC0) != 0x80])
+        lengths = np.diff(characters[np.frombuffer(ends, np.int64, len(coded.dictionary) + 1)])
+        points = _points(spelled.decode("utf-8", "surrogatepass"))
+        points[points == ord(SPACE)] = _LITERAL
+        points[points == ord(" ")] = ord(SPACE)
+        return coded.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(at, bounds)), points, lengths
+
+    def _sample(self, docs: list[bytes], keys: list[int]) -> list[np.ndarray]:
+        if not any(docs):
             return [np.zeros(0, np.int64)] * len(docs)
-        x = self.lattices(list(index))
+        word, per_doc, points, lengths = self._words(docs)
+        x = self.lattices(points, lengths)
 
         doc = np.repeat(np.arange(len(docs)), per_doc)
         number = np.arange(len(word)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
@@ -276,8 +316,14 @@ class Sampler:
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of a segmentation (the space before its first word is not part of it)."""
-        texts = self.texts
-        return b"".join([texts[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
+        return self.decode_all(np.asarray(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of segmentations that lie in ``ids`` between ``bounds``."""
+        spelled = pa.array(self.texts, pa.large_binary()).take(pa.array(ids))
+        ends = np.frombuffer(spelled.buffers()[1], np.int64, len(ids) + 1)[bounds].tolist()
+        data = memoryview(spelled.buffers()[2] or b"")
+        return [str(data[a:b][1:], "utf-8", "surrogatepass") for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _SAMPLERS: dict[tuple, Sampler] = {}
@@ -328,7 +374,11 @@ def decode(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         for batch in batches:
             ids = batch.column("piece_ids")
             values, bounds = ids.flatten().to_numpy(), np.cumsum(np.r_[0, ids.value_lengths().fill_null(0).to_numpy()])
-            texts = [sample.decode(values[a:b].tolist()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            texts: list[str] = []
+            while len(texts) < len(ids):
+                rest = bounds[len(texts):]
+                rest = rest[:max(2, int(np.searchsorted(rest, rest[0] + DECODE_IDS, side="right")))]
+                texts += sample.decode_all(values[rest[0]:rest[-1]], rest - rest[0])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     fields = [f for f in rows.schema.fields if f.name != "decoded"]
