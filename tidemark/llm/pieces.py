@@ -146,6 +146,10 @@ class Sampler:
             entries = np.bincount((hashes >> np.uint64(64 - ENTRY_BITS)).astype(np.int64), minlength=1 << ENTRY_BITS)
             entry = np.r_[0, np.cumsum(entries)].astype(np.int32)
             self.tables[n] = hashes[order], ids[order], points[order], entries > 0, entry
+        #: By character, its piece; -1: its bytes.
+        self.singles = np.full(_LITERAL + 1, -1, np.int32)
+        if 1 in self.tables:
+            self.singles[self.tables[1][2][:, 0]] = self.tables[1][1]
         self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)], np.int64)
 
     def _found(self, n: int, hashes: np.ndarray, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,24 +174,19 @@ class Sampler:
         return at[same], pieces[row[same]]
 
     def _arcs(self, points: np.ndarray, left: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(begins, pieces) of the arcs of every length; piece -1: the bytes of one character. ``left``: to the word's end."""
-        hashes, at = np.zeros(len(points), np.uint64), np.arange(len(points))
+        """(begins, pieces) of the arcs of two characters, of three, and so on. ``left``: characters to the word's end."""
+        hashes, at = points + np.uint64(1), np.arange(len(points))
         out = []
-        for n in range(1, self.longest + 1):
-            if n > 1:
-                fits = left >= n
-                at, left, hashes = at[fits], left[fits], hashes[fits]
+        for n in range(2, self.longest + 1):
+            fits = left >= n
+            at, left, hashes = at[fits], left[fits], hashes[fits]
+            if not len(at):
+                break
             with np.errstate(over="ignore"):
                 hashes = hashes * _ODD + points[at + (n - 1)] + np.uint64(1)
                 scattered = hashes * _ODD
-            begin, piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if n in self.tables and len(at):
-                begin, piece = self._found(n, scattered, points, at)
-            if n == 1:
-                singles = np.full(len(points), -1, np.int64)
-                singles[begin] = piece
-                begin, piece = at, singles
-            out.append((begin, piece))
+            none = np.zeros(0, np.int64)
+            out.append(self._found(n, scattered, points, at) if n in self.tables else (none, none))
         return out
 
     def lattices(self, points: np.ndarray, lengths: np.ndarray) -> Lattices:
@@ -201,17 +200,18 @@ class Sampler:
         rank = np.empty(len(points), np.int64)
         rank[last] = np.arange(len(points))
         arcs = self._arcs(points, lengths[owner] - inner)
-        counts = np.zeros(len(points), np.int64)
-        for n, (at, _) in enumerate(arcs):
+        counts = np.ones(len(points), np.int64)
+        for n, (at, _) in enumerate(arcs, 1):
             counts[rank[at + n]] += 1
         new = np.r_[0, np.cumsum(counts)]
         free, begin, piece = new[:-1].copy(), np.empty(new[-1], np.int64), np.empty(new[-1], np.int64)
-        # Longer arcs begin earlier; arcs of one length end at different places.
-        for n, (at, pieces) in reversed(list(enumerate(arcs))):
+        # Longer arcs begin earlier; arcs of one length end at different places, and one of one character everywhere.
+        for n, (at, pieces) in reversed(list(enumerate(arcs, 1))):
             node = rank[at + n]
             to = free[node]
             begin[to], piece[to] = at, pieces
             free[node] = to + 1
+        begin[free], piece[free] = last, self.singles[points[last]]
         weight = self.weights[piece]
         bare = np.flatnonzero(piece < 0)
         weight[bare] = self.byte_weights[width[begin[bare]]]
