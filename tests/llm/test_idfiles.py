@@ -1,7 +1,12 @@
 import heapq
+import random
+import re
+import string
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tidemark.llm import huffman, idfiles, tokens
 from tidemark.session import run_dir
@@ -90,3 +95,46 @@ def test_whole_table(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op6_id_files"](spark, small).collect()
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == [x[:4] for x in expected(rows)]
+
+
+class Frame:
+    """Stands for a frame: gives the function that it would run over Arrow batches."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        return run
+
+
+def test_a_batch_is_tokenized_in_parts(spark):
+    texts = ["some words again and again " * 40_000, None, "", *["other words, repeated " * 20_000] * 12, "é " * 3_000_000, "last"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    at = 0
+    found = []
+    for out in idfiles.raw_ids(Frame(), tokens.BYTE_VOCABULARY)(iter([batch, batch.slice(0, 0)])):
+        size = sum(len((t or "").encode()) for t in texts[at:at + out.num_rows])
+        assert out.num_rows == 1 or size <= 4 << 20
+        at += out.num_rows
+        found += zip(*(out.column(c).to_pylist() for c in ("doc_id", "ids")), strict=True)
+    library = tokens.Encoder(tokens.BYTE_VOCABULARY).library
+    want = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u2").tobytes() for t in texts]
+    assert found == list(enumerate(want))
+
+
+def own_memory():
+    """MB of this process without files."""
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory is read from /proc")
+def test_a_worker_keeps_no_unused_memory(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=8)) for _ in range(100_000)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(6_000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    for _ in idfiles.raw_ids(Frame(), tokens.BYTE_VOCABULARY)(iter([batch])):
+        pass
+    held = own_memory()
+    pa.default_memory_pool().release_unused()
+    assert held - own_memory() < 20
