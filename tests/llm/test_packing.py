@@ -1,7 +1,9 @@
 import random
 import zlib
+from unittest.mock import Mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tidemark.llm import packing, tokens
 
@@ -96,5 +98,35 @@ def test_pieces_hold_every_id_once(spark):
     assert (len(by_sequence) - 1) * 4096 < total * 1.05
 
 
+class Frame:
+    """Stands for a frame: gives the function that it would run over Arrow batches."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        return run
+
+
+def test_a_batch_is_tokenized_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TaskContext", Mock(**{"get.return_value.partitionId.return_value": 0}))
+    texts = [None, "", *["some words, repeated " * 20_000] * 24, "x " * 3_000_000, "last"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    found = []
+    for out in packing.token_pieces(Frame(), tokens.WORD_VOCABULARY, 4096, 16)(iter([batch, batch.slice(0, 0)])):
+        docs = sorted(set(out.column("doc_id").to_pylist()))
+        assert len(docs) == 1 or sum(len(texts[d] or "") for d in docs) <= 4 << 20
+        found += out.to_pylist()
+    library = tokens.Encoder(tokens.WORD_VOCABULARY).library
+    n = [len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
+    assert [(r["doc_id"], r["start"], r["length"]) for r in found] == [
+        (d, s, min(4096, n[d] - s)) for d in range(len(texts)) for s in range(0, n[d], 4096)
+    ]
+    ranks = {}
+    for r in found:
+        ranks.setdefault(r["bucket"], []).append(r["rank"])
+    assert all(x == list(range(len(x))) for x in ranks.values())
+
+
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,9 +1,12 @@
-"""Helpers shared by the text operators: stored intermediates, joins that survive hot keys."""
+"""Helpers shared by the text operators: stored intermediates, joins that survive hot keys, batches in parts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ SPACES = " \t\n\x0b\x0c\r"
 #: A key is heavy if it holds more than one in this many rows, so at most this many keys are heavy.
 HEAVY_SHARE = 1_000
 
+#: Bytes of a batch's texts or ids that are handled together; a longer row is a part of its own.
+PART_BYTES = 4 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,10 +60,28 @@ def join_weighted(rows: DataFrame, right: DataFrame, key: str, weight: str, tota
     return rows.join(hot, key, "inner").unionByName(rest)
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in parts of at most ``PART_BYTES`` in column ``name``.
+
+    What Arrow's pool holds unused goes back after each part: workers stay between stages, and executors have little
+    memory beside their heap.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + PART_BYTES, side="right")))
+            yield batch.slice(start, end - start)
+            pa.default_memory_pool().release_unused()
+            start = end
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
 __all__ = [
-    "HEAVY_SHARE", "SPACES", "Query", "fresh", "join_weighted", "parallelism", "small", "store", "table", "text_of",
+    "HEAVY_SHARE", "PART_BYTES", "SPACES", "Query", "fresh", "join_weighted", "parallelism", "parts_of", "small", "store",
+    "table", "text_of",
 ]

@@ -17,49 +17,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import huffman
-from tidemark.llm.common import store
+from tidemark.llm.common import parts_of, store
 from tidemark.llm.tokens import BYTE_VOCABULARY, END_ID, encoder
 
 BLOCK_IDS = 1 << 16
 #: Ids decoded together.
 DECODE_IDS = 1 << 21
-#: Bytes of a batch's texts or ids that are handled together; a longer row is a part of its own.
-PART_BYTES = 4 << 20
 _BLOCK = (
     "part int, block int, local_start long, doc_ids array<long>, n_ids array<long>, payload binary, "
     "checkpoints array<long>"
 )
 
 
-def _parts(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches in parts of at most ``PART_BYTES`` in column ``name``.
-
-    What Arrow's pool holds unused goes back after each part: workers stay between stages, and executors have little
-    memory beside their heap.
-    """
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        start = 0
-        while start < len(ends):
-            before = ends[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, before + PART_BYTES, side="right")))
-            yield batch.slice(start, end - start)
-            pa.default_memory_pool().release_unused()
-            start = end
-
-
 def raw_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, width, ids) with ids as little-endian integers of ``width`` bytes, the end id last."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        for rows in _parts(batches, "text"):
+        for rows in parts_of(batches, "text"):
             ids = [np.append(x, x.dtype.type(END_ID)) for x in encode(rows.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array([x.itemsize for x in ids], pa.int32()),
@@ -84,7 +64,7 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
 
-        for rows in _parts(batches, "ids"):
+        for rows in parts_of(batches, "ids"):
             new = np.bincount(np.concatenate([np.zeros(0, np.uint16), *_arrays(rows)]))
             if len(new) > len(total):
                 total, new = new.astype(np.int64), total
@@ -121,7 +101,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str = BYTE_VOCABULARY) -> No
         part, number, start, size = TaskContext.get().partitionId(), 0, 0, 0
         held: list[np.ndarray] = []
         names: list[int | None] = []
-        for rows in _parts(batches, "ids"):
+        for rows in parts_of(batches, "ids"):
             for doc_id, ids_ in zip(rows.column("doc_id").to_pylist(), _arrays(rows), strict=True):
                 held.append(ids_)
                 names.append(doc_id)
@@ -181,7 +161,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for rows in _parts(batches, "payload"):
+        for rows in parts_of(batches, "payload"):
             for r in rows.to_pylist():
                 held.append(r)
                 size += sum(r["n_ids"])

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store
+from tidemark.llm.common import parts_of, store
 from tidemark.llm.tokens import END_ID, WORD_VOCABULARY, encoder
 
 WINDOW = 4096
@@ -152,9 +152,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, window: int, step: int) -> Da
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, ranks = TaskContext.get().partitionId(), {}
         encode = encoder(vocabulary).encode
-        for batch in batches:
+        for part in parts_of(batches, "text"):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()), strict=True):
                 raw = np.append(ids, ids.dtype.type(END_ID)).astype("<u4")
                 for start in range(0, len(raw), window):
                     piece = raw[start:start + window]
@@ -162,12 +162,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, window: int, step: int) -> Da
                     rank = ranks.get(bucket, 0)
                     ranks[bucket] = rank + 1
                     rows.append((pid, bucket, rank, doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(raw)))
-            if rows:
-                kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 6]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    names=["pid", "bucket", "rank", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-                )
+            kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 6]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["pid", "bucket", "rank", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+            )
 
     schema = "pid int, bucket int, rank long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
