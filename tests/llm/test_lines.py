@@ -1,8 +1,10 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tidemark.llm import lines, repeats
+from tidemark.llm.common import PART_BYTES
 
 
 def key(line):
@@ -71,3 +73,20 @@ def test_twice_filter_misses_no_repeat():
     hit = repeats.suspected(hashes, twice, 16)
     assert hit[2500:3000].all() and hit[4000:4100].all()
     assert hit.mean() < 0.5
+
+
+def test_filters_take_batches_in_parts():
+    """A batch above the size of a part is hashed in parts, with the filters of the whole batch."""
+    texts = [f"{'word ' * 60_000}{i % 7}" for i in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    sizes = []
+
+    def hashes_of(part):
+        sizes.append(sum(len(t or "") for t in part.column("text").to_pylist()))
+        return lines._hashes([k for ks in lines._distinct(part, "text", 40) for k in ks])
+
+    got = pa.Table.from_batches(repeats.states_of(iter([batch]), "text", hashes_of, 16))
+    assert len(sizes) > 1 and max(sizes) <= PART_BYTES
+    pair = repeats.Pair(16)
+    pair.add(hashes_of(batch))
+    assert got.equals(pa.Table.from_batches(pair.rows()))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import repeats
-from tidemark.llm.common import SPACES, fresh, join_weighted, store, text_of
+from tidemark.llm.common import SPACES, fresh, join_weighted, parts_of, store, text_of
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -65,7 +65,7 @@ def with_suspects(docs: DataFrame, column: str, min_chars: int) -> DataFrame:
     twice = repeats.twice_filter(docs.select("text"), hashes_of, bits)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, "text"):
             keys = _distinct(batch, "text", min_chars)
             hit = iter(repeats.suspected(_hashes([k for ks in keys for k in ks]), twice.value, bits).tolist())
             marks = [[k for k in ks if next(hit)] for ks in keys]
@@ -105,7 +105,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     joined = suspects.join(drops, suspects["doc_id"].eqNullSafe(drops["_id"]), "left").select(*suspects.columns, n_lines, drops_name)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, "text"):
             names = batch.schema.names
             done = [
                 _rewrite(t, set(d or ()), min_chars) if d else (t or "", 0)

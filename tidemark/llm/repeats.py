@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import parallelism
+from tidemark.llm.common import parallelism, parts_of
 
 BITS_PER_ITEM = 12
 MIN_BITS, MAX_BITS = 16, 28  # as powers of two
@@ -85,14 +85,22 @@ def _merge(group: pa.Table) -> pa.Table:
     return pa.table({"segment": group["segment"].slice(0, 1), "twice": pa.array([twice.tobytes()])})
 
 
+def states_of(
+    batches: Iterator[pa.RecordBatch], column: str, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int
+) -> Iterator[pa.RecordBatch]:
+    """The two filters of one task; hashes are made for a part of a batch at a time."""
+    pair = Pair(bits)
+    for part in parts_of(batches, column):
+        pair.add(hashes_of(part))
+    yield from pair.rows()
+
+
 def twice_filter(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> Broadcast:
-    """The merged second filter over ``hashes_of`` every batch of ``df``, broadcast as packed bits."""
+    """The merged second filter over ``hashes_of`` every part of ``df``, a column of texts, broadcast as packed bits."""
+    column = df.columns[0]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(bits)
-        for batch in batches:
-            pair.add(hashes_of(batch))
-        yield from pair.rows()
+        return states_of(batches, column, hashes_of, bits)
 
     spark = df.sparkSession
     states = df.coalesce(parallelism(spark)).mapInArrow(build, _STATE)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import repeats
-from tidemark.llm.common import fresh, join_weighted, store, text_of
+from tidemark.llm.common import fresh, join_weighted, parts_of, store, text_of
 from tidemark.llm.runindex import RunIndex
 
 LENGTH = 100
@@ -87,7 +87,7 @@ def suspect_segments(rows: DataFrame, length: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_digest
-        for batch in batches:
+        for batch in parts_of(batches, "text"):
             out: list[list] = [[], [], [], [], []]
             for ord_, tid, text in zip(*[batch.column(c).to_pylist() for c in ("ord", "tid", "text")], strict=True):
                 raw = _raw(text)
