@@ -82,3 +82,66 @@ def test_whole_table(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op10_fingerprints"](spark, small).collect()
     assert sorted((r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) for r in got) == sorted(expected(rows))
+
+
+def test_fingerprints_alone_settle_small_differences(spark):
+    """What is peeled inside the row is the whole difference with its signs, as the rounds over cells find it."""
+    texts = [range(30), range(32), range(1, 33), range(28, 60), range(28, 60), range(27, 59), [], [3], range(100, 106)]
+    texts += [range(i, i + 5 + i % 9) for i in range(200, 600, 3)]
+    df = spark.createDataFrame([(i, "\n".join(f"l{x}" for x in t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = sketches.versions(df).localCheckpoint()
+    sketched = found.withColumn("s_next", sketches.sketch(F.col("next")))
+    for kind in sketches.KINDS:
+        cells = sketched.select("doc_id", F.lit(sketches.CELLS).alias("m"), F.posexplode(F.arrays_zip("s_own", f"s_{kind}")).alias("j", "x"))
+        cells = cells.select("doc_id", "m", "j", (F.col("x.s_own.n") - F.col(f"x.s_{kind}.n")).alias("n"), *[
+            F.col(f"x.s_own.{c}").bitwiseXOR(F.col(f"x.s_{kind}.{c}")).alias(c) for c in ("k", "c")
+        ])
+        rounds = {r["doc_id"]: r for r in sketches.peel(cells, ["doc_id"], 0, 2).collect()}
+        got = found.select("doc_id", "own", F.col(kind).alias("other"), F.col(f"first_{kind}").alias("first")).collect()
+        for r in got:
+            assert (r["first"] is None) == (rounds[r["doc_id"]]["left"] > 0)
+            if r["first"] is not None:
+                own, other = set(r["own"]), set(r["other"])
+                wanted = sorted([(d, 1) for d in own - other] + [(d, -1) for d in other - own])
+                assert sorted((x["found"], x["n"]) for x in r["first"]) == wanted
+                assert sorted((x["found"], x["n"]) for x in rounds[r["doc_id"]]["digests"]) == wanted
+        settled = sum(r["first"] is not None for r in got)
+        assert 10 < settled < len(got)
+
+
+def test_last_join_moves_no_sets(spark, small):
+    """The sets and differences of documents are not shuffled for the query's result: sizes are."""
+    from tidemark.llm.queries import QUERIES
+
+    nodes, joins = [QUERIES["op10_fingerprints"](spark, small)._jdf.queryExecution().optimizedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.getClass().getSimpleName() == "Join":
+            joins += 1
+            for child in children:
+                kinds = [child.output().apply(i).dataType().simpleString() for i in range(child.output().size())]
+                assert not [k for k in kinds if k == "array<bigint>" or k.startswith("array<struct<found")]
+        nodes += children
+    assert joins
+
+
+def test_retries_broadcast_few_open_rows(spark, monkeypatch):
+    """A second retry finds its rows by their keys alone, without another shuffle of all sets."""
+    rows = [(i, "\n".join(f"{i} line {j}" for j in range(200))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plans = []
+    real = sketches.store
+
+    def seen(frame, name, *args):
+        plans.append((name, frame._jdf.queryExecution().optimizedPlan().toString()))
+        return real(frame, name, *args)
+
+    # Sketches of one cell a table: the first retry settles nothing of this size.
+    whole = sketches.peel
+    monkeypatch.setattr(sketches, "store", seen)
+    monkeypatch.setattr(sketches, "peel", lambda cells, keys, seed, sweeps: whole(cells, keys, seed, sweeps if seed > 1 else 0))
+    got = sketches.fingerprints(df).collect()
+    assert len(got) == 40 and {r["near_next"] for r in got} == {0.0}
+    retries = [plan for name, plan in plans if name == "differences"]
+    assert len(retries) >= 2 and "Join" not in retries[0] and "broadcast" in retries[1]

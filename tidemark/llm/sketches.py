@@ -6,8 +6,9 @@ version subtracted from that of another holds the difference alone; a cell with
 and taking it out of its other cells frees more. When cells stay, the comparison is retried with a larger
 sketch under other hash functions, until every difference is recovered.
 
-Only DataFrame functions. Rows of a document are brought together once; all peeling rounds then run inside
-that partitioning.
+Only DataFrame functions. The fingerprints themselves are peeled inside the row, so only versions that need a
+larger sketch are shuffled; the cells of a document are brought together once a retry, and all its peeling rounds
+run inside that partitioning.
 
 Defined results: a null text is empty; an empty text has an all-zero sketch; equal paragraph sets have equal
 fingerprints and likeness 1. Rows with equal ids follow each other in order of their text.
@@ -16,11 +17,12 @@ fingerprints and likeness 1. Rows with equal ids follow each other in order of t
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store, text_of
+from tidemark.llm.common import small, store, text_of
 
 PARAGRAPH_CHARS = 256
 TABLES = 3
@@ -107,39 +109,90 @@ def peel(cells: DataFrame, keys: list[str], seed: int, sweeps: int) -> DataFrame
     )
 
 
-def differences(pairs: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Digests in which two versions differ. ``pairs``: keys, digest sets ``a`` and ``b``, their sketches ``sa``, ``sb``.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
-    First the fingerprints are subtracted; what does not peel is retried with a sketch of twice as many cells as
-    both versions have digests, then with twice as many again and so on.
-    """
-    zipped = F.transform(F.arrays_zip("sa", "sb"), lambda x, j: F.struct(
-        j.alias("j"), (x["sa"]["n"] - x["sb"]["n"]).alias("n"),
+
+def first_peel(sa: Column, sb: Column) -> Column:
+    """Digests in which two fingerprints differ, with their sign, peeled inside the row; null if cells stay filled."""
+    none = F.lit(0).cast("long")
+    cells = F.transform(F.arrays_zip(sa.alias("sa"), sb.alias("sb")), lambda x: F.struct(
+        (x["sa"]["n"] - x["sb"]["n"]).cast("long").alias("n"),
         x["sa"]["k"].bitwiseXOR(x["sb"]["k"]).alias("k"), x["sa"]["c"].bitwiseXOR(x["sb"]["c"]).alias("c"),
     ))
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(parts, *keys)
-    cells = pairs.select(*keys, F.lit(CELLS).alias("m"), F.explode(zipped).alias("x")).select(*keys, "m", "x.*")
-    done = store(peel(cells, keys, 0, 2), name)
-    found = done.where("left = 0")
-    failed, seed = done.where("left > 0"), 1
-    while not failed.isEmpty():
-        both = F.size("a") + F.size("b")
-        need = ((both + F.lit(2)) * F.lit(2 ** seed / TABLES)).cast("int") * TABLES + TABLES
-        again = pairs.join(failed.select(*keys), keys, "left_semi").withColumn("m", need.cast("int"))
-        signed = F.concat(
-            F.transform("a", lambda d: F.struct(d.alias("d"), F.lit(1).alias("s"))),
-            F.transform("b", lambda d: F.struct(d.alias("d"), F.lit(-1).alias("s"))),
-        )
-        flat = again.select(*keys, "m", F.explode(signed).alias("x")).select(*keys, "m", "x.d", "x.s", check(F.col("x.d")).alias("c"))
-        placed = flat.select(*keys, "m", "d", "s", "c", F.explode(
+    width, size = CELLS // TABLES, F.lit(CELLS)
+
+    def without_lone(state: Column, t: int) -> Column:
+        lone = F.transform(F.filter(
+            F.slice(state["cells"], t * width + 1, width),
+            lambda x, j: (F.abs(x["n"]) == 1) & (x["c"] == check(x["k"])) & (cell(x["k"], t, size, 0) == j + t * width),
+        ), lambda x: F.struct(
+            x["n"].alias("n"), x["k"].alias("k"), x["c"].alias("c"),
+            F.array(*[cell(x["k"], i, size, 0) for i in range(TABLES)]).alias("at"),
+        ))
+
+        def without(x: Column, j: Column, taken: Column) -> Column:
+            return F.aggregate(taken, x, lambda a, y: F.when(F.array_contains(y["at"], j), F.struct(
+                (a["n"] - y["n"]).alias("n"), a["k"].bitwiseXOR(y["k"]).alias("k"), a["c"].bitwiseXOR(y["c"]).alias("c"),
+            )).otherwise(a))
+
+        return _let(lone, lambda taken: F.when(F.size(taken) == 0, state).otherwise(F.struct(
+            F.transform(state["cells"], lambda x, j: without(x, j, taken)).alias("cells"),
+            F.concat(state["found"], F.transform(taken, lambda y: F.struct(y["k"].alias("found"), y["n"].alias("n")))).alias("found"),
+        )))
+
+    def one_table(t: int) -> Callable[[Column], Column]:
+        # Spark takes a second parameter, even one with a default, for the index.
+        return lambda state: without_lone(state, t)
+
+    state = F.struct(
+        cells.alias("cells"), F.filter(F.array(F.struct(none.alias("found"), none.alias("n"))), lambda x: F.lit(False)).alias("found")
+    )
+    for _ in range(2):
+        for t in range(TABLES):
+            state = _let(state, one_table(t))
+    return _let(state, lambda s: F.when(
+        ~F.exists(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0))
+        & (F.size(F.array_distinct(s["found"]["found"])) == F.size(s["found"])), s["found"],
+    ))
+
+
+def differences(sets: DataFrame, keys: list[str], kinds: list[str], name: str) -> DataFrame:
+    """(keys, kind, digests): digests in which a row's set ``own`` and the set named by a kind differ, with their sign.
+
+    ``sets``: keys, the sets, and ``open``, the kinds that the fingerprints alone did not settle. Each is tried with
+    a sketch of twice as many cells as both versions have digests, then with twice as many again and so on. A row's
+    sets move once a round, for all its kinds.
+    """
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base, todo, found, seed = sets.drop("open"), sets.where(F.size("open") > 0), None, 1
+    each = [*keys, "kind"]
+    signs = {kind: F.concat(
+        F.transform("own", lambda d: F.struct(d.alias("d"), F.lit(1).alias("s"))),
+        F.transform(kind, lambda d: F.struct(d.alias("d"), F.lit(-1).alias("s"))),
+    ) for kind in kinds}
+    while True:
+        rows = todo.repartition(parts, *keys)
+        again = rows.select(*keys, F.explode(F.filter(F.array(*[
+            F.when(F.array_contains("open", kind), F.struct(F.lit(kind).alias("kind"), signed.alias("signed")))
+            for kind, signed in signs.items()
+        ]), lambda x: x.isNotNull())).alias("x")).select(*keys, "x.*")
+        need = ((F.size("signed") + F.lit(2)) * F.lit(2 ** seed / TABLES)).cast("int") * TABLES + TABLES
+        flat = again.select(*each, need.cast("int").alias("m"), F.explode("signed").alias("x"))
+        flat = flat.select(*each, "m", "x.d", "x.s", check(F.col("x.d")).alias("c"))
+        placed = flat.select(*each, "m", "d", "s", "c", F.explode(
             F.array(*[cell(F.col("d"), t, F.col("m"), seed) for t in range(TABLES)])
         ).alias("j"))
-        cells = placed.groupBy(*keys, "m", "j").agg(F.sum("s").alias("n"), F.bit_xor("d").alias("k"), F.bit_xor("c").alias("c"))
-        done = store(peel(cells, keys, seed, 2 + seed), name)
-        found = found.unionByName(done.where("left = 0"))
-        failed, seed = done.where("left > 0"), seed + 1
-    return found.select(*keys, "digests")
+        cells = placed.groupBy(*each, "m", "j").agg(F.sum("s").alias("n"), F.bit_xor("d").alias("k"), F.bit_xor("c").alias("c"))
+        done = store(peel(cells, each, seed, 2 + seed), name)
+        settled = done.where("left = 0").select(*each, "digests")
+        found = settled if found is None else found.unionByName(settled)
+        failed, seed = done.where("left > 0").select(*each), seed + 1
+        if failed.isEmpty():
+            return found
+        left = small(failed).groupBy(*keys).agg(F.collect_set("kind").alias("open"))
+        todo = base.join(left, keys)
 
 
 def likeness(size_a: Column, size_b: Column, differing: Column) -> Column:
@@ -193,37 +246,53 @@ def edit(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
+KINDS = ["edited", "next"]
+
+
 def versions(docs: DataFrame) -> DataFrame:
-    """Sketches and digest sets of each text, its edited version and the next text."""
+    """Digest sets of each text, its edited version and the next text, sketches of the first two, and the differences
+    that the sketches alone give away (``first_edited``, ``first_next``).
+    """
     pairs = with_next(docs).withColumn("edited", edit(F.col("text"), F.col("next_text")))
     sets = pairs.select(
         "g", "place", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         paragraphs(F.col("text")).alias("own"), paragraphs(F.col("edited")).alias("edited"),
         paragraphs(F.col("next_text")).alias("next"),
     )
-    return sets.select(
-        "*", sketch(F.col("own")).alias("s_own"), sketch(F.col("edited")).alias("s_edited"), sketch(F.col("next")).alias("s_next")
+    drawn = sets.select("*", *[sketch(F.col(c)).alias(f"s_{c}") for c in ("own", *KINDS)])
+    return drawn.select(
+        *[c for c in drawn.columns if c != "s_next"],
+        *[first_peel(F.col("s_own"), F.col(f"s_{kind}")).alias(f"first_{kind}") for kind in KINDS],
     )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Per document: fingerprint, edited fingerprint, likeness to both, and the digests in which they differ."""
+    """Per document: fingerprint, edited fingerprint, likeness to both, the digests in which they differ, and their number.
+
+    What is joined at the end holds sizes instead of sets, and the differences themselves only if they are asked for.
+    """
     kept = store(versions(docs), "versions")
-    kinds = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col("own").alias("a"), F.col("s_own").alias("sa"),
-                 F.col(kind).alias("b"), F.col(f"s_{kind}").alias("sb"))
-        for kind in ("edited", "next")
-    ])
-    pairs = kept.select("g", "place", F.explode(kinds).alias("x")).select("g", "place", "x.*")
-    found = differences(pairs, ["g", "place", "kind"], "differences")
-    wide = found.groupBy("g", "place").agg(*[
-        F.first(F.when(F.col("kind") == kind, F.col("digests")), ignorenulls=True).alias(f"differs_{kind}")
-        for kind in ("edited", "next")
-    ])
-    joined = kept.join(wide, ["g", "place"])
-    return joined.select(
+    keys = ["g", "place"]
+    open_kinds = F.filter(F.array(*[F.when(F.col(f"first_{kind}").isNull(), kind) for kind in KINDS]), lambda x: x.isNotNull())
+    found = differences(kept.select(*keys, "own", *KINDS, open_kinds.alias("open")), keys, KINDS, "differences")
+    later = found.select(*keys, "kind", F.size("digests").alias("n"), "digests")
+
+    def of(kind: str, column: str) -> Column:
+        return F.first(F.when(F.col("kind") == kind, F.col(column)), ignorenulls=True)
+
+    wide = later.groupBy(*keys).agg(
+        *[of(kind, "n").alias(f"n_later_{kind}") for kind in KINDS], *[of(kind, "digests").alias(f"later_{kind}") for kind in KINDS]
+    )
+    slim = kept.select(
+        *keys, "doc_id", "n_chars", "edited_sha256", "s_own", "s_edited",
+        *[F.size(c).alias(f"size_{c}") for c in ("own", *KINDS)],
+        *[F.array_size(f"first_{kind}").alias(f"n_first_{kind}") for kind in KINDS], *[f"first_{kind}" for kind in KINDS],
+    )
+    either = {kind: F.coalesce(F.col(f"n_first_{kind}"), F.col(f"n_later_{kind}")) for kind in KINDS}
+    return slim.join(wide, keys, "left").select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("s_own")).alias("fingerprint"),
         as_text(F.col("s_edited")).alias("edited_fingerprint"),
-        *[likeness(F.size("own"), F.size(kind), F.size(f"differs_{kind}")).alias(f"near_{kind}") for kind in ("edited", "next")],
-        "differs_edited", "differs_next",
+        *[likeness(F.col("size_own"), F.col(f"size_{kind}"), n).alias(f"near_{kind}") for kind, n in either.items()],
+        *[F.coalesce(f"first_{kind}", f"later_{kind}").alias(f"differs_{kind}") for kind in KINDS],
+        *[n.alias(f"n_differs_{kind}") for kind, n in either.items()],
     )
